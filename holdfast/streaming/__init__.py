@@ -1,0 +1,5 @@
+"""Nothing to stream.
+
+Every source in the covered workload is a finite table and every result a
+snapshot of it, so there are no streaming operators to offer.
+"""
