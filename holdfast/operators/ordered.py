@@ -11,6 +11,7 @@ value shared by a third of the rows is one row by then.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,14 +48,29 @@ def split_points(df: DataFrame, value: str, slices: int | None = None) -> list:
     return sorted(set(numeric.approxQuantile("v", steps, 1.0 / (4 * slices))))
 
 
-def slice_of(value: Column, points: Sequence, first: int = 0) -> Column:
-    """Number of points below ``value``, by binary search over literals."""
-    if not points:
-        return F.lit(first)
-    middle = len(points) // 2
-    return F.when(value <= F.lit(points[middle]), slice_of(value, points[:middle], first)).otherwise(
-        slice_of(value, points[middle + 1 :], first + middle + 1)
-    )
+def sql_literal(value) -> str:
+    """SQL text of a number, a text or a timestamp without zone."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
+def slice_of(value: str, points: Sequence) -> Column:
+    """Number of points below the expression ``value``: a binary search as one CASE."""
+    texts = [sql_literal(p) for p in points]
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        return (
+            f"CASE WHEN {value} <= {texts[middle]} THEN {search(low, middle)}"
+            f" ELSE {search(middle + 1, high)} END"
+        )
+
+    return F.expr(search(0, len(texts)))
 
 
 def prefix(
@@ -77,7 +93,7 @@ def prefix(
     if points is None:
         points = split_points(df, value)
     numeric = not isinstance(df.schema[value].dataType, T.StringType)
-    axis = F.col(value).cast("double") if numeric else F.col(value)
+    axis = f"CAST(`{value}` AS DOUBLE)" if numeric else f"`{value}`"
     grouped = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)

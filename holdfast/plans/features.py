@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast import fixed
-from holdfast.functions.amounts import cents, from_cents, ratio, sample_std
+from holdfast.functions.amounts import ratio, sample_std
 from holdfast.functions.dates import floored_days
 from holdfast.operators.neighbours import HOT_ROWS, with_previous
-from holdfast.operators.ordered import slice_of
+from holdfast.operators.ordered import slice_of, sql_literal
 from holdfast.operators.profile import duplicate_keys
 from holdfast.plans import staging
 
@@ -62,34 +62,28 @@ class Periods:
             {day - timedelta(days=back) for day in self.snapshots for back in (0, 30, 90, 180)}
         )
 
-    def period(self, time: Column) -> Column:
+    def period(self, time: str) -> Column:
         """Number of cuts before ``time``: ``time <= cuts[i]`` exactly if the period is <= i."""
-        return slice_of(time, [F.lit(c).cast("timestamp_ntz") for c in self.cuts])
+        return slice_of(time, self.cuts)
 
     def expanded(self) -> Column:
-        def at(day: datetime, back: int, name: str) -> Column:
-            return F.lit(self.cuts.index(day - timedelta(days=back))).alias(name)
-
-        return F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(day).cast("timestamp_ntz").alias(SNAPSHOT),
-                        at(day, 0, "_now"),
-                        at(day, 30, "_d30"),
-                        at(day, 90, "_d90"),
-                        at(day, 180, "_d180"),
-                    )
-                    for day in self.snapshots
-                ]
+        """One row per snapshot with the periods at which its windows begin and end."""
+        rows = [
+            f"named_struct('{SNAPSHOT}', {sql_literal(day)}, "
+            + ", ".join(
+                f"'{name}', {self.cuts.index(day - timedelta(days=back))}"
+                for name, back in (("_now", 0), ("_d30", 30), ("_d90", 90), ("_d180", 180))
             )
-        ).alias("_s")
+            + ")"
+            for day in self.snapshots
+        ]
+        return F.expr(f"explode(array({', '.join(rows)})) AS _s")
 
 
 def _per_period(df: DataFrame, time: str, periods: Periods, **measures: Column) -> DataFrame:
     return (
         df.where(F.col(time).isNotNull())
-        .withColumn("_period", periods.period(F.col(time)))
+        .withColumn("_period", periods.period(time))
         .groupBy(PERSON, "_period")
         .agg(*[m.alias(name) for name, m in measures.items()])
     )
@@ -182,113 +176,124 @@ def _intervention_periods(interventions: DataFrame, periods: Periods) -> DataFra
     return _per_period(rows, "created_at", periods, interventions=F.count(F.lit(1)))
 
 
-class _Window:
-    """Aggregates over the periods one window of the current snapshot covers."""
-
-    def __init__(self, low: str | None, high: str | None, present: set[str]):
-        inside = F.lit(True)
-        if low:
-            inside = inside & (F.col("_period") > F.col(low))
-        if high:
-            inside = inside & (F.col("_period") <= F.col(high))
-        self._inside, self._present = inside, present
-
-    def _take(self, how, name: str, empty: str) -> Column:
-        if name not in self._present:
-            return F.lit(None).cast(empty)
-        return how(F.when(self._inside, F.col(name)))
-
-    def total(self, name: str) -> Column:
-        return F.coalesce(self._take(F.sum, name, "bigint"), F.lit(0))
-
-    def least(self, name: str) -> Column:
-        return self._take(F.min, name, "timestamp_ntz")
-
-    def most(self, name: str, empty: str = "bigint") -> Column:
-        return self._take(F.max, name, empty)
-
-
-def _measures(present: set[str], churn_days: int, parts: set[str]) -> dict[str, Column]:
-    """The feature columns, as aggregates over stacked period rows."""
-    past = _Window(None, "_now", present)
-    last30, last90 = _Window("_d30", "_now", present), _Window("_d90", "_now", present)
-    last180, earlier90 = _Window("_d180", "_now", present), _Window("_d180", "_d90", present)
-    future = _Window("_now", None, present)
+# Windows over periods, relative to the snapshot of the current row.
+_WINDOWS = {
+    "past": "_period <= _now",
+    "d30": "_period > _d30 AND _period <= _now",
+    "d90": "_period > _d90 AND _period <= _now",
+    "d180": "_period > _d180 AND _period <= _now",
+    "earlier": "_period > _d180 AND _period <= _d90",
+    "future": "_period > _now",
+}
+# Which measures each window adds up; the rest are minima and maxima.
+_SUMS = {
+    "orders": {
+        "past": "orders events gaps gap_sum gap_squares valued revenue delivered delayed_n delay_sum"
+        " late days_n days_sum reviewed review_sum negative paid instalments_n instalments_sum",
+        "d30": "events",
+        "d90": "events revenue reviewed review_sum delayed_n delay_sum",
+        "d180": "events",
+        "earlier": "events revenue reviewed review_sum",
+    },
+    "support": {
+        "past": "tickets resolved_n resolved escalated_n escalated hours_n hours_sum happy_n happy_sum",
+        "d90": "tickets",
+    },
+    "campaigns": {"past": "touches opened_n opened clicked_n clicked converted_n converted"},
+    "interventions": {"past": "interventions"},
+}
+_EXTREMES = {
+    "orders": ["min past first_at", "max past last_at", "max past largest", "min future first_at"],
+    "campaigns": ["max past touched_at"],
+}
+
+
+def _window_aggregates(parts: set[str]) -> list[Column]:
+    """One aggregate per window and measure, named like ``past_revenue``."""
+    out = []
+    for part in sorted(parts):
+        for window, names in _SUMS[part].items():
+            for name in names.split():
+                out.append(
+                    f"coalesce(sum({name}) FILTER (WHERE {_WINDOWS[window]}), 0) AS {window}_{name}"
+                )
+        for entry in _EXTREMES.get(part, []):
+            how, window, name = entry.split()
+            out.append(f"{how}({name}) FILTER (WHERE {_WINDOWS[window]}) AS {window}_{name}")
+    return [F.expr(text) for text in out]
+
+
+def _features(churn_days: int, parts: set[str]) -> list[Column]:
+    """The feature columns from the windowed sums."""
     at = F.col(SNAPSHOT)
 
-    recency = floored_days(past.most("last_at"), at)
-    tenure = F.greatest(floored_days(past.least("first_at"), at), F.lit(1))
-    events = past.total("events")
-    frequency = ratio(events, tenure)
-    delay = ratio(past.total("delay_sum"), past.total("delayed_n"))
-    recent_review = ratio(last90.total("review_sum"), last90.total("reviewed"))
-    earlier_review = ratio(earlier90.total("review_sum"), earlier90.total("reviewed"))
-    recent_revenue = from_cents(last90.total("revenue"))
-    earlier_revenue = from_cents(earlier90.total("revenue"))
-    until_next = floored_days(at, future.least("first_at"))
-
-    out = {
-        "days_since_last_purchase": recency,
-        "orders_last_30_days": last30.total("events"),
-        "orders_last_90_days": last90.total("events"),
-        "orders_last_180_days": last180.total("events"),
-        "lifetime_orders": events,
-        "lifetime_revenue": from_cents(past.total("revenue")),
-        "revenue_last_90_days": recent_revenue,
-        "average_order_value": ratio(from_cents(past.total("revenue")), past.total("valued")),
-        "max_order_value": from_cents(past.most("largest")),
+    def mean(of: str, over: str) -> str:
+        return f"try_divide(CAST({of} AS DOUBLE), {over})"
+
+    recency = floored_days(F.col("past_last_at"), at)
+    until_next = floored_days(at, F.col("future_first_at"))
+    spread = sample_std(F.col("past_gaps"), F.col("past_gap_sum"), F.col("past_gap_squares"))
+    delay = mean("past_delay_sum", "past_delayed_n")
+    review = {w: mean(f"{w}_review_sum", f"{w}_reviewed") for w in ("past", "d90", "earlier")}
+    frequency = "CAST(past_events AS DOUBLE) / _tenure"
+    text = {
+        "orders_last_30_days": "d30_events",
+        "orders_last_90_days": "d90_events",
+        "orders_last_180_days": "d180_events",
+        "lifetime_orders": "past_events",
+        "lifetime_revenue": "past_revenue / 100D",
+        "revenue_last_90_days": "d90_revenue / 100D",
+        "average_order_value": mean("past_revenue / 100D", "past_valued"),
+        "max_order_value": "past_largest / 100D",
         "purchase_frequency": frequency,
-        "purchase_gap_mean": ratio(past.total("gap_sum"), past.total("gaps")),
-        "purchase_gap_std": sample_std(
-            past.total("gaps"), past.total("gap_sum"), past.total("gap_squares")
-        ),
-        "days_since_previous_order": recency,
+        "purchase_gap_mean": mean("past_gap_sum", "past_gaps"),
         "average_delivery_delay": delay,
-        "late_delivery_rate": ratio(past.total("late"), past.total("delivered")),
-        "average_delivery_days": ratio(past.total("days_sum"), past.total("days_n")),
-        "average_review_score": ratio(past.total("review_sum"), past.total("reviewed")),
+        "late_delivery_rate": mean("past_late", "past_delivered"),
+        "average_delivery_days": mean("past_days_sum", "past_days_n"),
+        "average_review_score": review["past"],
         # over all orders, not only reviewed ones; NULL without any review
-        "negative_review_rate": F.when(
-            past.total("reviewed") > 0, ratio(past.total("negative"), past.total("orders"))
-        ),
-        "installment_frequency": ratio(past.total("instalments_sum"), past.total("instalments_n")),
-        "payment_value": from_cents(past.total("paid")),
-        "spend_trend_90d": from_cents(last90.total("revenue") - earlier90.total("revenue")),
-        "purchase_frequency_trend_90d": last90.total("events") - earlier90.total("events"),
-        "review_trend_90d": recent_review - earlier_review,
-        "recent_90d_revenue": recent_revenue,
-        "previous_90d_revenue": earlier_revenue,
-        "recent_90d_order_count": last90.total("events"),
+        "negative_review_rate": f"IF(past_reviewed > 0, {mean('past_negative', 'past_orders')}, NULL)",
+        "installment_frequency": mean("past_instalments_sum", "past_instalments_n"),
+        "payment_value": "past_paid / 100D",
+        "spend_trend_90d": "(d90_revenue - earlier_revenue) / 100D",
+        "purchase_frequency_trend_90d": "d90_events - earlier_events",
+        "review_trend_90d": f"{review['d90']} - {review['earlier']}",
+        "recent_90d_revenue": "d90_revenue / 100D",
+        "previous_90d_revenue": "earlier_revenue / 100D",
+        "recent_90d_order_count": "d90_events",
         "lifetime_purchase_frequency": frequency,
-        "recent_delivery_delay": ratio(last90.total("delay_sum"), last90.total("delayed_n")),
+        "recent_delivery_delay": mean("d90_delay_sum", "d90_delayed_n"),
         "historical_delivery_delay": delay,
     }
+    dated = {
+        "days_since_last_purchase": recency,
+        "days_since_previous_order": recency,
+        "purchase_gap_std": spread,
+        "days_to_next_purchase": until_next,
+        "churned": F.when(until_next <= churn_days, 0).otherwise(1),
+    }
     if "support" in parts:
-        out |= {
-            "n_support_tickets": past.total("tickets"),
-            "n_tickets_last_90_days": last90.total("tickets"),
-            "pct_tickets_resolved": ratio(past.total("resolved"), past.total("resolved_n")),
-            "pct_tickets_escalated": ratio(past.total("escalated"), past.total("escalated_n")),
-            "avg_resolution_hours": ratio(past.total("hours_sum"), past.total("hours_n")),
-            "avg_ticket_satisfaction": ratio(past.total("happy_sum"), past.total("happy_n")),
+        text |= {
+            "n_support_tickets": "past_tickets",
+            "n_tickets_last_90_days": "d90_tickets",
+            "pct_tickets_resolved": mean("past_resolved", "past_resolved_n"),
+            "pct_tickets_escalated": mean("past_escalated", "past_escalated_n"),
+            "avg_resolution_hours": mean("past_hours_sum", "past_hours_n"),
+            "avg_ticket_satisfaction": mean("past_happy_sum", "past_happy_n"),
         }
     if "campaigns" in parts:
-        out |= {
-            "n_campaigns_received": past.total("touches"),
-            "pct_campaigns_opened": ratio(past.total("opened"), past.total("opened_n")),
-            "pct_campaigns_clicked": ratio(past.total("clicked"), past.total("clicked_n")),
-            "pct_campaigns_converted": ratio(past.total("converted"), past.total("converted_n")),
-            "days_since_last_campaign": floored_days(
-                past.most("touched_at", "timestamp_ntz"), at
-            ),
+        text |= {
+            "n_campaigns_received": "past_touches",
+            "pct_campaigns_opened": mean("past_opened", "past_opened_n"),
+            "pct_campaigns_clicked": mean("past_clicked", "past_clicked_n"),
+            "pct_campaigns_converted": mean("past_converted", "past_converted_n"),
         }
+        dated["days_since_last_campaign"] = floored_days(F.col("past_touched_at"), at)
     if "interventions" in parts:
-        out["has_been_targeted_for_retention"] = (past.total("interventions") > 0).cast("int")
-    out |= {
-        "days_to_next_purchase": until_next,
-        "churned": F.when(until_next <= churn_days, 0).otherwise(1),
-    }
-    return out
+        text["has_been_targeted_for_retention"] = "CAST(past_interventions > 0 AS INT)"
+    return [F.expr(f"{e} AS {name}") for name, e in text.items()] + [
+        c.alias(name) for name, c in dated.items()
+    ]
 
 
 def _stack(sources: Sequence[DataFrame]) -> DataFrame:
@@ -303,21 +308,23 @@ def _holdings(
     Grouped by person *and* value, so even a person who bought from every seller
     is spread over many tasks. One sum per snapshot: NULL means not held yet.
     """
-    at = {f"_h{i}": day for i, day in enumerate(periods.snapshots)}
+    days = [sql_literal(day) for day in periods.snapshots]
     sums = [
-        F.sum(F.when(F.col(time) <= F.lit(day).cast("timestamp_ntz"), amount)).alias(name)
-        for name, day in at.items()
+        F.expr(f"sum(_amount) FILTER (WHERE {time} <= {day}) AS _h{i}") for i, day in enumerate(days)
     ]
-    held = rows.where(F.col(time).isNotNull()).groupBy(PERSON, *keys).agg(*sums)
-    per_snapshot = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(day).cast("timestamp_ntz").alias(SNAPSHOT), F.col(name).alias("held"))
-                for name, day in at.items()
-            ]
-        )
-    ).alias("_h")
-    return held.select(PERSON, *keys, per_snapshot).select(PERSON, *keys, "_h.*").where("held IS NOT NULL")
+    held = (
+        rows.where(F.col(time).isNotNull())
+        .select(PERSON, *keys, time, amount.alias("_amount"))
+        .groupBy(PERSON, *keys)
+        .agg(*sums)
+    )
+    structs = [f"named_struct('{SNAPSHOT}', {day}, 'held', _h{i})" for i, day in enumerate(days)]
+    per_snapshot = F.expr(f"explode(array({', '.join(structs)})) AS _h")
+    return (
+        held.select(PERSON, *keys, per_snapshot)
+        .select(PERSON, *keys, "_h.*")
+        .where("held IS NOT NULL")
+    )
 
 
 def _item_features(items: DataFrame, periods: Periods) -> DataFrame:
@@ -366,24 +373,18 @@ def assign_splits(panel: DataFrame, splits: Mapping[datetime, str]) -> DataFrame
 
     Without this the same person would appear in training and in test.
     """
-    split_of = _split_of(splits)
     first = F.min(SNAPSHOT).over(Window.partitionBy(PERSON))  # one row per snapshot in a partition
     return (
         panel.withColumn("_first", first)
-        .withColumn("split", split_of(F.col(SNAPSHOT)))
-        .where(F.col("split") == split_of(F.col("_first")))
+        .withColumn("split", _split_of(SNAPSHOT, splits))
+        .where(F.col("split") == _split_of("_first", splits))
         .drop("_first")
     )
 
 
-def _split_of(splits: Mapping[datetime, str]):
-    def split(day: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for when, name in splits.items():
-            out = F.when(day == F.lit(when).cast("timestamp_ntz"), name).otherwise(out)
-        return out
-
-    return split
+def _split_of(day: str, splits: Mapping[datetime, str]) -> Column:
+    cases = " ".join(f"WHEN {sql_literal(d)} THEN {sql_literal(s)}" for d, s in splits.items())
+    return F.expr(f"CASE {day} {cases} END")
 
 
 def snapshot_features(
@@ -417,17 +418,16 @@ def snapshot_features(
             parts.add(name)
             sources.append(build(table, periods))
     stacked = _stack(sources)
-    present = set(stacked.columns)
-    measures = _measures(present, churn_days, parts)
-    owned = _Window(None, "_now", present).total("orders")
+    tenure = floored_days(F.col("past_first_at"), F.col(SNAPSHOT))
     panel = (
         stacked.repartition(PERSON)
         .select("*", periods.expanded())
         .select(*stacked.columns, "_s.*")
         .groupBy(PERSON, SNAPSHOT)
-        .agg(owned.alias("_orders"), *[m.alias(name) for name, m in measures.items()])
-        .where(F.col("_orders") > 0)
-        .drop("_orders")
+        .agg(*_window_aggregates(parts))
+        .where("past_orders > 0")
+        .withColumn("_tenure", F.greatest(tenure, F.lit(1)))
+        .select(PERSON, SNAPSHOT, *_features(churn_days, parts))
     )
     if splits is not None:
         panel = assign_splits(panel, splits)
@@ -442,20 +442,27 @@ def snapshot_features(
     return panel
 
 
-def base_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Order summary, item summary and geography from the raw tables."""
-    resolved = staging.resolved_orders(staging.stage_orders(raw["orders"]), raw["customers"])
-    products = staging.stage_products(
-        raw["products"], raw["translation"], raw.get("overrides", fixed.CATEGORY_OVERRIDES)
-    )
-    return {
-        "resolved": resolved,
-        "order_summary": staging.order_summary(
-            resolved, raw["items"], raw["payments"], raw["reviews"]
-        ),
-        "item_summary": staging.item_summary(raw["items"], products, resolved),
-        "geography": staging.customer_geography(raw["customers"]),
-    }
+class Base:
+    """Order summary, item summary and geography over the raw tables."""
+
+    def __init__(self, raw: Mapping[str, DataFrame]):
+        self.raw = raw
+        self.resolved = staging.resolved_orders(
+            staging.stage_orders(raw["orders"]), raw["customers"]
+        )
+
+    def order_summary(self) -> DataFrame:
+        raw = self.raw
+        return staging.order_summary(self.resolved, raw["items"], raw["payments"], raw["reviews"])
+
+    def item_summary(self) -> DataFrame:
+        raw = self.raw
+        overrides = raw.get("overrides", fixed.CATEGORY_OVERRIDES)
+        products = staging.stage_products(raw["products"], raw["translation"], overrides)
+        return staging.item_summary(raw["items"], products, self.resolved)
+
+    def geography(self) -> DataFrame:
+        return staging.customer_geography(self.raw["customers"])
 
 
 def feature_table(
@@ -466,12 +473,12 @@ def feature_table(
     **options,
 ) -> DataFrame:
     """``snapshot_features`` straight from the raw tables, limited to ``parts``."""
-    base = base_tables(raw)
+    base = Base(raw)
     return snapshot_features(
         snapshots,
-        base["order_summary"],
-        base["item_summary"] if "items" in parts else None,
-        base["geography"] if "geography" in parts else None,
+        base.order_summary(),
+        base.item_summary() if "items" in parts else None,
+        base.geography() if "geography" in parts else None,
         raw["tickets"] if "support" in parts else None,
         raw["campaigns"] if "campaigns" in parts else None,
         raw["interventions"] if "interventions" in parts else None,

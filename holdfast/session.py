@@ -17,6 +17,8 @@ def session(app: str = "holdfast", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # a hot key is split even where that costs one more exchange
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # call sites per column expression cost more than building the plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

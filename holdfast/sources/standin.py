@@ -35,17 +35,17 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def _whole(column: Column) -> Column:
     """A double with two decimals as whole hundredths."""
-    return F.round(column * 100).cast("bigint")
+    return F.floor(column * 100 + F.lit(0.5))
 
 
 def _share_of_cents(percent: Column) -> Column:
     """Percent of the extended price, rounded half up to whole cents."""
     tenths = _whole(F.col("l_extendedprice")) * percent + 50
-    return F.floor(tenths / 100).cast("bigint")
+    return F.floor(tenths / 100)
 
 
 def _money(whole_cents: Column) -> Column:
-    return (whole_cents.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(12,2)")
+    return whole_cents / F.lit(100.0)
 
 
 def tables(spark: SparkSession, folder: str) -> dict:
