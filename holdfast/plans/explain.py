@@ -20,7 +20,7 @@ from holdfast.plans.model import LABEL, Term
 
 
 def background_means(background: DataFrame, terms: Sequence[Term]) -> list[float]:
-    row = background.agg(*[F.expr(f"avg({t.value}) AS m{i}") for i, t in enumerate(terms)]).first()
+    row = background.agg(*[F.expr(f"avg(CAST({t.value} AS DOUBLE)) AS m{i}") for i, t in enumerate(terms)]).first()
     return [row[i] for i in range(len(terms))]
 
 

@@ -447,9 +447,9 @@ class Base:
 
     def __init__(self, raw: Mapping[str, DataFrame]):
         self.raw = raw
-        self.resolved = staging.resolved_orders(
-            staging.stage_orders(raw["orders"]), raw["customers"]
-        )
+        staged = staging.stage_orders(raw["orders"])
+        named = "customer_unique_id" in staged.columns
+        self.resolved = staged if named else staging.resolved_orders(staged, raw["customers"])
 
     def order_summary(self) -> DataFrame:
         raw = self.raw

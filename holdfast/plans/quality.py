@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from holdfast import fixed
 from holdfast.functions.dates import truncated_days
 from holdfast.operators.profile import orphans, unpivot_row
+from holdfast.plans.staging import resolved_orders
 
 CRITICAL, WARNING = "critical", "warning"
 
@@ -77,7 +78,7 @@ def run_checks(tables: dict[str, DataFrame], as_of: datetime | Column | None = N
         F.min("customer_unique_id").alias("low"), F.max("customer_unique_id").alias("high")
     )
     moments = (
-        orders.join(t["customers"].select("customer_id", "customer_unique_id"), "customer_id")
+        resolved_orders(orders, t["customers"])
         .groupBy("customer_unique_id", "order_purchase_timestamp")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -397,7 +397,7 @@ TERMS = {
         "number", "CAST(has_been_targeted_for_retention AS DOUBLE)", 2.0),
     "has_repeat_purchase": ("flag", "CAST(has_repeat_purchase AS DOUBLE)", -0.2),
     "customer_state_NATION_1": (
-        "category", "CASE WHEN customer_state = 'NATION_1' THEN 1.0 ELSE 0.0 END", 0.1),
+        "category", "CAST(CASE WHEN customer_state = 'NATION_1' THEN 1 ELSE 0 END AS DOUBLE)", 0.1),
 }
 INTERCEPT = 0.25
 _FLAGGED = f"""{_BASE}, {_FEAT}, flagged AS (
@@ -541,6 +541,8 @@ def oracle_sql() -> dict[str, str]:
     out["staged_items"] = _with(_BASE, """
       SELECT order_id, product_id, seller_id, price_c / 100.0 AS price, freight_c / 100.0 AS freight_value
       FROM items""")
+    out["resolved_orders"] = _with(_BASE, """
+      SELECT order_id, cust AS customer_unique_id, ts AS order_purchase_timestamp FROM ord""")
     out["purchase_events"] = _with(_BASE, """
       SELECT cust AS customer_unique_id, ts AS order_purchase_timestamp,
         min_order AS representative_order_id FROM ev""")
@@ -585,7 +587,7 @@ def oracle_sql() -> dict[str, str]:
     out["duplicate_sample"] = """
       WITH d AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
         ORDER BY 1, 2 LIMIT 1)
-      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN d USING (l_orderkey, l_linenumber)"""
+      SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN d USING (l_orderkey, l_linenumber)"""
     out["duplicated_features"] = _with(f"{_BASE}, {_FEAT}", " UNION ALL ".join(
         f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
         count(*) FILTER (WHERE {a} IS DISTINCT FROM {b}) AS rows_differing,
@@ -677,7 +679,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT seller_id, {_sum('price_c + freight_c')} AS revenue_cents, count(*) AS items_sold
       FROM items GROUP BY 1""")
     out["value_quantiles"] = _with(f"{_BASE}, {money}", " UNION ALL ".join(
-        f"SELECT {q} AS probability, round(quantile_cont(c, {q}) / 100.0, 6) AS revenue FROM money"
+        f"SELECT CAST({q} AS DOUBLE) AS probability, round(quantile_cont(c, {q}) / 100.0, 6) AS revenue FROM money"
         for q in (0.5, 0.75, 0.9, 0.95, 0.99)))
     out["value_distribution"] = _with(f"{_BASE}, {money}", " UNION ALL ".join(
         f"SELECT '{n}' AS statistic, round(CAST({e} AS DOUBLE), 4) AS value FROM money"
@@ -757,11 +759,11 @@ def oracle_sql() -> dict[str, str]:
       FROM interventions JOIN behavior USING (cust)""")
     out["campaign_unit_costs"] = _with(b, """
       SELECT channel, count(*) AS n, round(count(*) * CASE channel WHEN 'email' THEN 0.05
-        WHEN 'sms' THEN 0.08 ELSE 0.02 END, 2) AS total_cost FROM campaigns GROUP BY 1""")
+        WHEN 'sms' THEN 0.08 ELSE 0.02 END::DOUBLE, 2) AS total_cost FROM campaigns GROUP BY 1""")
     out["intervention_unit_costs"] = _with(b, """
       SELECT kind AS intervention_type, count(*) AS n, round(count(*) * CASE kind
         WHEN 'discount_offer' THEN 25.0 WHEN 'personal_outreach' THEN 12.0
-        WHEN 'free_shipping' THEN 15.0 ELSE 8.0 END, 2) AS total_cost FROM interventions GROUP BY 1""")
+        WHEN 'free_shipping' THEN 15.0 ELSE 8.0 END::DOUBLE, 2) AS total_cost FROM interventions GROUP BY 1""")
 
     # models
     linear = " + ".join([repr(INTERCEPT)] + [f"{c} * ({v})" for _, v, c in TERMS.values()])

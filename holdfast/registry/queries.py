@@ -93,6 +93,15 @@ def staged_items(spark, folder):
     return items.select("order_id", "product_id", "seller_id", "price", "freight_value")
 
 
+@query
+def resolved_orders(spark, folder):
+    raw = _raw(spark, folder)
+    staged = staging.stage_orders(raw["orders"].drop("customer_unique_id"))
+    return staging.resolved_orders(staged, raw["customers"]).select(
+        "order_id", "customer_unique_id", "order_purchase_timestamp"
+    )
+
+
 @query
 def purchase_events(spark, folder):
     return staging.purchase_events(_resolved(spark, folder))

@@ -7,6 +7,7 @@ from whole cents, so it is exact on every engine.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,114 +49,189 @@ def _money(whole_cents: Column) -> Column:
     return whole_cents / F.lit(100.0)
 
 
-def tables(spark: SparkSession, folder: str) -> dict:
-    """All canonical tables, lazily; each query reads only the columns it uses."""
-    lines = read(spark, folder, "lineitem")
-    orders = read(spark, folder, "orders")
-    shipped = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("delivered"))
-    nations = read(spark, folder, "nation").select("n_nationkey", "n_name")
-    buyers = read(spark, folder, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    escalated = (F.col("l_linestatus") != "F") & (F.col("l_discount") > 0.07)
-    opened = F.col("l_linestatus") == "O"
-    clicked = opened & (F.col("l_discount") > 0.05)
-    with_buyer = lines.join(
-        orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
+class Tables(Mapping):
+    """The canonical tables of a folder, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder, self._built = spark, folder, {}
+
+    def __getitem__(self, name: str):
+        if name == "overrides":
+            return OVERRIDES
+        if name not in self._built:
+            self._built[name] = _BUILDERS[name](self)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter([*_BUILDERS, "overrides"])
+
+    def __len__(self):
+        return len(_BUILDERS) + 1
+
+    def file(self, table: str) -> DataFrame:
+        key = ("file", table)
+        if key not in self._built:
+            self._built[key] = read(self._spark, self._folder, table)
+        return self._built[key]
+
+    def lines_with_buyer(self) -> DataFrame:
+        buyers = self.file("orders").select("o_orderkey", "o_custkey")
+        return self.file("lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def tables(spark: SparkSession, folder: str) -> Tables:
+    return Tables(spark, folder)
+
+
+def _customers(t: Tables) -> DataFrame:
+    nations = t.file("nation").select("n_nationkey", "n_name")
+    buyers = t.file("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return t.file("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("customer_id"),
+        F.col("o_custkey").alias("customer_unique_id"),
+        F.col("n_name").alias("customer_state"),
+        F.col("o_orderpriority").alias("customer_city"),
     )
-    return {
-        "customers": orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
-            F.col("o_orderkey").alias("customer_id"),
-            F.col("o_custkey").alias("customer_unique_id"),
-            F.col("n_name").alias("customer_state"),
-            F.col("o_orderpriority").alias("customer_city"),
-        ),
-        "orders": orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+
+
+def _orders(t: Tables) -> DataFrame:
+    """Orders name the person directly here, next to the per-order customer record."""
+    shipped = t.file("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("delivered"))
+    return (
+        t.file("orders")
+        .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_orderkey").alias("customer_id"),
+            F.col("o_custkey").alias("customer_unique_id"),
             F.col("o_orderstatus").alias("order_status"),
             F.col("o_orderdate").alias("order_purchase_timestamp"),
             F.col("delivered").alias("order_delivered_customer_date"),
             (F.col("o_orderdate") + F.expr("INTERVAL '30' DAY")).alias(
                 "order_estimated_delivery_date"
             ),
-        ),
-        "items": lines.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            _money(_share_of_cents(100 - _whole(F.col("l_discount")))).alias("price"),
-            _money(_share_of_cents(_whole(F.col("l_tax")))).alias("freight_value"),
-        ),
-        "payments": lines.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("payment_sequential"),
-            F.col("l_returnflag").alias("payment_type"),
-            F.col("l_linenumber").alias("payment_installments"),
-            _money(_whole(F.col("l_extendedprice"))).alias("payment_value"),
-        ),
-        "reviews": lines.where(F.col("l_linestatus") == "F").select(
+        )
+    )
+
+
+def _items(t: Tables) -> DataFrame:
+    return t.file("lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("order_item_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"),
+        _money(_share_of_cents(100 - _whole(F.col("l_discount")))).alias("price"),
+        _money(_share_of_cents(_whole(F.col("l_tax")))).alias("freight_value"),
+    )
+
+
+def _payments(t: Tables) -> DataFrame:
+    return t.file("lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("payment_sequential"),
+        F.col("l_returnflag").alias("payment_type"),
+        F.col("l_linenumber").alias("payment_installments"),
+        _money(_whole(F.col("l_extendedprice"))).alias("payment_value"),
+    )
+
+
+def _reviews(t: Tables) -> DataFrame:
+    return (
+        t.file("lineitem")
+        .where(F.col("l_linestatus") == "F")
+        .select(
             F.col("l_linenumber").alias("review_id"),
             F.col("l_orderkey").alias("order_id"),
             (F.col("l_linenumber") % 5 + 1).alias("review_score"),
-        ),
-        "products": read(spark, folder, "part").select(
-            F.col("p_partkey").alias("product_id"), F.col("p_type").alias("product_category_name")
-        ),
-        "sellers": read(spark, folder, "supplier").select(
-            F.col("s_suppkey").alias("seller_id"), F.col("s_nationkey").alias("seller_state")
-        ),
-        # the lookup leaves two types out; one of them has an agreed name
-        "translation": _translation(spark, folder),
-        "overrides": OVERRIDES,
-        "tickets": with_buyer.where(F.col("l_returnflag") == "R").select(
+        )
+    )
+
+
+def _products(t: Tables) -> DataFrame:
+    return t.file("part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_type").alias("product_category_name")
+    )
+
+
+def _sellers(t: Tables) -> DataFrame:
+    return t.file("supplier").select(
+        F.col("s_suppkey").alias("seller_id"), F.col("s_nationkey").alias("seller_state")
+    )
+
+
+def _tickets(t: Tables) -> DataFrame:
+    escalated = (F.col("l_linestatus") != "F") & (F.col("l_discount") > 0.07)
+    return (
+        t.lines_with_buyer()
+        .where(F.col("l_returnflag") == "R")
+        .select(
             F.col("o_custkey").alias("customer_unique_id"),
             F.col("l_shipdate").alias("created_at"),
             (F.col("l_linestatus") == "F").alias("resolved"),
             escalated.alias("escalated"),
             F.col("l_quantity").alias("resolution_hours"),
             (F.col("l_linenumber") % 5 + 1).alias("customer_satisfaction"),
-        ),
-        "campaigns": with_buyer.where(F.col("l_returnflag") == "A").select(
+        )
+    )
+
+
+def _campaigns(t: Tables) -> DataFrame:
+    opened = F.col("l_linestatus") == "O"
+    clicked = opened & (F.col("l_discount") > 0.05)
+    return (
+        t.lines_with_buyer()
+        .where(F.col("l_returnflag") == "A")
+        .select(
             F.col("o_custkey").alias("customer_unique_id"),
             F.col("l_shipdate").alias("campaign_date"),
-            F.element_at(
-                F.array(F.lit("email"), F.lit("sms"), F.lit("push")), F.col("l_linenumber") % 3 + 1
-            ).alias("channel"),
+            F.expr("element_at(array('email', 'sms', 'push'), l_linenumber % 3 + 1)").alias("channel"),
             opened.alias("opened"),
             clicked.alias("clicked"),
             (clicked & (F.col("l_tax") > 0.04)).alias("converted"),
-        ),
-        "interventions": with_buyer.where(
-            (F.col("l_returnflag") == "N") & (F.col("l_quantity") > 45)
-        ).select(
+        )
+    )
+
+
+def _interventions(t: Tables) -> DataFrame:
+    kinds = "'discount_offer', 'personal_outreach', 'free_shipping', 'loyalty_points'"
+    return (
+        t.lines_with_buyer()
+        .where((F.col("l_returnflag") == "N") & (F.col("l_quantity") > 45))
+        .select(
             F.col("o_custkey").alias("customer_unique_id"),
             F.col("l_shipdate").alias("created_at"),
-            F.element_at(
-                F.array(
-                    F.lit("discount_offer"),
-                    F.lit("personal_outreach"),
-                    F.lit("free_shipping"),
-                    F.lit("loyalty_points"),
-                ),
-                F.col("l_linenumber") % 4 + 1,
-            ).alias("intervention_type"),
-        ),
-    }
-
-
-def _translation(spark: SparkSession, folder: str) -> DataFrame:
+            F.expr(f"element_at(array({kinds}), l_linenumber % 4 + 1)").alias("intervention_type"),
+        )
+    )
+
+
+def _translation(t: Tables) -> DataFrame:
+    """A lookup that leaves two types out; one of them has an agreed name."""
     known = F.create_map(*[F.lit(x) for pair in TRANSLATION.items() for x in pair])
     return (
-        read(spark, folder, "part")
-        .select(F.col("p_type").alias("product_category_name"))
+        _products(t)
+        .select("product_category_name")
         .distinct()
         .withColumn("product_category_name_english", F.try_element_at(known, "product_category_name"))
         .where(F.col("product_category_name_english").isNotNull())
     )
 
 
+_BUILDERS = {
+    "customers": _customers,
+    "orders": _orders,
+    "items": _items,
+    "payments": _payments,
+    "reviews": _reviews,
+    "products": _products,
+    "sellers": _sellers,
+    "translation": _translation,
+    "tickets": _tickets,
+    "campaigns": _campaigns,
+    "interventions": _interventions,
+}
+
+
 def user_events(spark: SparkSession, folder: str) -> DataFrame:
     """The event log as purchase moments with sub-day times."""
     return read(spark, folder, "events").select(
