@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import fixed
-from holdfast.functions.amounts import from_cents, ratio
+from holdfast.functions.amounts import cents, from_cents, ratio
 from holdfast.functions.dates import floored_days
 from holdfast.operators.ordered import percentile_rank, quantile_list
 from holdfast.plans.staging import order_reviews, order_values
@@ -95,16 +95,18 @@ def customer_costs(behavior: DataFrame, tickets: DataFrame) -> DataFrame:
     hours = tickets.groupBy("customer_unique_id").agg(
         F.sum(F.col("resolution_hours").cast("double")).alias("hours")
     )
-    support = F.round(F.coalesce(F.col("hours") * 1.5, F.lit(0.0)), 2)
-    revenue = F.col("total_revenue")
+    # whole cents, halves rounded up
+    support = cents(F.coalesce(F.col("hours") * 1.5, F.lit(0.0)))
+    service = F.floor((F.col("revenue_cents") * 3 + F.col("_support") * 50 + 50) / 100)
+    processing = F.floor((F.col("revenue_cents") * 15 + 500) / 1000)
     return (
         behavior.join(hours, "customer_unique_id", "left")
-        .withColumn("support_cost", support)
+        .withColumn("_support", support)
         .select(
             "customer_unique_id",
-            "support_cost",
-            F.round(revenue * 0.03 + F.col("support_cost") * 0.5, 2).alias("annual_service_cost"),
-            F.round(revenue * 0.015, 2).alias("estimated_processing_cost"),
+            from_cents(F.col("_support")).alias("support_cost"),
+            from_cents(service).alias("annual_service_cost"),
+            from_cents(processing).alias("estimated_processing_cost"),
         )
     )
 

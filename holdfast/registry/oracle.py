@@ -123,7 +123,8 @@ tiers AS (
     CASE WHEN pr >= 0.9 THEN 'high_value' WHEN pr >= 0.6 THEN 'standard'
       ELSE 'low_value' END AS segment FROM behavior),
 costs AS (
-  SELECT cust, round(coalesce(hours, 0) * 1.5, 2) AS support_cost, total_revenue
+  SELECT cust, CAST(floor(coalesce(hours, 0) * 150 + 0.5) AS BIGINT) / 100.0 AS support_cost,
+    CAST(floor(coalesce(hours, 0) * 150 + 0.5) AS BIGINT) AS support_c, rev_c
   FROM behavior LEFT JOIN (SELECT cust, sum(hours) AS hours FROM tickets GROUP BY 1) USING (cust))
 """
 
@@ -738,9 +739,9 @@ def oracle_sql() -> dict[str, str]:
         + greatest((3.5 - avg_review_score) * 0.08, 0.0), 0.85), 6) AS ticket_probability FROM behavior""")
     out["campaign_intensity"] = _with(b, "SELECT cust AS customer_unique_id, round(2 + 4 * pr, 6) AS expected_campaigns FROM behavior")
     out["customer_costs"] = _with(b, """
-      SELECT cust AS customer_unique_id, round(support_cost, 2) AS support_cost,
-        round(total_revenue * 0.03 + support_cost * 0.5, 2) AS annual_service_cost,
-        round(total_revenue * 0.015, 2) AS estimated_processing_cost FROM costs""")
+      SELECT cust AS customer_unique_id, support_cost,
+        (rev_c * 3 + support_c * 50 + 50) // 100 / 100.0 AS annual_service_cost,
+        (rev_c * 15 + 500) // 1000 / 100.0 AS estimated_processing_cost FROM costs""")
     out["lapsed_customers"] = _with(b, f"""
       SELECT cust AS customer_unique_id, last_purchase, {_floor('last_purchase', _AS_OF)} AS days_quiet
       FROM behavior WHERE {_floor('last_purchase', _AS_OF)} >= 150""")
@@ -822,7 +823,7 @@ def oracle_sql() -> dict[str, str]:
     # value and scenarios
     out["revenue_at_risk"] = _with(_VALUE, """
       SELECT customer_unique_id, customer_value, round(p, 6) AS predicted_churn_probability,
-        round(revenue_at_risk, 6) AS revenue_at_risk, segment, round(support_cost, 2) AS support_cost FROM risk""")
+        revenue_at_risk, segment, support_cost FROM risk""")
     out["risk_tiers"] = _with(_VALUE, """
       SELECT customer_unique_id, round(p, 6) AS predicted_churn_probability, risk_tier FROM tiered""")
     out["campaign_roi_topn"] = _with(_VALUE, _roi("SELECT * FROM tiered ORDER BY revenue_at_risk DESC, customer_unique_id LIMIT 100", 15.0, 0.2))
@@ -850,12 +851,12 @@ def oracle_sql() -> dict[str, str]:
       SELECT coalesce(risk_tier, 'All') AS risk_tier, coalesce(t, 'All') AS risk_tier_scenario,
         count(*) AS n_customers FROM whatif WHERE t IS NOT NULL GROUP BY CUBE (risk_tier, t)""")
     out["customers_page"] = _with(_VALUE, """
-      SELECT customer_unique_id, round(revenue_at_risk, 6) AS revenue_at_risk, risk_tier,
+      SELECT customer_unique_id, revenue_at_risk, risk_tier,
         (SELECT count(*) FROM tiered WHERE risk_tier = 'high' AND revenue_at_risk >= 1000) AS total
       FROM tiered WHERE risk_tier = 'high' AND revenue_at_risk >= 1000
       ORDER BY customer_unique_id LIMIT 20 OFFSET 10""")
     out["customer_lookup"] = _with(_VALUE, """
-      SELECT customer_unique_id, round(revenue_at_risk, 6) AS revenue_at_risk, segment, risk_tier
+      SELECT customer_unique_id, revenue_at_risk, segment, risk_tier
       FROM tiered WHERE customer_unique_id = (SELECT min(customer_unique_id) FROM tiered)""")
     out["customer_batch_lookup"] = _with(_VALUE, """
       SELECT customer_unique_id, risk_tier FROM tiered WHERE customer_unique_id IN (

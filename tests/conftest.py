@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__sql__warehouse__dir="/tmp/holdfast-warehouse",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="holdfast-warehouse-"),
         spark__driver__memory="4g",
     )
     s.sparkContext.setLogLevel("ERROR")
