@@ -123,16 +123,20 @@ def order_summary(
 
 
 def item_summary(items: DataFrame, staged_products: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Revenue in cents per order, product category and seller, with buyer and time.
+    """Items with price in cents, product category, seller, buyer and time.
 
-    Items shrink to one row per order, product and seller before any join.
+    One exchange, for the orders; a best-seller or a giant order is split by the
+    adaptive skew join, and what follows groups by other keys anyway.
     """
-    grouped = items.groupBy("order_id", "product_id", "seller_id").agg(
-        F.coalesce(F.sum(cents(F.col("price"))), F.lit(0)).alias("price_cents")
+    priced = items.select(
+        "order_id",
+        "product_id",
+        "seller_id",
+        F.coalesce(cents(F.col("price")), F.lit(0)).alias("price_cents"),
     )
     owners = resolved.select("order_id", "customer_unique_id", "order_purchase_timestamp")
     categories = staged_products.select("product_id", "product_category_english")
-    return grouped.join(owners, "order_id").join(categories, "product_id", "left")
+    return priced.join(owners, "order_id").join(categories, "product_id", "left")
 
 
 def customer_geography(customers: DataFrame) -> DataFrame:

@@ -552,11 +552,10 @@ def oracle_sql() -> dict[str, str]:
         pay_c / 100.0 AS payment_value, round(inst, 6) AS installments_mean,
         ptype AS payment_type_mode, round(score, 6) AS review_score,
         delay AS delivery_delay_days FROM osum""")
-    out["item_summary"] = _with(_BASE, f"""
+    out["item_summary"] = _with(_BASE, """
       SELECT order_id, product_id, seller_id, cust AS customer_unique_id,
-        cat AS product_category_english, {_sum('price_c')} AS price_cents
-      FROM items JOIN ord USING (order_id) LEFT JOIN category USING (product_id)
-      GROUP BY 1, 2, 3, 4, 5""")
+        cat AS product_category_english, price_c AS price_cents
+      FROM items JOIN ord USING (order_id) LEFT JOIN category USING (product_id)""")
     out["geo_mode"] = _with(f"{_BASE}, {_FEAT}", """
       SELECT cust AS customer_unique_id, state AS customer_state, city AS customer_city
       FROM geo_state JOIN geo_city USING (cust)""")

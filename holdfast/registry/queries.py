@@ -46,16 +46,15 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Whole numbers as BIGINT and doubles rounded, so that results compare across engines."""
     out = []
     for field in df.schema:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.IntegerType, T.ShortType)) or (
-            isinstance(field.dataType, T.DecimalType) and field.dataType.scale == 0
-        ):
-            c = c.cast("bigint")
-        elif field.name not in EXACT and isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
+        kind, name = field.dataType, f"`{field.name}`"
+        whole = isinstance(kind, T.DecimalType) and kind.scale == 0
+        if whole or isinstance(kind, (T.IntegerType, T.ShortType)):
+            name = f"CAST({name} AS BIGINT) AS {name}"
+        elif field.name not in EXACT and isinstance(kind, (T.DoubleType, T.DecimalType)):
             # adding zero turns -0.0 into 0.0
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            name = f"round(CAST({name} AS DOUBLE), {digits}) + 0D AS {name}"
+        out.append(name)
+    return df.selectExpr(*out)
 
 
 def _raw(spark, folder):
