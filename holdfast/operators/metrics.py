@@ -4,42 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.amounts import ratio
 from holdfast.operators.ordered import prefix
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve, ties counted half; NULL where only one class is present."""
-    by = list(by)
-    ranked = prefix(df, score, by, sums={"pos": F.sum(label), "neg": F.sum(1 - F.col(label))})
+def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Churned and retained customers at each distinct score and below it."""
+    sums = {"churned": F.sum(label), "retained": F.sum(1 - F.col(label))}
+    return prefix(df, score, by, sums=sums)
 
 
-    def wide(c):
-        return c.cast("decimal(19,0)")  # products of counts outgrow BIGINT
+def _wide(count: Column) -> Column:
+    return count.cast("decimal(19,0)")  # products of counts outgrow BIGINT
 
-    pairs = wide(F.col("pos")) * wide(F.col("before_neg") * 2 + F.col("neg"))
-    possible = F.max(wide(F.col("total_pos")) * wide(F.col("total_neg"))) * 2
-    return ranked.groupBy(*by).agg(
-        F.sum("n").alias("n_rows"), ratio(F.sum(pairs), possible).alias("roc_auc")
-    )
+
+def _auc() -> Column:
+    """Pairs ordered rightly, ties half, over all pairs; NULL if a class is absent."""
+    pairs = _wide(F.col("churned")) * _wide(F.col("before_retained") * 2 + F.col("retained"))
+    possible = F.max(_wide(F.col("total_churned")) * _wide(F.col("total_retained"))) * 2
+    return ratio(F.sum(pairs), possible)
+
+
+def _precision_of_retained() -> Column:
+    """Recall steps times precision; retained customers rank by ``1 - score``."""
+    precision = ratio(F.col("before_retained") + F.col("retained"), F.col("before_n") + F.col("n"))
+    return ratio(F.sum(F.col("retained") * precision), F.max("total_retained"))
+
+
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve, ties counted half; NULL where only one class is present."""
+    curve = score_curve(df, label, score, by)
+    return curve.groupBy(*by).agg(F.sum("n").alias("n_rows"), _auc().alias("roc_auc"))
 
 
 def average_precision_retained(
     df: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Step-wise average precision with the retained class (label 0) as positive.
-
-    Retained customers rank by ``1 - score``, so thresholds rise with the score.
-    """
-    by = list(by)
-    ranked = prefix(df, score, by, sums={"pos": F.sum(1 - F.col(label))})
-    precision = ratio(F.col("before_pos") + F.col("pos"), F.col("before_n") + F.col("n"))
-    return ranked.groupBy(*by).agg(
-        ratio(F.sum(F.col("pos") * precision), F.max("total_pos")).alias("pr_auc_retained")
-    )
+    """Step-wise average precision with the retained class (label 0) as positive."""
+    curve = score_curve(df, label, score, by)
+    return curve.groupBy(*by).agg(_precision_of_retained().alias("pr_auc_retained"))
 
 
 def confusion(
@@ -107,11 +113,25 @@ def classification_report(
     return cells.select(*by, rows).select(*by, "_r.*")
 
 
-def evaluate(df: DataFrame, label: str, score: str, by: Sequence[str] = ("split",)) -> DataFrame:
-    """All headline metrics of a scored table, one row per split."""
-    by = list(by)
+def evaluate(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = ("split",), threshold: float = 0.5
+) -> DataFrame:
+    """All headline metrics of a scored table, one row per split, from one score curve."""
+    above = F.col(score) > threshold
+
+    def cell(count: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(count))), F.lit(0))
+
     return (
-        roc_auc(df, label, score, by)
-        .join(average_precision_retained(df, label, score, by), by)
-        .join(confusion(df, label, score, by), by)
+        score_curve(df, label, score, by)
+        .groupBy(*by)
+        .agg(
+            F.sum("n").alias("n_rows"),
+            _auc().alias("roc_auc"),
+            _precision_of_retained().alias("pr_auc_retained"),
+            cell("retained", ~above).alias("tn"),
+            cell("retained", above).alias("fp"),
+            cell("churned", ~above).alias("fn"),
+            cell("churned", above).alias("tp"),
+        )
     )

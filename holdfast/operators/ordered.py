@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.session import settle
+
 MAX_SLICES = 256
 #: up to here a top-k result or a page is small enough for Spark's own limit
 SMALL_LIMIT = 100_000
@@ -83,6 +85,8 @@ def prefix(
 ) -> DataFrame:
     """One row per distinct value with counts and running sums in value order.
 
+    Runs ``df`` once, to write the collapsed table, unless ``points`` are given.
+
     Returns ``by``, ``value``, ``n`` and each of ``sums`` for the value itself,
     ``before_*`` for everything ranked ahead of it and ``total_*`` for the whole
     group. ``by`` must have few groups (splits, features, strata). NULL values
@@ -90,16 +94,18 @@ def prefix(
     """
     by = list(by)
     measures = {"n": F.count(F.lit(1)), **(sums or {})}
-    if points is None:
-        points = split_points(df, value)
     numeric = not isinstance(df.schema[value].dataType, T.StringType)
     axis = f"CAST(`{value}` AS DOUBLE)" if numeric else f"`{value}`"
     grouped = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)
         .agg(*[m.alias(name) for name, m in measures.items()])
-        .withColumn("_slice", slice_of(axis, list(points)))
     )
+    if points is None:
+        # everything below reads the collapsed table, so the input runs only once
+        grouped = settle(grouped)
+        points = split_points(grouped, value)
+    grouped = grouped.withColumn("_slice", slice_of(axis, list(points)))
 
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
@@ -265,9 +271,9 @@ def leading_sums(
         .where(cuts(F.col("take")))
         .select(name, (F.col("before_amount") + F.col("amount") * part).alias("_sum"))
     )
-    whole = df.groupBy().agg(
-        F.count(value).alias("total_n"),
-        F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col(amount))), F.lit(0)).alias("total_sum"),
+    whole = ranked.groupBy().agg(
+        F.coalesce(F.max("total_n"), F.lit(0)).alias("total_n"),
+        F.coalesce(F.max("total_amount"), F.lit(0)).alias("total_sum"),
     )
     everything = F.when(F.col("take") > F.col("total_n"), F.col("total_sum")).otherwise(F.lit(0))
     return (

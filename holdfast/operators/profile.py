@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.amounts import percent, ratio
 from holdfast.operators.ordered import quantiles
+from holdfast.session import settle
 
 
 def unpivot_row(df: DataFrame, keys: Sequence[str], cells: dict[str, dict[str, Column]], name: str) -> DataFrame:
@@ -84,6 +85,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def describe(df: DataFrame, value: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quantiles: statistic and value rows."""
+    df = settle(df.select(value))
     wide = df.groupBy().agg(
         F.count(value).cast("double").alias("count"),
         F.avg(F.col(value).cast("double")).alias("mean"),
@@ -100,18 +102,14 @@ def describe(df: DataFrame, value: str, probabilities: Sequence[float] = (0.25,
     return basic.unionByName(cuts)
 
 
-def day_quantiles(days: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Exact quantiles of a whole-day column, one row with an array.
+def counted_days(days: DataFrame, value: str) -> DataFrame:
+    """Rows per whole-day value: as many rows as the calendar has days, at most."""
+    return days.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
 
-    Days take at most as many values as the calendar spans, so they are counted
-    first and the quantile aggregate only ever sees that short list.
-    """
-    counted = days.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy().agg(
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in probabilities]), F.col("n")).alias(
-            "quantiles"
-        )
-    )
+
+def day_quantiles(value: str, probabilities: Sequence[float]) -> Column:
+    """Exact quantiles over ``counted_days``, as one array aggregate."""
+    return F.percentile(value, F.array(*[F.lit(float(p)) for p in probabilities]), F.col("n"))
 
 
 def drift(left: DataFrame, right: DataFrame, columns: Sequence[str], jump: float = 5.0) -> DataFrame:
@@ -165,5 +163,10 @@ def equal_columns(df: DataFrame, pairs: dict[str, str]) -> DataFrame:
 def value_shares(df: DataFrame, value: str, digits: int = 3) -> DataFrame:
     """Share of each value among the non-null ones, sorted by value."""
     counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.groupBy().agg(F.sum("n")).scalar()
-    return counted.select(value, "n", F.round(ratio(F.col("n"), total), digits).alias("share")).orderBy(value)
+    share = ratio(F.col("n"), grand_total("n"))
+    return counted.select(value, "n", F.round(share, digits).alias("share")).orderBy(value)
+
+
+def grand_total(column: str) -> Column:
+    """Total over a result of few rows, one per status, state, type or the like."""
+    return F.sum(column).over(Window.partitionBy(F.lit(0)))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast import fixed
-from holdfast.functions.amounts import percent, ratio
+from holdfast.functions.amounts import percent, ratio, sample_std
 from holdfast.functions.dates import floored_days
 from holdfast.operators.neighbours import HOT_ROWS, with_previous
-from holdfast.operators.profile import day_quantiles
+from holdfast.operators.profile import counted_days, day_quantiles
 
 
 def date_audit(orders: DataFrame, as_of) -> DataFrame:
@@ -32,42 +32,48 @@ def delivery_days(orders: DataFrame) -> DataFrame:
 
 def day_distribution(days: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
     """One row: count, mean, deviation, extremes, negatives and exact quantiles of whole days."""
-    moments = days.groupBy().agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
+    counted = counted_days(days.where(F.col(value).isNotNull()), value)
+    day, n = F.col(value).cast("bigint"), F.col("n")
+    sums = counted.groupBy().agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"),
+        F.sum(day * n).alias("_sum"),
+        F.sum(day * day * n).alias("_squares"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        F.count_if(F.col(value) < 0).alias("negative"),
+        F.coalesce(F.sum(F.when(day < 0, n)), F.lit(0)).alias("negative"),
+        day_quantiles(value, probabilities).alias("_q"),
     )
-    cuts = F.col("_q")
-    return (
-        moments.withColumn("_q", day_quantiles(days, value, probabilities).scalar())
-        .select(
-            *moments.columns,
-            *[cuts[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)],
-        )
+    return sums.select(
+        "n",
+        ratio(F.col("_sum"), n).alias("mean"),
+        sample_std(n, F.col("_sum"), F.col("_squares")).alias("std"),
+        "min",
+        "max",
+        "negative",
+        *[F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)],
     )
 
 
 def iqr_outliers(days: DataFrame, value: str, reach: float = 1.5) -> DataFrame:
-    """Threshold Q3 + reach * IQR and the rows beyond it, their share over all of ``days``."""
-    cuts = day_quantiles(days, value, [0.25, 0.75]).select(
-        F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("q3")
-    )
-    # days take few values: compare the counted values, not the rows
-    counted = days.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    limit = cuts.select(F.col("q3") + (F.col("q3") - F.col("q1")) * reach).scalar()
-    totals = counted.groupBy().agg(
-        F.coalesce(F.sum(F.when(F.col(value) > limit, F.col("n"))), F.lit(0)).alias("n_over"),
-        F.sum("n").alias("n_rows"),
-    )
-    return totals.select(
-        cuts.select("q1").scalar().alias("q1"),
-        cuts.select("q3").scalar().alias("q3"),
-        limit.alias("threshold"),
-        "n_over",
-        percent(F.col("n_over"), F.col("n_rows")).alias("pct_over"),
+    """Threshold Q3 + reach * IQR and the rows beyond it, their share over all of ``days``.
+
+    Works on the counted days: a short table, so a window over all of it is fine.
+    """
+    everything = Window.partitionBy(F.lit(0))
+    counted = counted_days(days, value).withColumn(
+        "_q", day_quantiles(value, [0.25, 0.75]).over(everything)
+    )
+    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    limit = q3 + (q3 - q1) * reach
+    return (
+        counted.groupBy(q1.alias("q1"), q3.alias("q3"), limit.alias("threshold"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col(value) > limit, F.col("n"))), F.lit(0)).alias("n_over"),
+            F.sum("n").alias("_rows"),
+        )
+        .select(
+            "q1", "q3", "threshold", "n_over", percent(F.col("n_over"), F.col("_rows")).alias("pct_over")
+        )
     )
 
 

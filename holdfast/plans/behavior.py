@@ -12,6 +12,7 @@ from holdfast.functions.amounts import cents, from_cents, ratio
 from holdfast.functions.dates import floored_days
 from holdfast.operators.ordered import percentile_rank, quantile_list
 from holdfast.plans.staging import order_reviews, order_values
+from holdfast.session import settle
 
 
 def behavior_summary(
@@ -48,6 +49,8 @@ def behavior_summary(
             F.sum(F.coalesce("has_voucher", F.lit(0)).cast("bigint")).alias("n_voucher_payments"),
         )
     )
+    # one row per person: written once, then read for the median and by all callers
+    per_person = settle(per_person)
     typical = quantile_list(per_person, "avg_review_score", [0.5])[0]
     filled = F.coalesce("avg_review_score", F.lit(typical).cast("double"))
     return per_person.withColumn("avg_review_score", filled).withColumn(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.amounts import cents, from_cents, percent, ratio
 from holdfast.operators.ordered import leading_sums, quantiles
+from holdfast.operators.profile import grand_total
 from holdfast.plans.staging import order_values
 
 
@@ -37,15 +38,13 @@ def repeat_vs_onetime(revenue: DataFrame) -> DataFrame:
     grouped = revenue.groupBy((F.col("purchase_events") > 1).alias("is_repeat")).agg(
         F.count(F.lit(1)).alias("customers"), F.sum("revenue_cents").alias("cents")
     )
-    all_customers = grouped.groupBy().agg(F.sum("customers")).scalar()
-    all_cents = grouped.groupBy().agg(F.sum("cents")).scalar()
     return grouped.select(
         "is_repeat",
         "customers",
         from_cents(F.col("cents")).alias("total_revenue"),
         ratio(from_cents(F.col("cents")), F.col("customers")).alias("avg_revenue_per_customer"),
-        percent(F.col("customers"), all_customers).alias("pct_of_customers"),
-        percent(F.col("cents"), all_cents).alias("pct_of_revenue"),
+        percent(F.col("customers"), grand_total("customers")).alias("pct_of_customers"),
+        percent(F.col("cents"), grand_total("cents")).alias("pct_of_revenue"),
     )
 
 
@@ -88,12 +87,11 @@ def revenue_by_state(resolved: DataFrame, customers: DataFrame, items: DataFrame
     grouped = per_person.groupBy("customer_state").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("cents").alias("cents")
     )
-    total = grouped.groupBy().agg(F.sum("cents")).scalar()
     return grouped.select(
         "customer_state",
         "customers",
         from_cents(F.col("cents")).alias("total_revenue"),
-        percent(F.col("cents"), total).alias("pct_of_revenue"),
+        percent(F.col("cents"), grand_total("cents")).alias("pct_of_revenue"),
         F.round(ratio(from_cents(F.col("cents")), F.col("customers")), 2).alias(
             "avg_revenue_per_customer"
         ),
@@ -108,7 +106,7 @@ def revenue_by_category(items: DataFrame, staged_products: DataFrame, top: int =
     per_product = items.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("price"))).alias("cents")
     )
-    total = items.groupBy().agg(F.sum(cents(F.col("price")))).scalar()
+    total = per_product.groupBy().agg(F.sum("cents")).scalar()
     return (
         per_product.join(
             staged_products.select("product_id", "product_category_english"), "product_id"
@@ -134,13 +132,12 @@ def payment_behavior(payments: DataFrame) -> DataFrame:
         F.sum(F.col("payment_installments").cast("bigint")).alias("parts"),
         F.count("payment_installments").alias("parts_n"),
     )
-    total = grouped.groupBy().agg(F.sum("n")).scalar()
     return grouped.select(
         "payment_type",
         "n",
         from_cents(F.col("cents")).alias("total_value"),
         ratio(F.col("parts"), F.col("parts_n")).alias("avg_installments"),
-        percent(F.col("n"), total).alias("pct_of_payments"),
+        percent(F.col("n"), grand_total("n")).alias("pct_of_payments"),
     ).orderBy(F.col("total_value").desc(), "payment_type")
 
 

@@ -506,6 +506,13 @@ f AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0,
   coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1 FROM rates)"""
 
 
+_AP = """
+  SELECT split, round(sum(pos * (CAST(cpos AS DOUBLE) / cn)) / max(tpos), 6) AS pr_auc_retained FROM (
+    SELECT *, sum(pos) OVER w AS cpos, sum(n) OVER w AS cn, sum(pos) OVER (PARTITION BY split) AS tpos
+    FROM (SELECT split, p, sum(1 - churned) AS pos, count(*) AS n FROM scored GROUP BY 1, 2)
+    WINDOW w AS (PARTITION BY split ORDER BY p ROWS UNBOUNDED PRECEDING)) GROUP BY 1"""
+
+
 def _report() -> str:
     rows = [
         ("0", "p0", "r0", "f0", "s0"),
@@ -785,12 +792,11 @@ def oracle_sql() -> dict[str, str]:
         {", ".join(f"CAST(coalesce(customer_city, u) = '{c}' AS DOUBLE) AS x{i + 2}" for i, c in enumerate(CITIES))}
       FROM feat, med, st, usual WHERE split <> 'train'""")
     out["roc_auc"] = _with(_SCORED, _auc("scored", "split"))
-    out["average_precision"] = _with(_SCORED, """
-      , curve AS (SELECT split, p, sum(1 - churned) AS pos, count(*) AS n FROM scored GROUP BY 1, 2),
-      cum AS (SELECT *, sum(pos) OVER w AS cpos, sum(n) OVER w AS cn, sum(pos) OVER (PARTITION BY split) AS tpos
-        FROM curve WINDOW w AS (PARTITION BY split ORDER BY p ROWS UNBOUNDED PRECEDING))
-      SELECT split, round(sum(pos * (CAST(cpos AS DOUBLE) / cn)) / max(tpos), 6) AS pr_auc_retained
-      FROM cum GROUP BY 1""")
+    out["average_precision"] = _with(_SCORED, _AP)
+    out["split_metrics"] = _with(
+        f"{_SCORED}, {_REPORT.strip()}, auc AS ({_auc('scored', 'split')}), ap AS ({_AP})",
+        """SELECT split, n_rows, roc_auc, pr_auc_retained, tn, fp, fn, tp
+      FROM auc JOIN ap USING (split) JOIN cells USING (split)""")
     out["confusion"] = _with(f"{_SCORED}, {_REPORT.strip()}", "SELECT * FROM cells")
     out["classification_report"] = _with(f"{_SCORED}, {_REPORT.strip()}", _report())
     out["cold_start_auc"] = _with(_SCORED, """

@@ -557,7 +557,7 @@ def _with_score(rows: DataFrame) -> DataFrame:
 
 def _scored(spark, folder):
     panel = _with_score(_panel(spark, folder))
-    return settle(panel.select(*KEYS, "split", LABEL, SCORE, "lifetime_orders"))
+    return panel.select(*KEYS, "split", LABEL, SCORE, "lifetime_orders")
 
 
 @query
@@ -596,6 +596,11 @@ def average_precision(spark, folder):
     return metrics.average_precision_retained(_scored(spark, folder), LABEL, SCORE, ["split"])
 
 
+@query
+def split_metrics(spark, folder):
+    return metrics.evaluate(_with_score(_panel(spark, folder)), LABEL, SCORE, ["split"])
+
+
 @query
 def confusion(spark, folder):
     return metrics.confusion(_with_score(_panel(spark, folder)), LABEL, SCORE, ["split"])
@@ -666,10 +671,8 @@ def _risk(spark, folder, tiers: bool = True) -> DataFrame:
     base = _base(spark, folder)
     raw = base.raw
     scored = _with_score(value.scoring_snapshot(raw, standin.MAX_VALID_DATE, parts=()))
-    people = settle(
-        behavior.behavior_summary(
-            base.resolved, raw["items"], raw["payments"], raw["reviews"], voucher="A"
-        )
+    people = behavior.behavior_summary(
+        base.resolved, raw["items"], raw["payments"], raw["reviews"], voucher="A"
     )
     segments = behavior.value_tiers(behavior.revenue_percentile(people)).select(
         "customer_unique_id", "segment"
