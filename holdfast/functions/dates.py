@@ -7,10 +7,17 @@ counts midnights and is neither.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def moment(when: datetime) -> Column:
+    """A literal without zone: the same clock time in every session time zone."""
+    return F.expr(f"TIMESTAMP_NTZ '{when.isoformat(sep=' ')}'")
+
+
 def truncated_days(start: Column, end: Column) -> Column:
     return F.extract(F.lit("DAY"), end - start)
 

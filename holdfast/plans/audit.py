@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast import fixed
 from holdfast.functions.amounts import percent, ratio, sample_std
-from holdfast.functions.dates import floored_days
+from holdfast.functions.dates import floored_days, moment
 from holdfast.operators.neighbours import HOT_ROWS, with_previous
 from holdfast.operators.profile import counted_days, day_quantiles
 
@@ -21,7 +21,7 @@ def date_audit(orders: DataFrame, as_of) -> DataFrame:
         F.min(bought).alias("first_purchase"),
         F.max(bought).alias("last_purchase"),
         F.count_if(arrived < bought).alias("delivered_before_purchase"),
-        F.count_if(bought > F.lit(as_of)).alias("future_purchases"),
+        F.count_if(bought > moment(as_of)).alias("future_purchases"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast import fixed
 from holdfast.functions.amounts import cents, from_cents, ratio
-from holdfast.functions.dates import floored_days
+from holdfast.functions.dates import floored_days, moment
 from holdfast.operators.ordered import percentile_rank, quantile_list
 from holdfast.plans.staging import order_reviews, order_values
 from holdfast.session import settle
@@ -118,7 +118,7 @@ def lapsed_customers(
     behavior: DataFrame, as_of: datetime, quiet_days: int = fixed.LAPSED_DAYS
 ) -> DataFrame:
     """Persons without a purchase for at least ``quiet_days`` at ``as_of``."""
-    quiet = floored_days(F.col("last_purchase"), F.lit(as_of).cast("timestamp_ntz"))
+    quiet = floored_days(F.col("last_purchase"), moment(as_of))
     return behavior.select("customer_unique_id", "last_purchase", quiet.alias("days_quiet")).where(
         F.col("days_quiet") >= quiet_days
     )
@@ -134,7 +134,7 @@ def event_window(
     """
     end = F.least(
         F.col("first_purchase") + F.make_dt_interval(days=F.lit(horizon_days)),
-        F.lit(max_valid).cast("timestamp_ntz"),
+        moment(max_valid),
     )
     return behavior.select("customer_unique_id", "first_purchase", end.alias("window_end")).withColumn(
         "window_days",
@@ -162,7 +162,7 @@ def intervention_timing(
     )
     joined = touches.join(behavior.select("customer_unique_id", "last_purchase"), "customer_unique_id")
     early = floored_days(F.col("last_purchase"), F.col("created_at")) < quiet_days
-    late = F.col("created_at") > F.lit(as_of).cast("timestamp_ntz")
+    late = F.col("created_at") > moment(as_of)
     return joined.groupBy().agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_interventions"),
         F.coalesce(F.sum(F.when(early, F.col("n"))), F.lit(0)).alias("too_early"),

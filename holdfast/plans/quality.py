@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import fixed
-from holdfast.functions.dates import truncated_days
+from holdfast.functions.dates import moment, truncated_days
 from holdfast.operators.profile import orphans, unpivot_row
 from holdfast.plans.staging import resolved_orders
 
@@ -63,13 +63,13 @@ def _named(name: str, one_row: DataFrame) -> DataFrame:
     return one_row.toDF("violation_count").select(F.lit(name).alias("name"), "violation_count")
 
 
-def run_checks(tables: dict[str, DataFrame], as_of: datetime | Column | None = None) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
     """One row per check: name, severity, description, violations, passed.
 
     ``as_of`` is the time after which a purchase is in the future, now by default.
     """
     t = tables
-    now = F.localtimestamp() if as_of is None else F.lit(as_of)
+    now = F.localtimestamp() if as_of is None else moment(as_of)
     bought = F.col("order_purchase_timestamp")
     arrived = F.col("order_delivered_customer_date")
     orders, items, payments, reviews = t["orders"], t["items"], t["payments"], t["reviews"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import fixed
-from holdfast.functions.dates import floored_days
+from holdfast.functions.dates import floored_days, moment
 from holdfast.operators.ordered import fixed_buckets, page, prefix, quantile_buckets, quantile_list
 from holdfast.plans.features import feature_table, require_unique
 from holdfast.session import settle
@@ -82,7 +82,7 @@ def tenure_skew(scored: DataFrame, events: DataFrame, as_of: datetime, quarters:
     Quartiles with equal edges fall together.
     """
     first = events.groupBy(ID).agg(F.min("order_purchase_timestamp").alias("first_purchase"))
-    days = floored_days(F.col("first_purchase"), F.lit(as_of).cast("timestamp_ntz"))
+    days = floored_days(F.col("first_purchase"), moment(as_of))
     rows = settle(
         scored.select(ID, PROBABILITY)
         .join(first, ID, "left")

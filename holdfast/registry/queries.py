@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from holdfast import fixed
 from holdfast.functions.amounts import from_cents
-from holdfast.functions.dates import parse_or_null
+from holdfast.functions.dates import moment, parse_or_null
 from holdfast.operators import metrics, ordered, profile
 from holdfast.plans import audit, behavior, explain, explore, features, model, quality, scenario, staging, value
 from holdfast.registry.oracle import (
@@ -660,7 +660,7 @@ def feature_drift(spark, folder):
     both = settle(
         features.feature_table(raw, list(DRIFT_DAYS), parts=()).select("snapshot_date", *DRIFT)
     )
-    sides = [both.where(F.col("snapshot_date") == F.lit(d).cast("timestamp_ntz")) for d in DRIFT_DAYS]
+    sides = [both.where(F.col("snapshot_date") == moment(d)) for d in DRIFT_DAYS]
     return profile.drift(sides[0], sides[1], DRIFT)
 
 

@@ -9,7 +9,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
+from holdfast.functions.dates import moment
 from holdfast.sources.schemas import CANONICAL, schema
 
 log = logging.getLogger(__name__)
@@ -101,7 +103,13 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def read_snapshot(spark: SparkSession, path: str, snapshot: datetime) -> DataFrame:
     """One snapshot of a stored feature table; only its partition is read."""
-    return read_parquet(spark, path).where(F.col("snapshot_date") == F.lit(snapshot).cast("timestamp_ntz"))
+    stored = read_parquet(spark, path).schema
+    # a partition value is text on disk and would be read as a time with zone
+    fields = [
+        StructField(f.name, TimestampNTZType()) if f.name == "snapshot_date" else f for f in stored
+    ]
+    table = spark.read.schema(StructType(fields)).parquet(path)
+    return table.where(F.col("snapshot_date") == moment(snapshot))
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
