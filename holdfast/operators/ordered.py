@@ -340,7 +340,9 @@ def page(df: DataFrame, key: str, limit: int, offset: int = 0) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash of the key: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    # complemented, so that the smallest hashes come first without overflow
+    order = F.bitwise_not(F.xxhash64(F.col(key), F.lit(seed)))
+    return top_k(df.withColumn("_order", order), "_order", key, n).drop("_order")
 
 
 def check_edges(edges: Sequence[float], labels: Sequence[str]) -> None:

@@ -134,7 +134,10 @@ def tree_model(rounds: int = fixed.TREE_SETTINGS["rounds"]) -> GBTClassifier:
 def fit_logistic(
     train: DataFrame, terms: Sequence[Term] | None = None, max_iter: int = 2000
 ) -> tuple[PipelineModel, list[Term]]:
-    """Fitted pipeline and its terms with coefficients."""
+    """Fitted pipeline and its terms with coefficients.
+
+    Reads ``train`` several times: pass a stored feature table, not a plan.
+    """
     terms = list(terms or prepare(train))
     rows = train.withColumn("weight", balanced_weight(train))
     stages = [*input_stages(terms), logistic_model(train.count(), max_iter)]
@@ -150,7 +153,10 @@ def fit_trees(
     terms: Sequence[Term] | None = None,
     rounds: int = fixed.TREE_SETTINGS["rounds"],
 ) -> PipelineModel:
-    """Boosted trees on the same inputs, stopped early against ``validation``."""
+    """Boosted trees on the same inputs, stopped early against ``validation``.
+
+    Reads ``train`` several times: pass a stored feature table, not a plan.
+    """
     shared_dir(train.sparkSession)  # boosting checkpoints its row state
     terms = list(terms or prepare(train))
     rows = (

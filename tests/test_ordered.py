@@ -121,7 +121,10 @@ def test_equal_edges_are_an_error(df):
         ordered.quantile_buckets(df, "v", [0, 1.0], ["a", "b"], "t")
 
 
-def test_seeded_sample_repeats(df):
+@pytest.mark.parametrize("small", [True, False])
+def test_seeded_sample_repeats(df, monkeypatch, small):
     first = [r["id"] for r in ordered.seeded_sample(df, "id", 20).collect()]
     again = [r["id"] for r in ordered.seeded_sample(df.repartition(3), "id", 20).collect()]
     assert first == again and len(first) == 20
+    monkeypatch.setattr(ordered, "SMALL_LIMIT", 100_000 if small else 0)
+    assert {r["id"] for r in ordered.seeded_sample(df, "id", 20).collect()} == set(first)
