@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import chat, exact_dedup, line_rules, mixing, packing, quality_conv, token_counts
+from holdfast.llm import (
+    chat,
+    exact_dedup,
+    html_density,
+    line_rules,
+    mixing,
+    packing,
+    parity_join,
+    quality_conv,
+    token_counts,
+    toxicity,
+)
 from holdfast.llm.common import table
 
 
@@ -25,6 +36,14 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_query(table(spark, sf_dir, "conversations"))
 
 
+def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.html_query(table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
@@ -41,6 +60,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_query(table(spark, sf_dir, "documents"))
 
 
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join_query(table(spark, sf_dir, "documents"))
+
+
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.rules_query(table(spark, sf_dir, "documents"))
 
@@ -49,10 +72,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_quality_conv,
         op2_chat_format,
+        op3_html_density,
+        op4_toxicity,
         op5_exact_dedup,
         op6_packing,
         op7_token_counts,
         op8_mixing,
+        op9_parity_join,
         op10_line_rules,
     )
     return {f.__name__: f for f in listed}
