@@ -401,7 +401,8 @@ def _members(groups: DataFrame, known: DataFrame, labels: DataFrame) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``; also ``mark``, a hash of
+    its text, and ``component``, the name of its component (null for an empty set)."""
     sketched = stored(sketches(docs, words, per_cent), "sketches")
     sets = vertices(sketched)
     filled = sketched.where("n > 0")
@@ -426,18 +427,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
         "v", "least_id", F.coalesce("c", "v").alias("c")
     )
     least = joined.groupBy("c").agg(F.min("least_id").alias("component_id")).withColumnRenamed("c", "cc")
-    named_sets = joined.join(least, F.col("c") == F.col("cc")).select(F.col("v").alias("sv"), "component_id")
+    named_sets = joined.join(least, F.col("c") == F.col("cc")).select(F.col("v").alias("sv"), "c", "component_id")
     return (
-        sketched.select("doc_id", "n", "v")
+        sketched.select("doc_id", "mark", "n", "v")
         .join(named_sets, F.col("v") == F.col("sv"), "left")
         .select(
             "doc_id",
+            "mark",
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.col("c").alias("component"),
         )
     )
 
 
+def keep_one(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
+    """The rows of ``docs`` of one document per component: the smallest id, then, where
+    none has an id, the smallest text hash. Empty texts stay. Rows alike in id and text
+    stay together."""
+    found = near_duplicates(docs, words, per_cent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("r")
+    linked = found.where("component is not null").groupBy("component").agg(first).select("r.doc_id", "r.mark")
+    stay = linked.union(found.where("component is null").select("doc_id", "mark"))
+    stay = stay.select(F.col("doc_id").alias("_keep_id"), F.col("mark").alias("_keep_mark"))
+    same = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.xxhash64(text_of("text")) == F.col("_keep_mark"))
+    return docs.join(stay, same, "left_semi")
+
+
 def _known(filled: DataFrame, involved: DataFrame) -> DataFrame:
     """Size and sketches of the involved vertices, and the row that has their text."""
     row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("row")
@@ -458,4 +474,4 @@ def _texts(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def join_query(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs, words=3, per_cent=90)
+    return near_duplicates(docs, words=3, per_cent=90).select("doc_id", "n_shingles", "component_id")
