@@ -77,8 +77,9 @@ class Shingler:
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
         seen = self.seen
-        for w in set(words) - seen.keys():
-            seen[w] = self.digest(w)
+        for w in words:
+            if w not in seen:
+                seen[w] = self.digest(w)
         h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(h))
         with np.errstate(over="ignore"):
