@@ -39,7 +39,7 @@ def word_count(text: Column) -> Column:
 
 def quality_weight(size: Column, chars: Column) -> Column:
     """Weight of a document: texts of at least 20 words with usual word lengths come first."""
-    mean = chars / size
+    mean = F.try_divide(chars, size)
     return F.when((size >= 20) & mean.between(3.0, 10.0), F.lit(1.0)).otherwise(F.lit(0.25))
 
 
