@@ -110,7 +110,8 @@ class WordIds:
         words = [parts_of(t) for t in texts]
         if len(self.index) > REMEMBERED:
             self._forget()
-        new = sorted(set().union(*words) - self.index.keys()) if words else []
+        index = self.index
+        new = sorted(w for w in set().union(*words) if w not in index)
         if new:
             flat, size = self._encode_new(new)
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size) - size])
