@@ -157,7 +157,7 @@ def count_texts(table: Merges, texts: list[str], seen: dict[str, int]) -> np.nda
     if len(seen) > REMEMBERED:
         seen.clear()
     parts = [PRETOKEN.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
-    new = list(set().union(*parts) - seen.keys()) if parts else []
+    new = [p for p in set().union(*parts) if p not in seen]
     if new:
         seen.update(zip(new, count_pretokens(table, new).tolist(), strict=True))
     for i, p in enumerate(parts):
