@@ -458,10 +458,11 @@ def keep_one(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
 def _known(filled: DataFrame, involved: DataFrame) -> DataFrame:
     """Size and sketches of the involved vertices, and the row that has their text."""
     row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("row")
+    # copies collapse before they are exchanged
     return (
-        filled.join(involved, "v", "left_semi")
-        .groupBy("v")
+        filled.groupBy("v")
         .agg(F.max("n").alias("n"), F.first("sketches").alias("sketches"), row)
+        .join(involved, "v", "left_semi")
         .select("v", "n", "sketches", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("mark"))
     )
 
