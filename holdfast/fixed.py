@@ -154,6 +154,7 @@ TREE_SETTINGS = {
     "features": "0.8",
     "min_instances": 10,
     "rounds": 1000,
+    "patience": 30,
 }
 
 # Left out of customer-facing explanations only.

@@ -31,5 +31,7 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 def sample_std(count: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation from mergeable integer sums; NULL below two values."""
     n = count.cast("double")
-    spread = (squares * count - total * total).cast("double")
+    # products of two BIGINTs: 38 digits hold the largest of them
+    wide_count, wide_total, wide_squares = (c.cast("decimal(19,0)") for c in (count, total, squares))
+    spread = (wide_squares * wide_count - wide_total * wide_total).cast("double")
     return F.when(count > 1, F.sqrt(spread / (n * (n - 1))))

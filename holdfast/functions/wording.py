@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 from holdfast import fixed
 
+#: wording of one-per-category inputs, by the column they come from
+CATEGORY_WORDING = {
+    "preferred_payment_method": lambda v: "Usually pays by " + v.replace("_", " "),
+    "customer_state": lambda v: "Located in " + v,
+}
+
 
 def plain_label(name: str) -> str:
     """Readable name of a model input; a step prefix such as ``numeric__`` is dropped."""
-    name = name.split("__", 1)[-1]
-    if name in fixed.FEATURE_LABELS:
-        return fixed.FEATURE_LABELS[name]
-    for prefix, wording in (
-        ("preferred_payment_method_", "Usually pays by "),
-        ("customer_state_", "Located in "),
-    ):
-        if name.startswith(prefix):
-            rest = name[len(prefix) :]
-            return wording + (rest.replace("_", " ") if prefix.startswith("pref") else rest)
-    return name.replace("_", " ").capitalize()
+    bare = name.partition("__")[2] or name
+    known = fixed.FEATURE_LABELS.get(bare)
+    if known is None:
+        column = max((c for c in CATEGORY_WORDING if bare.startswith(c + "_")), key=len, default=None)
+        known = CATEGORY_WORDING[column](bare[len(column) + 1 :]) if column else bare.replace("_", " ").capitalize()
+    return known
 
 
 def yes_no(label: Column, flag: Column) -> Column:

@@ -7,56 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+from holdfast.session import settle
 
 
-def with_previous(
-    df: DataFrame,
-    key: str,
-    time: str,
-    order: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def with_previous(df: DataFrame, key: str, time: str, order: Sequence[str] = ()) -> DataFrame:
     """Adds ``previous``, a struct of ``time`` and ``order`` of the row before.
 
-    Rows of a key are ordered by ``time``, then ``order``. Ordinary keys take one
-    exchange and one window. A key with more than ``hot_rows`` rows (at most
-    rows / ``hot_rows`` such keys, which is what is broadcast) is cut into hours,
-    each sorted on its own; the first row of an hour gets its predecessor from
-    the hour before, out of a table with one row per hot key and hour.
+    Rows of a key are ordered by ``time``, then ``order``. They are dealt by ranges of all
+    three, so a key with a third of all rows lies in as many parts as its size asks for, and
+    written once with the number of their part. Each part of a key is linked on its own; its
+    first row gets its predecessor from the part before, out of a table with a row only for
+    keys that span parts. Rows without key or time belong to nobody and are dropped.
     """
-    df = df.where(F.col(time).isNotNull())
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(F.col(key).alias("_hot_key"))
-    )
-    marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_hour", F.when(F.col("_hot_key").isNotNull(), F.date_trunc("hour", F.col(time)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    dealt = settle(
+        rows.repartitionByRange(parts, key, time, *order).withColumn("_part", F.spark_partition_id())
     )
     position = F.struct(time, *order)
-    within = Window.partitionBy(key, "_hour").orderBy(time, *order)
-    linked = marked.withColumn("previous", F.lag(position).over(within))
-
-    hours = (
-        marked.where(F.col("_hour").isNotNull())
-        .groupBy(key, "_hour")
+    within = Window.partitionBy("_part", key).orderBy(time, *order)
+    linked = dealt.withColumn("_before", F.lag(position).over(within))
+    carried = (
+        dealt.groupBy(key, "_part")
         .agg(F.max(position).alias("_last"))
+        .withColumn("_carried", F.lag("_last").over(Window.partitionBy(key).orderBy("_part")))
+        .where(F.col("_carried").isNotNull())
+        .select(F.col(key).alias("_carry_key"), F.col("_part").alias("_carry_part"), "_carried")
     )
-    carried = hours.select(
-        F.col(key).alias("_carry_key"),
-        F.col("_hour").alias("_carry_hour"),
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_hour")).alias("_carried"),
-    )
-    ordinary = linked.where(F.col("_hour").isNull() | F.col("previous").isNotNull())
-    hour_starts = (
-        linked.where(F.col("_hour").isNotNull() & F.col("previous").isNull())
-        .join(
-            carried,
-            (F.col(key) == F.col("_carry_key")) & (F.col("_hour") == F.col("_carry_hour")),
-        )
-        .withColumn("previous", F.col("_carried"))
+    same = (F.col(key) == F.col("_carry_key")) & (F.col("_part") == F.col("_carry_part"))
+    return linked.join(carried, same, "left").select(
+        *df.columns, F.coalesce("_before", "_carried").alias("previous")
     )
-    columns = [*df.columns, "previous"]
-    return ordinary.select(*columns).unionByName(hour_starts.select(*columns))

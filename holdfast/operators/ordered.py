@@ -1,11 +1,11 @@
 """Order-based operators without a single global sort: prefix sums, exact
 quantiles, percentile ranks, cumulative shares, top-k and paging.
 
-A window without partition keys moves every row into one task. Here the value
-axis is cut into slices by literal split points instead. Rows of one slice sort
-together, the slice totals (at most ``MAX_SLICES`` per group) carry the running
-sums from slice to slice. Equal values collapse before anything is sorted, so a
-value shared by a third of the rows is one row by then.
+A window without partition keys moves every row into one task. Here equal values collapse
+first, so a value shared by a third of the rows is one row. The collapsed rows are dealt by
+ranges of the value into as many slices as the session has shuffle partitions and written
+once. Rows of one slice sort together, and one row of totals per slice carries the running
+sums from slice to slice.
 """
 
 from __future__ import annotations
@@ -15,40 +15,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from holdfast.session import settle
 
-MAX_SLICES = 256
-#: up to here a top-k result or a page is small enough for Spark's own limit
-SMALL_LIMIT = 100_000
-
-
-def split_points(df: DataFrame, value: str, slices: int | None = None) -> list:
-    """Ascending literals that cut ``value`` into slices of similar size.
-
-    The literals only balance the work; any choice gives the same result.
-    """
-    if slices is None:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(2, min(slices, MAX_SLICES))
-    if isinstance(df.schema[value].dataType, T.StringType):
-        # text ids: the ids with the smallest hashes are an even sample
-        sample = [
-            r[0]
-            for r in df.select(value)
-            .where(F.col(value).isNotNull())
-            .orderBy(F.xxhash64(value), value)
-            .limit(slices * 16)
-            .collect()
-        ]
-        ordered = sorted(set(sample))
-        step = max(1, len(ordered) // slices)
-        return ordered[step::step][: slices - 1]
-    steps = [i / slices for i in range(1, slices)]
-    numeric = df.select(F.col(value).cast("double").alias("v"))
-    return sorted(set(numeric.approxQuantile("v", steps, 1.0 / (4 * slices))))
-
 
 def sql_literal(value) -> str:
     """SQL text of a number, a text or a timestamp without zone."""
@@ -81,31 +50,26 @@ def prefix(
     by: Sequence[str] = (),
     sums: dict[str, Column] | None = None,
     descending: bool = False,
-    points: Sequence | None = None,
 ) -> DataFrame:
     """One row per distinct value with counts and running sums in value order.
 
-    Runs ``df`` once, to write the collapsed table, unless ``points`` are given.
-
-    Returns ``by``, ``value``, ``n`` and each of ``sums`` for the value itself,
-    ``before_*`` for everything ranked ahead of it and ``total_*`` for the whole
-    group. ``by`` must have few groups (splits, features, strata). NULL values
-    are left out.
+    Runs ``df`` once, to write the collapsed table. Any sortable type will do. Returns
+    ``by``, ``value``, ``n`` and each of ``sums`` for the value itself, ``before_*`` for
+    everything ranked ahead of it and ``total_*`` for the whole group. ``by`` must have few
+    groups (splits, features, strata). NULL values are left out.
     """
     by = list(by)
     measures = {"n": F.count(F.lit(1)), **(sums or {})}
-    numeric = not isinstance(df.schema[value].dataType, T.StringType)
-    axis = f"CAST(`{value}` AS DOUBLE)" if numeric else f"`{value}`"
     grouped = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)
         .agg(*[m.alias(name) for name, m in measures.items()])
     )
-    if points is None:
-        # everything below reads the collapsed table, so the input runs only once
-        grouped = settle(grouped)
-        points = split_points(grouped, value)
-    grouped = grouped.withColumn("_slice", slice_of(axis, list(points)))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the slice is written with the row: all branches below must see the same cut
+    grouped = settle(
+        grouped.repartitionByRange(slices, value).withColumn("_slice", F.spark_partition_id())
+    )
 
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
@@ -146,10 +110,9 @@ def quantiles(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    points: Sequence | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``by``, ``probability``, ``quantile``."""
-    ranked = prefix(df, value, by, points=points)
+    ranked = prefix(df, value, by)
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     position = (F.col("total_n") - 1) * F.col("probability")
     low, high = F.floor(position), F.ceil(position)
@@ -207,31 +170,19 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     )
 
 
-def percentile_rank(df: DataFrame, value: str, name: str, hot: int = 1_000_000) -> DataFrame:
+def percentile_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """``df`` plus ``name``: the average rank of the value divided by the number of values.
 
-    Ranks come back by an equi-join on the value. A value held by ``hot`` rows or
-    more would send them all to one task, so those values (at most rows / ``hot``
-    of them) are matched by broadcast and their rows spread out in the other join.
+    Ranks come back by an equi-join on the value; adaptive execution splits the rows of a
+    value that many rows share.
     """
     ranked = prefix(df, value).select(
         F.col(value).alias("_value"),
-        "n",
         ((F.col("before_n") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total_n")).alias("_rank"),
     )
-    frequent = ranked.where(F.col("n") >= hot).select(
-        F.col("_value").alias("_hot_value"), F.col("_rank").alias("_hot_rank")
-    )
-    spread = F.when(F.col("_hot_rank").isNotNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
-    marked = df.join(F.broadcast(frequent), F.col(value) == F.col("_hot_value"), "left").withColumn(
-        "_spread", spread
+    return df.join(ranked, F.col(value) == F.col("_value"), "left").select(
+        *df.columns, F.col("_rank").alias(name)
     )
-    rest = ranked.where(F.col("n") < hot).withColumn("_rest_spread", F.lit(0).cast("bigint"))
-    return marked.join(
-        rest,
-        (F.col(value) == F.col("_value")) & (F.col("_spread") == F.col("_rest_spread")),
-        "left",
-    ).select(*df.columns, F.coalesce("_hot_rank", "_rank").alias(name))
 
 
 def leading_sums(
@@ -245,8 +196,8 @@ def leading_sums(
 
     A count may be an expression of ``total_n``, the number of values. Returns the
     label as ``name``, ``take``, ``taken`` (never more than there are rows),
-    ``taken_sum``, ``total_n`` and ``total_sum``. Rows tied at a cut are
-    interchangeable in a sum, so no tiebreak is needed.
+    ``taken_sum``, ``total_n`` and ``total_sum``. ``amount`` must be a function of ``value``:
+    rows tied at a cut are then interchangeable in the sum, so no tiebreak is needed.
     """
     amount = amount or value
     counts = {k: t if isinstance(t, Column) else F.lit(int(t)) for k, t in takes.items()}
@@ -292,25 +243,26 @@ def leading_sums(
 
 
 def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
-    """The ``k`` rows with the largest ``value``, ties to the smallest unique ``key``.
+    """The ``k`` rows with the largest ``value``, ties to the smallest unique ``key``, in that order.
 
-    Small ``k`` is Spark's own top-k. A large one would gather on the driver, so
-    the cut is found by rank and the result is a plain filter.
+    The cut is found by rank and the rows above it are a plain filter, so no number of rows
+    gathers in one task or on the driver. Rows without a value come last.
     """
     if k <= 0:
         return df.where(F.lit(False))
-    if k <= SMALL_LIMIT:
-        return df.orderBy(F.col(value).desc_nulls_last(), F.col(key)).limit(k)
     rank = prefix(df, value, descending=True)
     cut = rank.where((F.col("before_n") < k) & (k <= F.col("before_n") + F.col("n"))).first()
     if cut is None:
         missing = df.where(F.col(value).isNull())
-        valued = df.where(F.col(value).isNotNull())
-        left = k - valued.count()
-        return valued.unionByName(_first_by_key(missing, key, left)) if left > 0 else valued
-    border = df.where(F.col(value) == F.lit(cut[value]))
-    above = df.where(F.col(value) > F.lit(cut[value]))
-    return above.unionByName(_first_by_key(border, key, k - cut["before_n"]))
+        chosen = df.where(F.col(value).isNotNull())
+        left = k - (rank.agg(F.max("total_n")).first()[0] or 0)
+        if left > 0:
+            chosen = chosen.unionByName(_first_by_key(missing, key, left))
+    else:
+        border = df.where(F.col(value) == F.lit(cut[value]))
+        above = df.where(F.col(value) > F.lit(cut[value]))
+        chosen = above.unionByName(_first_by_key(border, key, k - cut["before_n"]))
+    return chosen.orderBy(F.col(value).desc_nulls_last(), F.col(key))
 
 
 def _first_by_key(df: DataFrame, key: str, k: int) -> DataFrame:
@@ -327,28 +279,31 @@ def _key_at(df: DataFrame, key: str, rank: int):
 def page(df: DataFrame, key: str, limit: int, offset: int = 0) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of the unique ``key``."""
     if limit < 0 or offset < 0:
-        raise ValueError(f"limit and offset must not be negative, got {limit} and {offset}")
-    if limit + offset <= SMALL_LIMIT:
-        return df.orderBy(key).offset(offset).limit(limit)
+        raise ValueError(f"a page needs a limit and an offset of 0 or more: {limit}, {offset}")
+    if not limit:
+        return df.where(F.lit(False))
+    rank = prefix(df.select(key), key)
+    edges = rank.where(F.col("before_n").isin(offset - 1, offset + limit - 1)).collect()
+    found = {r["before_n"]: r[key] for r in edges}
+    if offset and offset - 1 not in found:
+        return df.where(F.lit(False))
     if offset:
-        start = _key_at(df, key, offset)
-        if start is None:
-            return df.where(F.lit(False))
-        df = df.where(F.col(key) > F.lit(start))
-    return _first_by_key(df, key, limit) if limit else df.where(F.lit(False))
+        df = df.where(F.col(key) > F.lit(found[offset - 1]))
+    if offset + limit - 1 in found:
+        df = df.where(F.col(key) <= F.lit(found[offset + limit - 1]))
+    return df.orderBy(key)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash of the key: the same rows on every run."""
-    # complemented, so that the smallest hashes come first without overflow
-    order = F.bitwise_not(F.xxhash64(F.col(key), F.lit(seed)))
+    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")))
     return top_k(df.withColumn("_order", order), "_order", key, n).drop("_order")
 
 
 def check_edges(edges: Sequence[float], labels: Sequence[str]) -> None:
     if len(labels) != len(edges) - 1:
         raise ValueError(
-            f"Need {len(edges) - 1} labels for {len(edges)} cutoffs, got {len(labels)}."
+            f"{len(edges)} cutoffs make {len(edges) - 1} buckets, but there are {len(labels)} labels"
         )
 
 
@@ -367,10 +322,7 @@ def quantile_edges(df: DataFrame, value: str, cutoffs: Sequence[float]) -> list[
     if None in edges:
         raise ValueError(f"No values in {value!r} to cut into buckets.")
     if len(set(edges)) < len(edges):
-        raise ValueError(
-            f"Could not create {len(edges) - 1} quantile bins from cutoffs {list(cutoffs)} -- "
-            f"likely duplicate bin edges in the data: {edges}. Try fewer or different cutoffs."
-        )
+        raise ValueError(f"quantiles {list(cutoffs)} of {value!r} coincide: {edges}; equal edges make empty buckets")
     return edges
 
 

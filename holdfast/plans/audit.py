@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdfast import fixed
 from holdfast.functions.amounts import percent, ratio, sample_std
 from holdfast.functions.dates import floored_days, moment
-from holdfast.operators.neighbours import HOT_ROWS, with_previous
+from holdfast.operators.neighbours import with_previous
 from holdfast.operators.profile import counted_days, day_quantiles
 
 
@@ -117,21 +117,21 @@ def identity_audit(customers: DataFrame) -> DataFrame:
     )
 
 
-def gaps(rows: DataFrame, key: str, time: str, order: Sequence[str] = (), hot_rows: int = HOT_ROWS):
+def gaps(rows: DataFrame, key: str, time: str, order: Sequence[str] = ()):
     """Whole days since the previous row of the same key; first rows have none."""
-    linked = with_previous(rows.select(key, time, *order), key, time, order, hot_rows)
+    linked = with_previous(rows.select(key, time, *order), key, time, order)
     days = floored_days(F.col("previous")[time], F.col(time))
     return linked.where(F.col("previous").isNotNull()).select("*", days.alias("gap_days"))
 
 
-def order_gaps(resolved: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def order_gaps(resolved: DataFrame) -> DataFrame:
     """Gaps between consecutive orders of a person, cart splits included."""
-    return gaps(resolved, "customer_unique_id", "order_purchase_timestamp", ["order_id"], hot_rows)
+    return gaps(resolved, "customer_unique_id", "order_purchase_timestamp", ["order_id"])
 
 
-def event_gaps(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def event_gaps(events: DataFrame) -> DataFrame:
     """Gaps between consecutive purchase events of a person."""
-    return gaps(events, "customer_unique_id", "order_purchase_timestamp", (), hot_rows)
+    return gaps(events, "customer_unique_id", "order_purchase_timestamp", ())
 
 
 def window_coverage(
@@ -178,9 +178,9 @@ def repeat_customer_rows(resolved: DataFrame) -> DataFrame:
     return resolved.join(repeat.select("customer_unique_id"), "customer_unique_id", "left_semi")
 
 
-def same_day_pairs(resolved: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def same_day_pairs(resolved: DataFrame) -> DataFrame:
     """Neighbouring orders of a person less than a day apart."""
-    close = order_gaps(resolved, hot_rows).where(F.col("gap_days") == 0)
+    close = order_gaps(resolved).where(F.col("gap_days") == 0)
     return close.select(
         "customer_unique_id",
         F.col("previous.order_id").alias("first_order_id"),

@@ -58,9 +58,9 @@ def behavior_summary(
     )
 
 
-def revenue_percentile(behavior: DataFrame, hot: int = 1_000_000) -> DataFrame:
+def revenue_percentile(behavior: DataFrame) -> DataFrame:
     """Adds the average percentile rank of revenue."""
-    return percentile_rank(behavior, "revenue_cents", "revenue_percentile", hot)
+    return percentile_rank(behavior, "revenue_cents", "revenue_percentile")
 
 
 def support_propensity(behavior: DataFrame) -> DataFrame:

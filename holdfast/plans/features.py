@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from holdfast import fixed
 from holdfast.functions.amounts import ratio, sample_std
 from holdfast.functions.dates import floored_days
-from holdfast.operators.neighbours import HOT_ROWS, with_previous
+from holdfast.operators.neighbours import with_previous
 from holdfast.operators.ordered import slice_of, sql_literal
 from holdfast.operators.profile import duplicate_keys
 from holdfast.plans import staging
@@ -50,7 +50,7 @@ def check_calendar(
     """Each snapshot's label window must lie within the data, or labels are censored."""
     for day in snapshots:
         if day + timedelta(days=churn_days) > max_valid:
-            raise ValueError(f"Snapshot {day} + {churn_days}d exceeds valid data range {max_valid}.")
+            raise ValueError(f"the label of {day} needs data to {day + timedelta(days=churn_days)}, but it ends on {max_valid}")
 
 
 class Periods:
@@ -93,14 +93,14 @@ def _yes(flag: str) -> Column:
     return F.count_if(F.col(flag))
 
 
-def _order_periods(orders: DataFrame, periods: Periods, hot_rows: int) -> DataFrame:
+def _order_periods(orders: DataFrame, periods: Periods) -> DataFrame:
     """Orders and purchase events of each person and period.
 
     The previous order tells both at once: an order at the same moment is a cart
     split and no new event; otherwise the distance is the gap between events.
     """
     time = "order_purchase_timestamp"
-    rows = with_previous(orders, PERSON, time, ["order_id"], hot_rows)
+    rows = with_previous(orders, PERSON, time, ["order_id"])
     before = F.col("previous")[time]
     event = before.isNull() | (before < F.col(time))
     gap = F.when(before < F.col(time), floored_days(before, F.col(time))).cast("bigint")
@@ -188,23 +188,91 @@ _WINDOWS = {
 # Which measures each window adds up; the rest are minima and maxima.
 _SUMS = {
     "orders": {
-        "past": "orders events gaps gap_sum gap_squares valued revenue delivered delayed_n delay_sum"
-        " late days_n days_sum reviewed review_sum negative paid instalments_n instalments_sum",
-        "d30": "events",
-        "d90": "events revenue reviewed review_sum delayed_n delay_sum",
-        "d180": "events",
-        "earlier": "events revenue reviewed review_sum",
+        "past": [
+            "orders",
+            "events",
+            "gaps",
+            "gap_sum",
+            "gap_squares",
+            "valued",
+            "revenue",
+            "delivered",
+            "delayed_n",
+            "delay_sum",
+            "late",
+            "days_n",
+            "days_sum",
+            "reviewed",
+            "review_sum",
+            "negative",
+            "paid",
+            "instalments_n",
+            "instalments_sum",
+        ],
+        "d30": [
+            "events",
+        ],
+        "d90": [
+            "events",
+            "revenue",
+            "reviewed",
+            "review_sum",
+            "delayed_n",
+            "delay_sum",
+        ],
+        "d180": [
+            "events",
+        ],
+        "earlier": [
+            "events",
+            "revenue",
+            "reviewed",
+            "review_sum",
+        ],
     },
     "support": {
-        "past": "tickets resolved_n resolved escalated_n escalated hours_n hours_sum happy_n happy_sum",
-        "d90": "tickets",
+        "past": [
+            "tickets",
+            "resolved_n",
+            "resolved",
+            "escalated_n",
+            "escalated",
+            "hours_n",
+            "hours_sum",
+            "happy_n",
+            "happy_sum",
+        ],
+        "d90": [
+            "tickets",
+        ],
+    },
+    "campaigns": {
+        "past": [
+            "touches",
+            "opened_n",
+            "opened",
+            "clicked_n",
+            "clicked",
+            "converted_n",
+            "converted",
+        ],
+    },
+    "interventions": {
+        "past": [
+            "interventions",
+        ],
     },
-    "campaigns": {"past": "touches opened_n opened clicked_n clicked converted_n converted"},
-    "interventions": {"past": "interventions"},
 }
 _EXTREMES = {
-    "orders": ["min past first_at", "max past last_at", "max past largest", "min future first_at"],
-    "campaigns": ["max past touched_at"],
+    "orders": [
+        ("min", "past", "first_at"),
+        ("max", "past", "last_at"),
+        ("max", "past", "largest"),
+        ("min", "future", "first_at"),
+    ],
+    "campaigns": [
+        ("max", "past", "touched_at"),
+    ],
 }
 
 
@@ -213,12 +281,11 @@ def _window_aggregates(parts: set[str]) -> list[Column]:
     out = []
     for part in sorted(parts):
         for window, names in _SUMS[part].items():
-            for name in names.split():
+            for name in names:
                 out.append(
                     f"coalesce(sum({name}) FILTER (WHERE {_WINDOWS[window]}), 0) AS {window}_{name}"
                 )
-        for entry in _EXTREMES.get(part, []):
-            how, window, name = entry.split()
+        for how, window, name in _EXTREMES.get(part, []):
             out.append(f"{how}({name}) FILTER (WHERE {_WINDOWS[window]}) AS {window}_{name}")
     return [F.expr(text) for text in out]
 
@@ -398,7 +465,6 @@ def snapshot_features(
     churn_days: int = fixed.CHURN_DAYS,
     splits: Mapping[datetime, str] | None = None,
     payment_method: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All features and the label for each person with an order at or before a snapshot.
 
@@ -407,7 +473,7 @@ def snapshot_features(
     person's whole history and have no place here: they would leak the future.
     """
     periods = Periods(snapshots)
-    sources = [_order_periods(order_summary.drop("payment_type_mode"), periods, hot_rows)]
+    sources = [_order_periods(order_summary.drop("payment_type_mode"), periods)]
     parts = {"orders"}
     for name, table, build in (
         ("support", tickets, _ticket_periods),
@@ -448,8 +514,7 @@ class Base:
     def __init__(self, raw: Mapping[str, DataFrame]):
         self.raw = raw
         staged = staging.stage_orders(raw["orders"])
-        named = "customer_unique_id" in staged.columns
-        self.resolved = staged if named else staging.resolved_orders(staged, raw["customers"])
+        self.resolved = staging.resolved_orders(staged, raw["customers"])
 
     def order_summary(self) -> DataFrame:
         raw = self.raw
@@ -470,9 +535,16 @@ def feature_table(
     snapshots: Sequence[datetime],
     splits: Mapping[datetime, str] | None = None,
     parts: Sequence[str] = PARTS,
+    last_valid: datetime | None = None,
     **options,
 ) -> DataFrame:
-    """``snapshot_features`` straight from the raw tables, limited to ``parts``."""
+    """``snapshot_features`` straight from the raw tables, limited to ``parts``.
+
+    With ``last_valid``, the last day of complete data, snapshots whose label would need
+    later data are an error.
+    """
+    if last_valid is not None:
+        check_calendar(snapshots, last_valid, options.get("churn_days", fixed.CHURN_DAYS))
     base = Base(raw)
     return snapshot_features(
         snapshots,

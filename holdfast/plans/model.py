@@ -23,11 +23,10 @@ from holdfast import fixed
 from holdfast.operators.metrics import evaluate, roc_auc
 from holdfast.operators.modes import mode_by
 from holdfast.operators.ordered import medians, sql_literal
-from holdfast.session import shared_dir
+from holdfast.session import settle, shared_dir
 from holdfast.sources.tables import write_json
 
 SCORE, LABEL = "predicted_churn_probability", "churned"
-MAX_CATEGORIES = 1_000
 
 
 @dataclass(frozen=True)
@@ -59,12 +58,8 @@ def prepare(
         mean, std = moments[f"{c}_mean"], moments[f"{c}_std"]
         terms.append(Term(c, c, "number", f"({e} - {mean!r}D) / {(std or 1.0)!r}D"))
     for c in categorical:
-        known = [
-            r[0]
-            for r in train.where(F.col(c).isNotNull()).select(c).distinct().limit(MAX_CATEGORIES + 1).collect()
-        ]
-        if len(known) > MAX_CATEGORIES:
-            raise ValueError(f"{c!r} has more than {MAX_CATEGORIES} categories")
+        # one input per category: as many as the model is to have
+        known = [r[0] for r in train.where(F.col(c).isNotNull()).select(c).distinct().collect()]
         usual = mode_by(train.select(c), [], c, c).first()[0]
         fill = f"`{c}`" if usual is None else f"coalesce(`{c}`, {sql_literal(usual)})"
         for v in sorted(known):
@@ -112,14 +107,13 @@ def logistic_model(n_rows: int, max_iter: int = 2000) -> LogisticRegression:
     )
 
 
-def tree_model(rounds: int = fixed.TREE_SETTINGS["rounds"]) -> GBTClassifier:
-    """Boosted trees that stop once the validation rows no longer gain."""
+def tree_model(rounds: int) -> GBTClassifier:
+    """Boosted trees of exactly ``rounds`` rounds; the first ones do not depend on how many follow."""
     s = fixed.TREE_SETTINGS
     return GBTClassifier(
         featuresCol="features",
         labelCol=LABEL,
         weightCol="weight",
-        validationIndicatorCol="is_validation",
         maxIter=rounds,
         maxDepth=s["max_depth"],
         stepSize=s["step_size"],
@@ -152,21 +146,35 @@ def fit_trees(
     validation: DataFrame,
     terms: Sequence[Term] | None = None,
     rounds: int = fixed.TREE_SETTINGS["rounds"],
+    patience: int = fixed.TREE_SETTINGS["patience"],
 ) -> PipelineModel:
-    """Boosted trees on the same inputs, stopped early against ``validation``.
+    """Boosted trees on the same inputs, cut at the round of the least validation loss.
 
-    Reads ``train`` several times: pass a stored feature table, not a plan.
+    Boosting ends once ``patience`` rounds in a row bring no gain on ``validation``, at
+    ``rounds`` at the latest. Spark gives no access to the state between rounds, so the
+    number of rounds is doubled until the best one lies that far behind; the model is then
+    fitted once more with the best number. Spark's first tree has weight 1.
     """
     shared_dir(train.sparkSession)  # boosting checkpoints its row state
     terms = list(terms or prepare(train))
-    rows = (
-        train.withColumn("weight", balanced_weight(train))
-        .withColumn("is_validation", F.lit(False))
-        .unionByName(
-            validation.withColumn("weight", F.lit(1.0)).withColumn("is_validation", F.lit(True))
-        )
-    )
-    return Pipeline(stages=[*input_stages(terms), tree_model(rounds)]).fit(rows)
+    inputs = Pipeline(stages=input_stages(terms)).fit(train)
+
+    def ready(rows: DataFrame) -> DataFrame:
+        return settle(inputs.transform(rows).select(LABEL, "weight", "features"))
+
+    known = ready(train.withColumn("weight", balanced_weight(train)))
+    unseen = ready(validation.withColumn("weight", F.lit(1.0)))
+    tried = min(rounds, 2 * patience)
+    while True:
+        fitted = tree_model(tried).fit(known)
+        losses = fitted.evaluateEachIteration(unseen)
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if tried >= rounds or best + patience <= tried:
+            break
+        tried = min(rounds, 2 * tried)
+    if best < tried:
+        fitted = tree_model(best).fit(known)
+    return PipelineModel(stages=[*inputs.stages, fitted])
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -59,9 +59,7 @@ def pass_through(table: DataFrame) -> DataFrame:
 
 
 def resolved_orders(staged_orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with the person behind them; orders that already name the person stay as they are."""
-    if "customer_unique_id" in staged_orders.columns:
-        return staged_orders
+    """Orders with the person behind them; orders of unknown customers are dropped."""
     identity = customers.select("customer_id", "customer_unique_id")
     return staged_orders.join(identity, "customer_id")
 

@@ -37,7 +37,8 @@ def revenue_at_risk(
     )
     for extra in (segments, costs):
         if extra is not None:
-            result = result.join(require_unique(extra, [ID]), ID, "left")
+            # checked and joined from the written table: computed once
+            result = result.join(require_unique(settle(extra), [ID]), ID, "left")
     return result.withColumn("caveat", F.lit(fixed.MODEL_CAVEAT))
 
 
@@ -148,11 +149,3 @@ def get_customers(scored: DataFrame, ids: DataFrame) -> DataFrame:
     """All customers on a list of ids."""
     return scored.join(ids.select(ID), ID, "left_semi")
 
-
-def liveness(scored: DataFrame | None) -> dict:
-    """Whether scored data is there, how many customers, and the caveat."""
-    return {
-        "data_loaded": scored is not None,
-        "n_customers": 0 if scored is None else scored.count(),
-        "model_caveat": fixed.MODEL_CAVEAT,
-    }

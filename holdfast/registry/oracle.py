@@ -255,39 +255,104 @@ tiered AS (
   SELECT risk.*, CASE WHEN p <= e1 THEN 'low' WHEN p <= e2 THEN 'medium' ELSE 'high' END AS risk_tier
   FROM risk, edges)"""
 
+# Feature names by query.
 GROUPS = {
-    "snapshot_rfm": """days_since_last_purchase orders_last_30_days orders_last_90_days
-        orders_last_180_days lifetime_orders lifetime_revenue revenue_last_90_days
-        average_order_value max_order_value purchase_frequency purchase_gap_mean
-        purchase_gap_std days_since_previous_order spend_trend_90d
-        purchase_frequency_trend_90d recent_90d_revenue previous_90d_revenue
-        recent_90d_order_count lifetime_purchase_frequency""",
-    "snapshot_delivery": """average_delivery_delay late_delivery_rate average_delivery_days
-        recent_delivery_delay historical_delivery_delay""",
-    "snapshot_reviews_payments": """average_review_score negative_review_rate review_trend_90d
-        preferred_payment_method installment_frequency payment_value""",
-    "snapshot_support": """n_support_tickets n_tickets_last_90_days pct_tickets_resolved
-        pct_tickets_escalated avg_resolution_hours avg_ticket_satisfaction""",
-    "snapshot_campaigns": """n_campaigns_received pct_campaigns_opened pct_campaigns_clicked
-        pct_campaigns_converted days_since_last_campaign has_been_targeted_for_retention""",
-    "snapshot_items_hhi": """unique_categories category_concentration unique_sellers
-        seller_concentration""",
-    "snapshot_label": "days_to_next_purchase churned",
+    "snapshot_rfm": [
+        "days_since_last_purchase",
+        "orders_last_30_days",
+        "orders_last_90_days",
+        "orders_last_180_days",
+        "lifetime_orders",
+        "lifetime_revenue",
+        "revenue_last_90_days",
+        "average_order_value",
+        "max_order_value",
+        "purchase_frequency",
+        "purchase_gap_mean",
+        "purchase_gap_std",
+        "days_since_previous_order",
+        "spend_trend_90d",
+        "purchase_frequency_trend_90d",
+        "recent_90d_revenue",
+        "previous_90d_revenue",
+        "recent_90d_order_count",
+        "lifetime_purchase_frequency",
+    ],
+    "snapshot_delivery": [
+        "average_delivery_delay",
+        "late_delivery_rate",
+        "average_delivery_days",
+        "recent_delivery_delay",
+        "historical_delivery_delay",
+    ],
+    "snapshot_reviews_payments": [
+        "average_review_score",
+        "negative_review_rate",
+        "review_trend_90d",
+        "preferred_payment_method",
+        "installment_frequency",
+        "payment_value",
+    ],
+    "snapshot_support": [
+        "n_support_tickets",
+        "n_tickets_last_90_days",
+        "pct_tickets_resolved",
+        "pct_tickets_escalated",
+        "avg_resolution_hours",
+        "avg_ticket_satisfaction",
+    ],
+    "snapshot_campaigns": [
+        "n_campaigns_received",
+        "pct_campaigns_opened",
+        "pct_campaigns_clicked",
+        "pct_campaigns_converted",
+        "days_since_last_campaign",
+        "has_been_targeted_for_retention",
+    ],
+    "snapshot_items_hhi": [
+        "unique_categories",
+        "category_concentration",
+        "unique_sellers",
+        "seller_concentration",
+    ],
+    "snapshot_label": [
+        "days_to_next_purchase",
+        "churned",
+    ],
+}
+GROUPS["snapshot_features_full"] = [
+    *[name for names in GROUPS.values() for name in names],
+    "customer_state",
+    "customer_city",
+]
+
+# Features that are whole numbers or texts.
+WHOLE = {
+    "days_since_last_purchase",
+    "orders_last_30_days",
+    "orders_last_90_days",
+    "orders_last_180_days",
+    "lifetime_orders",
+    "days_since_previous_order",
+    "purchase_frequency_trend_90d",
+    "recent_90d_order_count",
+    "preferred_payment_method",
+    "n_support_tickets",
+    "n_tickets_last_90_days",
+    "n_campaigns_received",
+    "days_since_last_campaign",
+    "has_been_targeted_for_retention",
+    "unique_categories",
+    "unique_sellers",
+    "days_to_next_purchase",
+    "churned",
+    "customer_state",
+    "customer_city",
 }
-GROUPS["snapshot_features_full"] = " ".join(GROUPS.values()) + " customer_state customer_city"
-
-WHOLE = set(
-    """days_since_last_purchase orders_last_30_days orders_last_90_days orders_last_180_days
-    lifetime_orders days_since_previous_order purchase_frequency_trend_90d
-    recent_90d_order_count n_support_tickets n_tickets_last_90_days n_campaigns_received
-    days_since_last_campaign has_been_targeted_for_retention days_to_next_purchase churned
-    unique_categories unique_sellers preferred_payment_method customer_state
-    customer_city""".split()
-)
 
 
-def _columns(names: str) -> str:
-    return ", ".join(c if c in WHOLE else f"round({c}, 6) AS {c}" for c in names.split())
+def _columns(names: list[str]) -> str:
+    return ", ".join(c if c in WHOLE else f"round({c}, 6) AS {c}" for c in names)
 
 
 def _with(ctes: str, select: str) -> str:
@@ -442,13 +507,15 @@ def _explanations() -> str:
     typical = ", ".join(
         f"quantile_cont(CAST({n} AS DOUBLE), 0.5) AS t{i}" for i, (n, (k, _, _c)) in enumerate(TERMS.items()) if k == "number"
     )
+    linear = " + ".join([repr(INTERCEPT)] + [f"{c} * ({v})" for _, v, c in TERMS.values()])
     lines = ", ".join(_line(i, n, k, plain_label(n).replace("'", "''")) for i, n, k in shown)
     return f"""{_FLAGGED}, typical AS (
       SELECT {typical} FROM flagged WHERE split = 'train' AND churned = 0),
     attributed AS (SELECT flagged.*, typical.*, {_attributed()} FROM flagged, centers, typical)
     SELECT customer_unique_id, snapshot_date,
-      array_to_string([x.line FOR x IN list_sort([{lines}])[1:3]], chr(10)) AS top_factors
-    FROM attributed WHERE split <> 'train'"""
+      round(1.0 / (1.0 + exp(-({linear}))), 6) AS predicted_churn_probability,
+      array_to_string([x.line FOR x IN list_sort([{lines}])[1:5]], chr(10)) AS top_factors
+    FROM attributed"""
 
 
 def _roi(targeted: str, cost: float, effect: float) -> str:
@@ -702,7 +769,7 @@ def oracle_sql() -> dict[str, str]:
         {_sum('price_c')} / 100.0 AS total_product_revenue,
         {_pct('sum(price_c)', '(SELECT sum(price_c) FROM items)')} AS pct_of_revenue
       FROM items JOIN category USING (product_id) GROUP BY 1
-      ORDER BY sum(price_c) DESC, 1 LIMIT 3""")
+      ORDER BY sum(price_c) DESC, 1 LIMIT 15""")
     out["payment_behavior"] = _with(_BASE, f"""
       SELECT l_returnflag AS payment_type, count(*) AS n, {_sum('ext')} / 100.0 AS total_value,
         round(avg(l_linenumber), 6) AS avg_installments,
@@ -790,7 +857,7 @@ def oracle_sql() -> dict[str, str]:
         round((coalesce(purchase_gap_mean, m) - mu) / sd, 6) AS x0,
         round((lifetime_orders - mu2) / sd2, 6) AS x1,
         {", ".join(f"CAST(coalesce(customer_city, u) = '{c}' AS DOUBLE) AS x{i + 2}" for i, c in enumerate(CITIES))}
-      FROM feat, med, st, usual WHERE split <> 'train'""")
+      FROM feat, med, st, usual""")
     out["roc_auc"] = _with(_SCORED, _auc("scored", "split"))
     out["average_precision"] = _with(_SCORED, _AP)
     out["split_metrics"] = _with(
@@ -803,13 +870,15 @@ def oracle_sql() -> dict[str, str]:
       , deep AS (SELECT *, CASE WHEN lifetime_orders = 1 THEN 'lifetime_orders = 1'
         ELSE 'lifetime_orders >= 2' END AS history FROM scored)""" + _auc("deep", "split, history"))
     out["linear_attribution"] = _with(_FLAGGED, f"""
-      , a AS (SELECT *, {_attributed()} FROM flagged, centers WHERE split = 'test')
+      , a AS (SELECT *, {_attributed()} FROM flagged, centers)
       SELECT * FROM ({" UNION ALL ".join(f"SELECT customer_unique_id, snapshot_date, '{n}' AS feature, round(a{i}, 6) AS attribution FROM a" for i, n in enumerate(TERMS))})""")
     out["global_importance"] = _with(_FLAGGED, f"""
-      , a AS (SELECT {_attributed()} FROM flagged, centers WHERE split <> 'train')
+      , a AS (SELECT {_attributed()} FROM flagged, centers WHERE split = 'train')
       SELECT * FROM ({" UNION ALL ".join(f"SELECT '{n}' AS feature, '{plain_label(n)}' AS plain_label, round(avg(abs(a{i})), 6) AS mean_abs_attribution FROM a" for i, n in enumerate(TERMS))})
-      ORDER BY mean_abs_attribution DESC, feature LIMIT 5""")
+      ORDER BY mean_abs_attribution DESC, feature LIMIT 15""")
     out["explanations"] = _with(_explanations(), "")
+    out["seeded_sample"] = """
+      SELECT c_custkey, c_mktsegment FROM customer ORDER BY md5(c_custkey || '/42') DESC, c_custkey LIMIT 500"""
     out["reference_medians"] = _with(f"{_BASE}, {_FEAT}", " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median FROM feat WHERE split = 'train' AND churned = 0"
         for c in _MEDIANS))

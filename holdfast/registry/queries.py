@@ -70,7 +70,9 @@ def _resolved(spark, folder):
 
 
 def _panel(spark, folder, *parts: str, splits=standin.SPLITS):
-    return features.feature_table(_raw(spark, folder), standin.SNAPSHOTS, splits, parts)
+    return features.feature_table(
+        _raw(spark, folder), standin.SNAPSHOTS, splits, parts, last_valid=standin.MAX_VALID_DATE
+    )
 
 
 # staging
@@ -99,7 +101,7 @@ def staged_items(spark, folder):
 @query
 def resolved_orders(spark, folder):
     raw = _raw(spark, folder)
-    staged = staging.stage_orders(raw["orders"].drop("customer_unique_id"))
+    staged = staging.stage_orders(raw["orders"])
     return staging.resolved_orders(staged, raw["customers"]).select(
         "order_id", "customer_unique_id", "order_purchase_timestamp"
     )
@@ -379,7 +381,7 @@ def revenue_by_state(spark, folder):
 def revenue_by_category(spark, folder):
     raw = _raw(spark, folder)
     products = staging.stage_products(raw["products"], raw["translation"], raw["overrides"])
-    return explore.revenue_by_category(raw["items"], products, top=3)
+    return explore.revenue_by_category(raw["items"], products, top=15)
 
 
 @query
@@ -416,7 +418,7 @@ PARTS = {
 def _snapshot_query(name: str) -> Query:
     def run(spark, folder):
         panel = _panel(spark, folder, *PARTS[name])
-        return panel.select(*KEYS, "split", *GROUPS[name].split())
+        return panel.select(*KEYS, "split", *GROUPS[name])
 
     run.__name__ = name
     return run
@@ -583,7 +585,7 @@ def prepared_inputs(spark, folder):
     names = {t.name: t for t in terms}
     wanted = [*numeric, *[f"customer_city_{c}" for c in CITIES]]
     values = [F.expr(f"{names[n].value} AS x{i}") for i, n in enumerate(wanted)]
-    return panel.where(F.col("split") != "train").select(*KEYS, *values)
+    return panel.select(*KEYS, *values)
 
 
 @query
@@ -616,7 +618,7 @@ def cold_start_auc(spark, folder):
     return model.cold_start(_scored(spark, folder))
 
 
-def _explained(spark, folder, split):
+def _explained(spark, folder):
     rows = settle(
         _flagged(spark, folder).select(
             *KEYS, "split", LABEL, *[t.column for t in _terms()]
@@ -624,28 +626,30 @@ def _explained(spark, folder, split):
     )
     terms = _terms()
     means = explain.background_means(rows.where(F.col("split") == "train"), terms)
-    return rows, rows.where(split), terms, means
+    return rows, terms, means
 
 
 @query
 def linear_attribution(spark, folder):
-    _, rows, terms, means = _explained(spark, folder, F.col("split") == "test")
+    rows, terms, means = _explained(spark, folder)
     return explain.attributions(rows, terms, means, KEYS)
 
 
 @query
 def global_importance(spark, folder):
-    _, rows, terms, means = _explained(spark, folder, F.col("split") != "train")
-    return explain.global_importance(rows, terms, means, top=5)
+    rows, terms, means = _explained(spark, folder)
+    return explain.global_importance(rows.where(F.col("split") == "train"), terms, means, top=15)
 
 
 @query
 def explanations(spark, folder):
-    everyone, rows, terms, means = _explained(spark, folder, F.col("split") != "train")
+    rows, terms, means = _explained(spark, folder)
     numbers = [t.column for t in terms if t.kind == "number"]
-    train = everyone.where(F.col("split") == "train")
+    train = rows.where(F.col("split") == "train")
     usual = {r["feature"]: r["median"] for r in explain.reference_medians(train, numbers).collect()}
-    return explain.explanations(rows, terms, means, usual, KEYS, top=3)
+    # the risk stands next to what drives it
+    scored = model.linear_score(rows, terms, INTERCEPT)
+    return explain.explanations(scored, terms, means, usual, [*KEYS, SCORE], top=5)
 
 
 @query
@@ -847,7 +851,7 @@ def lr_train_score(spark, folder):
 @query
 def gbt_train_score(spark, folder):
     rows, panel = _modelling(spark, folder)
-    fitted = model.fit_trees(rows["train"], rows["validation"], rounds=20)
+    fitted = model.fit_trees(rows["train"], rows["validation"])
     return model.score(fitted, panel).select(*KEYS, "split", SCORE)
 
 
@@ -856,7 +860,7 @@ def model_comparison(spark, folder):
     rows, panel = _modelling(spark, folder)
     terms = model.prepare(rows["train"])
     linear, _ = model.fit_logistic(rows["train"], terms)
-    trees = model.fit_trees(rows["train"], rows["validation"], terms, rounds=10)
+    trees = model.fit_trees(rows["train"], rows["validation"], terms)
     slim = panel.columns
     scored = {
         name: settle(model.score(m, panel.select(*slim)).select("split", LABEL, SCORE))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -27,11 +28,15 @@ def session(app: str = "holdfast", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_written: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (local runs and tests) a folder of our own is used.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, local runs and
+    tests get a folder of their own; on a cluster each executor would write to its own disk
+    and lose rows, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -40,13 +45,39 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="holdfast-"))
     return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """An unused path below the shared folder, removed by ``release`` or when Python ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _written:
+        _written[app] = []
+        atexit.register(_release_quietly, spark)
+    _written[app].append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove what this application has written to the shared folder; how many tables."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    done = len(paths)
+    paths.clear()
+    return done
+
+
+def _release_quietly(spark: SparkSession) -> None:
+    # a session that was stopped before leaves its folder to whoever owns it
+    if spark.sparkContext._jsc is not None:
+        release(spark)
 
 
 def settle(df: DataFrame) -> DataFrame:

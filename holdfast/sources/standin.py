@@ -114,7 +114,6 @@ def _customers(t: Tables) -> DataFrame:
 
 
 def _orders(t: Tables) -> DataFrame:
-    """Orders name the person directly here, next to the per-order customer record."""
     shipped = t.file("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("delivered"))
     return (
         t.file("orders")
@@ -122,7 +121,6 @@ def _orders(t: Tables) -> DataFrame:
         .select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_orderkey").alias("customer_id"),
-            F.col("o_custkey").alias("customer_unique_id"),
             F.col("o_orderstatus").alias("order_status"),
             F.col("o_orderdate").alias("order_purchase_timestamp"),
             F.col("delivered").alias("order_delivered_customer_date"),

@@ -29,7 +29,7 @@ def db():
 
 
 def test_only_fitted_and_sampled_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {"lr_train_score", "gbt_train_score", "model_comparison", "seeded_sample"}
+    assert set(queries()) - set(oracle_sql()) == {"lr_train_score", "gbt_train_score", "model_comparison"}
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -99,7 +99,7 @@ def people(spark):
 
 
 def test_tiers(people):
-    rows = behavior.value_tiers(behavior.revenue_percentile(people, hot=10)).collect()
+    rows = behavior.value_tiers(behavior.revenue_percentile(people)).collect()
     tiers = {r["customer_unique_id"]: (r["customer_tier"], r["segment"], r["strategic_account"]) for r in rows}
     assert tiers["c99"] == ("platinum", "high_value", True) and tiers["c98"] == ("platinum", "high_value", True)
     assert tiers["c90"] == ("gold", "high_value", False) and tiers["c59"] == ("silver", "standard", False)
