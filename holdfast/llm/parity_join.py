@@ -1,19 +1,21 @@
 """N-gram Jaccard join by parity sketches: near-duplicate components, exactly.
 
-A document is the set of its word shingles. Each shingle flips one bit of a sketch, so a
-bit tells whether an odd number of shingles fell on it, and two sketches differ in at most
-as many bits as the symmetric difference of the sets has members. Two sets that link
-differ in at most ``(1 - s) / (1 + s)`` of their joint size. The sketch is cut into more
-blocks of 64 bits than that, so linked sets have equal blocks (pigeonhole). Sizes fall into
-bands, a band fixes the number of blocks; a set that may link with larger ones of the next
-band is sketched for that band too.
-
-1. Equal sets are one vertex. Each vertex emits its blocks but the emptiest few: linked sets
-   share more equal blocks than are left out, and both leave out by the same order.
-2. Equal blocks are brought together by one exchange. Inside each input batch they are
-   combined first, so a block that a third of all vertices share sends one row per batch.
-3. Each group of equal blocks compares its members with its smallest one. Pairs whose
-   sketches differ little enough are verified on the shingles of the texts; the links give
+A document is the set of its word shingles. Each shingle flips a few bits of one block of a
+sketch, so a bit tells whether an odd number of shingles fell on it, and two sketches differ
+in at most ``FLIPS`` times as many bits as the symmetric difference of the sets has members.
+Two sets that link differ in at most ``(1 - s) / (1 + s)`` of their joint size. The sketch
+is cut into more blocks of 64 bits than that, so linked sets have equal blocks (pigeonhole).
+Sizes fall into bands, a band fixes the number of blocks; a set that may link with larger
+ones of the next band is sketched for that band too.
+
+1. Equal sets are one vertex. A set whose links differ in at most ``d`` members emits its
+   ``d + 1`` fullest blocks: linked sets share more equal blocks than either leaves out, and
+   both leave out by the same order.
+2. Equal blocks are brought together by one exchange of packed arrays. Inside each input
+   batch they are combined first, so a block that a third of all documents share sends one
+   entry per batch.
+3. Each group of equal blocks compares its members with its first one. Pairs whose sketches
+   differ little enough are verified on the shingles of the texts; the links give
    components.
 4. Groups that still hold several components compare, in tiles of bounded size, the
    sketches of members of different components. First the closest pair to each foreign
@@ -35,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,14 +47,21 @@ from holdfast.llm.components import components
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: ratio of neighbouring size bands
-BAND = 1.3
+BAND = 1.6
+#: bits that a shingle flips in its block
+FLIPS = 3
 #: members of a tile: bounds the memory of a comparison, larger groups take several tiles
 TILE = 1024
+#: buckets of block keys for each shuffle partition: bounds the memory of gathering them
+BUCKETS = 8
 #: words whose hashes a task remembers
 REMEMBERED = 500_000
 
-SKETCHES = "doc_id bigint, mark bigint, n bigint, v bigint, check bigint, sketches array<struct<level:int,blocks:array<bigint>>>"
-CANDIDATES = "key bigint, p bigint, v bigint"
+SCANNED = (
+    "doc_id bigint, mark bigint, n bigint, v bigint, check bigint, r bigint, "
+    "bucket int, keys binary, key bigint, p bigint, q bigint"
+)
+KNOWN = "v bigint, n bigint, sketches array<struct<level:int,blocks:array<bigint>>>, text string"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -114,11 +124,15 @@ class Bands:
         """Most members that the symmetric difference of linked sets of this joint size has."""
         return joint * (100 - self.per_cent) // (100 + self.per_cent)
 
-    def shape(self, level: int) -> tuple[int, int]:
-        """Blocks of a band's sketches, and how many of the emptiest are left out."""
+    def blocks(self, level: int) -> int:
+        """Blocks of a band's sketches: one more than its sets may differ in, and some to spare."""
         most = self.differing(2 * (self.low(level + 1) - 1))
-        spare = max(1, most // 8) if most else 0
-        return most + 1 + spare, spare
+        return most + 1 + most // 8
+
+    def emitted(self, level: int, n: int) -> int:
+        """Blocks that a set of ``n`` emits in a band: one more than it may differ in there."""
+        largest = min(self.low(level + 1) - 1, n * 100 // self.per_cent)
+        return self.differing(n + largest) + 1
 
     def levels(self, n: int) -> range:
         """Bands in which a set of ``n`` may meet sets at least as large."""
@@ -126,65 +140,176 @@ class Bands:
 
 
 def sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
-    """Parity of the shingles on each bit of each block."""
-    at = (shingles >> np.uint64(24)) % np.uint64(blocks) * np.uint64(64) + (shingles & np.uint64(63))
-    parity = np.bincount(at.astype(np.int64), minlength=blocks * 64) & 1
+    """Parity of the flips on each bit of each block."""
+    block = ((shingles >> np.uint64(24)) % np.uint64(blocks) * np.uint64(64)).astype(np.int64)
+    bits = [block + ((shingles >> np.uint64(6 * k)) & np.uint64(63)).astype(np.int64) for k in range(FLIPS)]
+    parity = np.bincount(np.concatenate(bits), minlength=blocks * 64) & 1
     return np.packbits(parity.astype(np.uint8).reshape(blocks, 64), axis=1).view(np.uint64).ravel()
 
 
-def sketches(docs: DataFrame, words: int, per_cent: int) -> DataFrame:
-    """Size, vertex and sketches of each document; equal sets are one vertex ``v``."""
-    bands = Bands(per_cent)
+def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
+    """Keys that a set emits: band, place and value of its fullest blocks."""
+    out = []
+    for level in bands.levels(len(shingles)):
+        blocks = sketch(shingles, bands.blocks(level))
+        order = np.lexsort((np.arange(len(blocks)), blocks, np.bitwise_count(blocks)))
+        order = order[-bands.emitted(level, len(shingles)) :]
+        place = order.astype(np.uint64) + np.uint64(level << 32)
+        with np.errstate(over="ignore"):
+            out.append(_mix(_mix(place) ^ blocks[order] * np.uint64(0x9E3779B97F4A7C15)))
+    return np.concatenate(out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        shingle = Shingler(words)
-        for batch in batches:
-            sizes, names, checks, own = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle(text or "")
-                sizes.append(len(s))
-                digest = xxhash.xxh3_128_intdigest(s.tobytes())
-                names.append((digest & (2**64 - 1)) - 2**63 if len(s) else None)
-                checks.append((digest >> 64) - 2**63 if len(s) else None)
-                levels = bands.levels(len(s)) if len(s) else ()
-                own.append([(k, sketch(s, bands.shape(k)[0]).view(np.int64)) for k in levels])
-            flat = [b for row in own for _, b in row]
-            blocks = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, flat)]), pa.int32()),
-                pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64)),
-            )
-            levels = pa.array([k for row in own for k, _ in row], pa.int32())
-            nested = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, own)]), pa.int32()),
-                pa.StructArray.from_arrays([levels, blocks], names=["level", "blocks"]),
+def _nested(rows: list[list[tuple[int, np.ndarray]]]) -> pa.Array:
+    """Levels and blocks of each row as an Arrow column."""
+    flat = [b for row in rows for _, b in row]
+    blocks = pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0, *map(len, flat)]), pa.int32()),
+        pa.array(np.concatenate(flat).view(np.int64) if flat else np.zeros(0, np.int64)),
+    )
+    levels = pa.array([k for row in rows for k, _ in row], pa.int32())
+    return pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()),
+        pa.StructArray.from_arrays([levels, blocks], names=["level", "blocks"]),
+    )
+
+
+def _set_name(shingles: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit names of a set."""
+    import xxhash
+
+    digest = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    return (digest & (2**64 - 1)) - 2**63, (digest >> 64) - 2**63
+
+
+def _rows(count: int, /, **columns) -> pa.RecordBatch:
+    """A batch of ``SCANNED`` with the given columns, others null."""
+    kinds = dict(f.split() for f in SCANNED.split(", "))
+    types = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(columns[c], types[k]) if c in columns else pa.nulls(count, types[k])
+            for c, k in kinds.items()
+        ],
+        names=list(kinds),
+    )
+
+
+def scan(docs: DataFrame, words: int, per_cent: int) -> DataFrame:
+    """One pass over the texts. Rows with ``r`` are the documents: size, set name ``v`` and a
+    row number. Rows with ``key`` are groups of equal blocks with several members, as
+    (``p``, ``q``) row numbers: the members of a group are all its ``p`` and ``q``."""
+    bands = Bands(per_cent)
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * count
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        shingle, base = Shingler(words), (context.partitionId() if context else 0) << 40
+        for whole in batches:
+            for at in range(0, whole.num_rows, 50_000):  # row numbers in a bucket have 16 bits
+                batch = whole.slice(at, 50_000)
+                sets = [shingle(t or "") for t in batch.column("text").to_pylist()]
+                names = [_set_name(s) if len(s) else (None, None) for s in sets]
+                number = base + np.arange(batch.num_rows)
+                yield _rows(
+                    batch.num_rows,
+                    doc_id=batch.column("doc_id"),
+                    mark=batch.column("mark"),
+                    n=[len(s) for s in sets],
+                    v=[v for v, _ in names],
+                    check=[c for _, c in names],
+                    r=number,
+                    bucket=number % buckets,
+                )
+                # copies emit once in a batch
+                once = {v: i for i, (v, _) in reversed(list(enumerate(names))) if v is not None}
+                emitted = {i: block_keys(sets[i], bands) for i in sorted(once.values())}
+                if emitted:
+                    yield from pack(emitted, base)
+                base += batch.num_rows
+
+    def pack(emitted: dict[int, np.ndarray], base: int) -> Iterator[pa.RecordBatch]:
+        key = np.concatenate(list(emitted.values()))
+        owner = np.repeat(np.fromiter(emitted, np.int64), [len(k) for k in emitted.values()])
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        first = np.append(True, key[1:] != key[:-1])
+        head = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+        fellow = head != owner
+        if fellow.any():  # done here; only the first of a key goes on to meet other batches
+            yield _rows(
+                int(fellow.sum()),
+                key=key[fellow].view(np.int64),
+                p=base + head[fellow],
+                q=base + owner[fellow],
+                bucket=(base + owner[fellow]) % buckets,
             )
-            yield pa.RecordBatch.from_arrays(
+        key, owner = key[first], owner[first]
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        key, owner, bucket = key[order], owner[order], bucket[order]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        ends = np.append(starts[1:], len(key))
+        packed = [
+            base.to_bytes(8, "little") + key[a:b].tobytes() + owner[a:b].astype("<u2").tobytes()
+            for a, b in zip(starts, ends, strict=True)
+        ]
+        yield _rows(len(starts), bucket=bucket[starts], keys=packed)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def meet() -> Iterator[pa.RecordBatch]:
+            sizes = [(len(x) - 8) // 10 for x in held]
+            key = np.concatenate([np.frombuffer(x, "<u8", n, 8) for x, n in zip(held, sizes, strict=True)])
+            row = np.concatenate(
                 [
-                    batch.column("doc_id"),
-                    batch.column("mark"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(names, pa.int64()),
-                    pa.array(checks, pa.int64()),
-                    nested,
-                ],
-                names=["doc_id", "mark", "n", "v", "check", "sketches"],
+                    int.from_bytes(x[:8], "little") + np.frombuffer(x, "<u2", n, 8 + 8 * n).astype(np.int64)
+                    for x, n in zip(held, sizes, strict=True)
+                ]
             )
+            order = np.lexsort((row, key))
+            key, row = key[order], row[order]
+            first = np.append(True, key[1:] != key[:-1])
+            head = row[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+            if not first.all():
+                yield _rows(
+                    int((~first).sum()), key=key[~first].view(np.int64), p=head[~first], q=row[~first]
+                )
+
+        for batch in batches:
+            packed = batch.column("keys").is_valid()
+            yield batch.filter(batch.column("keys").is_null())
+            part = batch.filter(packed)
+            for bucket, keys in zip(part.column("bucket").to_pylist(), part.column("keys").to_pylist(), strict=True):
+                if bucket != now:
+                    if held:
+                        yield from meet()
+                    now, held = bucket, []
+                held.append(keys)
+        if held:
+            yield from meet()
 
     text = text_of("text")
-    return map_arrow(docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text")), run, SKETCHES)
+    emitted = map_arrow(
+        docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text")), emit, SCANNED
+    )
+    return map_arrow(
+        emitted.repartition(count, "bucket").sortWithinPartitions("bucket"), gather, SCANNED
+    )
 
 
-def vertices(sketched: DataFrame) -> DataFrame:
-    """Distinct sets: ``v``, its size and smallest id. Two sets under one ``v`` raise."""
+def vertices(documents: DataFrame) -> DataFrame:
+    """Distinct sets: ``v``, its smallest id and the row that has its text. Two sets under one
+    ``v`` raise."""
     clash = F.min("check") != F.max("check")
     return (
-        sketched.where("n > 0")
+        documents.where("n > 0")
         .groupBy("v")
         .agg(
-            F.max("n").alias("n"),
             F.min("doc_id").alias("least_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("row"),
             F.when(clash, F.raise_error(F.lit("two shingle sets share a 64-bit name"))).alias("_clash"),
         )
         .where(F.col("_clash").isNull())
@@ -192,77 +317,6 @@ def vertices(sketched: DataFrame) -> DataFrame:
     )
 
 
-def block_keys(levels: list[dict], bands: Bands) -> np.ndarray:
-    """Keys that a vertex emits: level, place and value of its fuller blocks."""
-    out = []
-    for entry in levels:
-        blocks = np.array(entry["blocks"], np.int64).view(np.uint64)
-        spare = bands.shape(entry["level"])[1]
-        order = np.lexsort((np.arange(len(blocks)), blocks, np.bitwise_count(blocks)))[spare:]
-        place = order.astype(np.uint64) + np.uint64(entry["level"] << 32)
-        with np.errstate(over="ignore"):
-            out.append(_mix(_mix(place) ^ blocks[order] * np.uint64(0x9E3779B97F4A7C15)))
-    return np.concatenate(out).view(np.int64)
-
-
-def candidates(sketched: DataFrame, per_cent: int) -> DataFrame:
-    """Groups of equal blocks with several members, as rows ``key, p, v``: the members of a
-    group are all its ``p`` and ``v``."""
-    bands = Bands(per_cent)
-    count = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # copies emit once in a batch; across batches they meet as the same vertex
-            names, at = np.unique(np.array(batch.column("v"), np.int64), return_index=True)
-            own = batch.column("sketches").take(pa.array(at))
-            keys = [block_keys(x, bands) for x in own.to_pylist()]
-            if not keys:
-                continue
-            owner = np.repeat(names, [len(k) for k in keys])
-            key = np.concatenate(keys)
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
-            key, owner = key[fresh], owner[fresh]
-            first = np.append(True, key[1:] != key[:-1])
-            pivot = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            # the first of a key goes on to meet the other batches, its fellows are done here
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(pivot), pa.array(owner), pa.array(np.where(first, key, owner))],
-                names=["key", "p", "v", "deal"],
-            )
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_pivot = None, None
-        for batch in batches:
-            key, p, v = (np.array(batch.column(c), np.int64) for c in ("key", "p", "v"))
-            if not len(key):
-                continue
-            head = p == v  # rows that meet here
-            k, w = key[head], v[head]
-            pivot = w
-            if len(k):
-                first = np.append(True, k[1:] != k[:-1])
-                pivot = w[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))]
-                if last_key is not None and k[0] == last_key:
-                    pivot = np.where(k == k[0], last_pivot, pivot)
-                last_key, last_pivot = k[-1], pivot[-1]
-            met = pivot != w
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([k[met], key[~head]])),
-                    pa.array(np.concatenate([pivot[met], p[~head]])),
-                    pa.array(np.concatenate([w[met], v[~head]])),
-                ],
-                names=["key", "p", "v"],
-            )
-
-    emitted = map_arrow(sketched.select("v", "sketches"), emit, f"{CANDIDATES}, deal bigint")
-    dealt = emitted.repartition(count, "deal").sortWithinPartitions("key", "v")
-    return map_arrow(dealt, gather, CANDIDATES)
-
-
 def hamming(left: Column, right: Column) -> Column:
     """Bits in which the sketches of two vertices differ on a common band; null without one."""
 
@@ -285,7 +339,7 @@ def near(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
         pairs.join(one, "a")
         .join(two, "b")
         .where(100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb"))
-        .where(hamming(F.col("sa"), F.col("sb")) <= most)
+        .where(hamming(F.col("sa"), F.col("sb")) <= FLIPS * most)
         .select("a", "b")
     )
 
@@ -348,7 +402,7 @@ def foreign_pairs(members: DataFrame, per_cent: int, closest: bool) -> DataFrame
             x = outside[at : at + step]
             differing = np.bitwise_count(bits[x, None] ^ bits[None]).sum(axis=2, dtype=np.int64)
             joint = n[x, None] + n[None]
-            fits = differing <= joint * (100 - per_cent) // (100 + per_cent)
+            fits = differing <= FLIPS * (joint * (100 - per_cent) // (100 + per_cent))
             fits &= 100 * np.minimum(n[x, None], n[None]) >= per_cent * np.maximum(n[x, None], n[None])
             fits &= c[x, None] != c[None]
             if i != j:
@@ -396,7 +450,7 @@ def _members(groups: DataFrame, known: DataFrame, labels: DataFrame) -> DataFram
         .select(F.col("key").alias("k"), "members")
     )
     # only the band of the group's key matters, but every member of it has that band
-    return rows.join(open_groups, F.col("key") == F.col("k")).join(known, "v").select(
+    return rows.join(open_groups, F.col("key") == F.col("k")).join(known.drop("text"), "v").select(
         "key", "members", "v", "n", "c", "sketches"
     )
 
@@ -404,22 +458,21 @@ def _members(groups: DataFrame, known: DataFrame, labels: DataFrame) -> DataFram
 def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; also ``mark``, a hash of
     its text, and ``component``, the name of its component (null for an empty set)."""
-    sketched = stored(sketches(docs, words, per_cent), "sketches")
-    sets = vertices(sketched)
-    filled = sketched.where("n > 0")
-    groups = stored(candidates(filled, per_cent), "groups")
+    scanned = stored(scan(docs, words, per_cent), "scanned")
+    documents = scanned.where("r IS NOT NULL").select("doc_id", "mark", "n", "v", "check", "r")
+    sets = vertices(documents)
+    groups = stored(_named_groups(scanned, documents), "groups")
 
     # from here on only vertices that share a block with another one matter
     involved = groups.select("v").union(groups.select(F.col("p").alias("v"))).distinct()
-    known = stored(_known(filled, involved), "known")
-    texts = stored(_texts(docs, known), "texts")
+    known = stored(_known(docs, sets.join(involved, "v", "left_semi"), words, per_cent), "known")
 
     star = groups.select(F.least("p", "v").alias("a"), F.greatest("p", "v").alias("b")).distinct()
-    links = stored(verified(near(star, known, per_cent), texts, words, per_cent), "links")
+    links = stored(verified(near(star, known, per_cent), known, words, per_cent), "links")
     labels = components(links)
     for closest in (True, False):
         found = foreign_pairs(_members(groups, known, labels), per_cent, closest)
-        more = stored(verified(found, texts, words, per_cent), "links")
+        more = stored(verified(found, known, words, per_cent), "links")
         if more.isEmpty():
             continue
         links = links.union(more)
@@ -430,7 +483,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     least = joined.groupBy("c").agg(F.min("least_id").alias("component_id")).withColumnRenamed("c", "cc")
     named_sets = joined.join(least, F.col("c") == F.col("cc")).select(F.col("v").alias("sv"), "c", "component_id")
     return (
-        sketched.select("doc_id", "mark", "n", "v")
+        documents.select("doc_id", "mark", "n", "v")
         .join(named_sets, F.col("v") == F.col("sv"), "left")
         .select(
             "doc_id",
@@ -455,24 +508,45 @@ def keep_one(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     return docs.join(stay, same, "left_semi")
 
 
-def _known(filled: DataFrame, involved: DataFrame) -> DataFrame:
-    """Size and sketches of the involved vertices, and the row that has their text."""
-    row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("row")
-    # copies collapse before they are exchanged
+def _named_groups(scanned: DataFrame, documents: DataFrame) -> DataFrame:
+    """Groups of equal blocks with the names of the sets in place of row numbers."""
+    one = documents.select(F.col("r").alias("p"), F.col("v").alias("pv"))
+    two = documents.select(F.col("r").alias("q"), F.col("v").alias("qv"))
+    found = scanned.where("key IS NOT NULL").select("key", "p", "q")
     return (
-        filled.groupBy("v")
-        .agg(F.max("n").alias("n"), F.first("sketches").alias("sketches"), row)
-        .join(involved, "v", "left_semi")
-        .select("v", "n", "sketches", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("mark"))
+        found.join(one, "p")
+        .join(two, "q")
+        .where("pv <> qv")
+        .select("key", F.col("pv").alias("p"), F.col("qv").alias("v"))
+        .distinct()
     )
 
 
-def _texts(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """One text of each vertex, met by the id and hash of its row."""
+def _known(docs: DataFrame, sets: DataFrame, words: int, per_cent: int) -> DataFrame:
+    """Size, sketches and one text of each vertex; the text is met by id and hash of its row."""
+    bands = Bands(per_cent)
     text = text_of("text")
     own = docs.select(F.col("doc_id").alias("own"), F.xxhash64(text).alias("own_mark"), text.alias("text"))
+    wanted = sets.select("v", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("mark"))
     same = F.col("own").eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
-    return own.join(known.select("v", "id", "mark"), same).dropDuplicates(["v"]).select("v", "text")
+    found = own.join(wanted, same).dropDuplicates(["v"]).select("v", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(words)
+        for batch in batches:
+            sets = [shingle(t) for t in batch.column("text").to_pylist()]
+            own = [[(k, sketch(s, bands.blocks(k))) for k in bands.levels(len(s))] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("v"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    _nested(own),
+                    batch.column("text"),
+                ],
+                names=["v", "n", "sketches", "text"],
+            )
+
+    return map_arrow(found, run, KNOWN)
 
 
 def join_query(docs: DataFrame) -> DataFrame:
