@@ -80,11 +80,18 @@ class Periods:
         return F.expr(f"explode(array({', '.join(rows)})) AS _s")
 
 
-def _per_period(df: DataFrame, time: str, periods: Periods, **measures: Column) -> DataFrame:
+def _per_period(
+    df: DataFrame, time: str, periods: Periods, known: str | None = None, **measures: Column
+) -> DataFrame:
+    """``measures`` by person and period of ``time``, and by the period of ``known``, the time
+    from which they can be seen, where that is given."""
+    rows = df.where(F.col(time).isNotNull()).withColumn("_period", periods.period(time))
+    keys = [PERSON, "_period"]
+    if known is not None:
+        rows = rows.withColumn("_known", periods.period(known))
+        keys.append("_known")
     return (
-        df.where(F.col(time).isNotNull())
-        .withColumn("_period", periods.period(time))
-        .groupBy(PERSON, "_period")
+        rows.groupBy(*keys)
         .agg(*[m.alias(name) for name, m in measures.items()])
     )
 
@@ -93,7 +100,7 @@ def _yes(flag: str) -> Column:
     return F.count_if(F.col(flag))
 
 
-def _order_periods(orders: DataFrame, periods: Periods) -> DataFrame:
+def _order_periods(orders: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
     """Orders and purchase events of each person and period.
 
     The previous order tells both at once: an order at the same moment is a cart
@@ -107,56 +114,72 @@ def _order_periods(orders: DataFrame, periods: Periods) -> DataFrame:
     delivered = F.col("delivery_status") == "delivered"
     delay = F.when(delivered, F.col("delivery_delay_days")).cast("bigint")
     days = F.when(delivered, F.col("delivery_days")).cast("bigint")
-    return _per_period(
-        rows.withColumn("_event", event).withColumn("_gap", gap),
-        time,
-        periods,
-        orders=F.count(F.lit(1)),
-        first_at=F.min(time),
-        last_at=F.max(time),
-        events=F.count_if("_event"),
-        gaps=F.count("_gap"),
-        gap_sum=F.sum("_gap"),
-        gap_squares=F.sum(F.col("_gap") * F.col("_gap")),
-        valued=F.count("order_total_cents"),
-        revenue=F.sum("order_total_cents"),
-        largest=F.max("order_total_cents"),
-        delivered=F.count_if(delivered),
-        delayed_n=F.count(delay),
-        delay_sum=F.sum(delay),
-        late=F.count_if(delay > 0),
-        days_n=F.count(days),
-        days_sum=F.sum(days),
-        reviewed=F.count("review_score"),
-        review_sum=F.sum("review_score"),
-        negative=F.count_if(F.col("review_score") <= 2),
-        paid=F.sum("payment_cents"),
-        instalments_n=F.count("installments_mean"),
-        instalments_sum=F.sum("installments_mean"),
-    )
+    rows = rows.withColumn("_event", event).withColumn("_gap", gap)
+    purchase = {
+        "orders": F.count(F.lit(1)),
+        "first_at": F.min(time),
+        "last_at": F.max(time),
+        "events": F.count_if("_event"),
+        "gaps": F.count("_gap"),
+        "gap_sum": F.sum("_gap"),
+        "gap_squares": F.sum(F.col("_gap") * F.col("_gap")),
+        "valued": F.count("order_total_cents"),
+        "revenue": F.sum("order_total_cents"),
+        "largest": F.max("order_total_cents"),
+        "paid": F.sum("payment_cents"),
+        "instalments_n": F.count("installments_mean"),
+        "instalments_sum": F.sum("installments_mean"),
+    }
+    outcome = {
+        "delivered": F.count_if(delivered),
+        "delayed_n": F.count(delay),
+        "delay_sum": F.sum(delay),
+        "late": F.count_if(delay > 0),
+        "days_n": F.count(days),
+        "days_sum": F.sum(days),
+        "reviewed": F.count("review_score"),
+        "review_sum": F.sum("review_score"),
+        "negative": F.count_if(F.col("review_score") <= 2),
+    }
+    if not strict:
+        return [_per_period(rows, time, periods, **purchase, **outcome)]
+    # a delivery can be seen from its date on, a review not before the delivery
+    seen = F.greatest(time, F.coalesce("order_delivered_customer_date", time))
+    return [
+        _per_period(rows, time, periods, **purchase),
+        _per_period(rows.withColumn("_seen_at", seen), time, periods, known="_seen_at", **outcome),
+    ]
 
 
-def _ticket_periods(tickets: DataFrame, periods: Periods) -> DataFrame:
+def _ticket_periods(tickets: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
     hours = F.col("resolution_hours").cast("double")
     happy = F.col("customer_satisfaction").cast("bigint")
-    return _per_period(
-        tickets.select(*TICKET_COLUMNS),
-        "created_at",
-        periods,
-        tickets=F.count(F.lit(1)),
-        resolved_n=F.count("resolved"),
-        resolved=_yes("resolved"),
-        escalated_n=F.count("escalated"),
-        escalated=_yes("escalated"),
-        hours_n=F.count(hours),
-        hours_sum=F.sum(hours),
-        happy_n=F.count(happy),
-        happy_sum=F.sum(happy),
-    )
+    opened = {"tickets": F.count(F.lit(1))}
+    outcome = {
+        "resolved_n": F.count("resolved"),
+        "resolved": _yes("resolved"),
+        "escalated_n": F.count("escalated"),
+        "escalated": _yes("escalated"),
+        "hours_n": F.count(hours),
+        "hours_sum": F.sum(hours),
+        "happy_n": F.count(happy),
+        "happy_sum": F.sum(happy),
+    }
+    rows = tickets.select(*TICKET_COLUMNS)
+    if not strict:
+        return [_per_period(rows, "created_at", periods, **opened, **outcome)]
+    # how a ticket ends can be seen once it has taken its time
+    minutes = F.make_dt_interval(mins=F.round(F.coalesce(hours, F.lit(0.0)) * 60).cast("int"))
+    closed = rows.withColumn("_seen_at", F.col("created_at") + minutes)
+    return [
+        _per_period(rows, "created_at", periods, **opened),
+        _per_period(closed, "created_at", periods, known="_seen_at", **outcome),
+    ]
 
 
-def _campaign_periods(campaigns: DataFrame, periods: Periods) -> DataFrame:
-    return _per_period(
+def _campaign_periods(campaigns: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
+    """Opening, clicking and converting carry no dates of their own."""
+    counted = _per_period(
         campaigns.select(*CAMPAIGN_COLUMNS),
         "campaign_date",
         periods,
@@ -169,11 +192,12 @@ def _campaign_periods(campaigns: DataFrame, periods: Periods) -> DataFrame:
         converted=_yes("converted"),
         touched_at=F.max("campaign_date"),
     )
+    return [counted]
 
 
-def _intervention_periods(interventions: DataFrame, periods: Periods) -> DataFrame:
+def _intervention_periods(interventions: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
     rows = interventions.select(*INTERVENTION_COLUMNS)
-    return _per_period(rows, "created_at", periods, interventions=F.count(F.lit(1)))
+    return [_per_period(rows, "created_at", periods, interventions=F.count(F.lit(1)))]
 
 
 # Windows over periods, relative to the snapshot of the current row.
@@ -276,14 +300,15 @@ _EXTREMES = {
 }
 
 
-def _window_aggregates(parts: set[str]) -> list[Column]:
+def _window_aggregates(parts: set[str], strict: bool) -> list[Column]:
     """One aggregate per window and measure, named like ``past_revenue``."""
     out = []
+    seen = " AND coalesce(_known, _period) <= _now" if strict else ""
     for part in sorted(parts):
         for window, names in _SUMS[part].items():
             for name in names:
                 out.append(
-                    f"coalesce(sum({name}) FILTER (WHERE {_WINDOWS[window]}), 0) AS {window}_{name}"
+                    f"coalesce(sum({name}) FILTER (WHERE {_WINDOWS[window]}{seen}), 0) AS {window}_{name}"
                 )
         for how, window, name in _EXTREMES.get(part, []):
             out.append(f"{how}({name}) FILTER (WHERE {_WINDOWS[window]}) AS {window}_{name}")
@@ -465,15 +490,20 @@ def snapshot_features(
     churn_days: int = fixed.CHURN_DAYS,
     splits: Mapping[datetime, str] | None = None,
     payment_method: bool = True,
+    strict_as_of: bool = False,
 ) -> DataFrame:
     """All features and the label for each person with an order at or before a snapshot.
 
     Sources left out leave their columns out. With ``splits``, persons are kept to
     one split (see ``assign_splits``). Cost and segment tables are derived from a
     person's whole history and have no place here: they would leak the future.
+
+    Rows are chosen by the time of purchase or opening. With ``strict_as_of``, what became
+    known only after a snapshot is left out too: deliveries and reviews of orders still under
+    way, outcomes of tickets still open.
     """
     periods = Periods(snapshots)
-    sources = [_order_periods(order_summary.drop("payment_type_mode"), periods)]
+    sources = _order_periods(order_summary.drop("payment_type_mode"), periods, strict_as_of)
     parts = {"orders"}
     for name, table, build in (
         ("support", tickets, _ticket_periods),
@@ -482,7 +512,7 @@ def snapshot_features(
     ):
         if table is not None:
             parts.add(name)
-            sources.append(build(table, periods))
+            sources += build(table, periods, strict_as_of)
     stacked = _stack(sources)
     tenure = floored_days(F.col("past_first_at"), F.col(SNAPSHOT))
     panel = (
@@ -490,7 +520,7 @@ def snapshot_features(
         .select("*", periods.expanded())
         .select(*stacked.columns, "_s.*")
         .groupBy(PERSON, SNAPSHOT)
-        .agg(*_window_aggregates(parts))
+        .agg(*_window_aggregates(parts, strict_as_of))
         .where("past_orders > 0")
         .withColumn("_tenure", F.greatest(tenure, F.lit(1)))
         .select(PERSON, SNAPSHOT, *_features(churn_days, parts))

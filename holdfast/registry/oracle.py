@@ -132,11 +132,17 @@ _D = {n: f"INTERVAL {n} DAY" for n in (30, 90, 180)}
 _NEG = "score <= 2"
 
 
-def _feat(snaps: str) -> str:
+def _feat(snaps: str, strict: bool = False) -> str:
     """Features of all snapshots; ``panel`` has the person-snapshot rows kept."""
+    masked = """REPLACE (
+    CASE WHEN delivered <= snap THEN delay END AS delay,
+    CASE WHEN delivered <= snap THEN delivery_days END AS delivery_days,
+    CASE WHEN delivered <= snap THEN delivered END AS delivered,
+    CASE WHEN delivered IS NULL OR delivered <= snap THEN score END AS score)""" if strict else ""
+    open_only = "ts + to_minutes(CAST(round(hours * 60) AS BIGINT)) <= snap" if strict else "true"
     return f"""
 snap AS (SELECT * FROM (VALUES {snaps}) t(snap, split)),
-past AS (SELECT snap, split, osum.* FROM snap JOIN osum ON ts <= snap),
+past AS (SELECT snap, split, osum.* {masked} FROM snap JOIN osum ON ts <= snap),
 panel AS (
   SELECT cust, snap, split FROM (
     SELECT DISTINCT cust, snap, split, first_value(split) OVER (
@@ -171,8 +177,9 @@ f_events AS (
 f_next AS (SELECT cust, snap, min(ts) AS next_ts FROM snap JOIN ev ON ts > snap GROUP BY 1, 2),
 f_tickets AS (
   SELECT cust, snap, count(*) AS n, count(*) FILTER (WHERE ts > snap - {_D[90]}) AS n90,
-    avg(CAST(resolved AS INT)) AS resolved, avg(CAST(escalated AS INT)) AS escalated,
-    avg(hours) AS hours, avg(happy) AS happy
+    avg(CAST(resolved AS INT)) FILTER (WHERE {open_only}) AS resolved,
+    avg(CAST(escalated AS INT)) FILTER (WHERE {open_only}) AS escalated,
+    avg(hours) FILTER (WHERE {open_only}) AS hours, avg(happy) FILTER (WHERE {open_only}) AS happy
   FROM snap JOIN tickets ON ts <= snap GROUP BY 1, 2),
 f_campaigns AS (
   SELECT cust, snap, count(*) AS n, avg(CAST(opened AS INT)) AS opened,
@@ -786,6 +793,9 @@ def oracle_sql() -> dict[str, str]:
     # snapshot features
     for name, columns in GROUPS.items():
         out[name] = _with(f"{_BASE}, {_FEAT}", f"SELECT customer_unique_id, snapshot_date, split, {_columns(columns)} FROM feat")
+    out["snapshot_strict"] = _with(f"{_BASE}, {_feat(_SNAPS, strict=True)}", f"""
+      SELECT customer_unique_id, snapshot_date, split, {_columns([*GROUPS["snapshot_delivery"], "average_review_score",
+        "negative_review_rate", "review_trend_90d", *GROUPS["snapshot_support"], "lifetime_orders"])} FROM feat""")
     out["split_assignment"] = _with(f"{_BASE}, {_FEAT}", "SELECT cust AS customer_unique_id, snap AS snapshot_date, split FROM panel")
     out["split_summary"] = _with(f"{_BASE}, {_FEAT}", """
       SELECT split, count(*) AS n_rows, count(DISTINCT customer_unique_id) AS unique_customers,

@@ -428,6 +428,23 @@ for _name in PARTS:
     query(_snapshot_query(_name))
 
 
+@query
+def snapshot_strict(spark, folder):
+    """Delivery, review and ticket features as they could be known on the day."""
+    panel = features.feature_table(
+        _raw(spark, folder),
+        standin.SNAPSHOTS,
+        standin.SPLITS,
+        ("support",),
+        last_valid=standin.MAX_VALID_DATE,
+        strict_as_of=True,
+    )
+    reviews = ["average_review_score", "negative_review_rate", "review_trend_90d"]
+    return panel.select(
+        *KEYS, "split", *GROUPS["snapshot_delivery"], *reviews, *GROUPS["snapshot_support"], "lifetime_orders"
+    )
+
+
 @query
 def split_assignment(spark, folder):
     return _panel(spark, folder).select(*KEYS, "split")

@@ -174,3 +174,31 @@ def test_unique_guard(spark):
     twice = spark.createDataFrame([(1,), (1,)], "k INT")
     with pytest.raises(ValueError, match="Duplicate"):
         features.require_unique(twice, ["k"])
+
+
+def test_strict_features_ignore_what_became_known_later(spark, small):
+    when = F.col("order_purchase_timestamp") + F.expr("INTERVAL '40' DAY")
+    orders = small["order_summary"].withColumn("order_delivered_customer_date", when)
+    late = F.col("order_delivered_customer_date") > F.lit(SNAP)
+    changed = orders.withColumns(
+        {
+            "delivery_delay_days": F.when(late, F.lit(99)).otherwise(F.col("delivery_delay_days")),
+            "delivery_days": F.when(late, F.lit(99)).otherwise(F.col("delivery_days")),
+            "review_score": F.when(late, F.lit(1.0)).otherwise(F.col("review_score")),
+        }
+    )
+    tickets = spark.createDataFrame([("c1", d("2017-06-30 20:00:00"), False, True, 50.0, 1)], TICKETS)
+    opened = small["tickets"].union(tickets)
+
+    def features_of(summary, strict):
+        panel = features.snapshot_features([SNAP], summary, tickets=opened, strict_as_of=strict)
+        return {r["customer_unique_id"]: r.asDict() for r in panel.collect()}
+
+    assert features_of(orders, True) == features_of(changed, True)
+    loose, strict = features_of(orders, False), features_of(orders, True)
+    assert loose != features_of(changed, False)
+    c1 = strict["c1"]
+    assert c1["n_support_tickets"] == 2 and c1["pct_tickets_resolved"] == 1.0 and c1["avg_resolution_hours"] == 5.0
+    assert loose["c1"]["pct_tickets_resolved"] == 0.5
+    money = ["lifetime_revenue", "lifetime_orders", "orders_last_90_days", "days_since_last_purchase", "churned"]
+    assert all(strict[c][m] == loose[c][m] for c in strict for m in money)
