@@ -17,8 +17,8 @@ ones of the next band is sketched for that band too.
 3. Each group of equal blocks compares its members with its first one. Pairs whose sketches
    differ little enough are verified on the shingles of the texts; the links give
    components.
-4. Groups that still hold several components compare, in tiles of bounded size, the
-   sketches of members of different components. First the closest pair to each foreign
+4. What equal blocks hold together is a cluster. Clusters that still hold several components
+   compare, in tiles of bounded size, the sketches of members of different components. First the closest pair to each foreign
    component is verified, and after the components are joined again, every remaining pair
    that the sketches allow. After that no link between different texts can be missing.
 
@@ -365,7 +365,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, per_cent: int) -> D
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Members of each group once per pair of tiles in which they are compared."""
+    """Members of each cluster and band once per pair of tiles in which they are compared."""
     k = F.ceil(F.col("members") / TILE).cast("int")
     tile = F.pmod(F.xxhash64("v", F.lit(3)), k).cast("int")
     every = F.transform(
@@ -377,27 +377,21 @@ def _tiles(members: DataFrame) -> DataFrame:
 def foreign_pairs(members: DataFrame, per_cent: int, closest: bool) -> DataFrame:
     """Pairs of members of different components that the sketches allow to link: all, or
     for each member the closest one of each foreign component."""
-    bands = Bands(per_cent)
     count = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = _tiles(members).select("key", "t.i", "t.j", "own", "v", "n", "c", "sketches")
-    dealt = tiles.repartition(count, "key", "i", "j").sortWithinPartitions("key", "i", "j", "c", "v")
-
-    def compare(rows: list[dict]) -> Iterator[tuple[int, int]]:
-        shared = set.intersection(*({x["level"] for x in r["sketches"]} for r in rows))
-        if not shared:  # members of a tile met on one band; without it they cannot link
-            return
-        level = min(shared)
-        bits = np.array(
-            [next(x["blocks"] for x in r["sketches"] if x["level"] == level) for r in rows], np.int64
-        ).view(np.uint64)
-        n = np.array([r["n"] for r in rows])
-        c = np.array([r["c"] for r in rows])
-        v = np.array([r["v"] for r in rows])
-        own = np.array([r["own"] for r in rows])
-        i, j = rows[0]["i"], rows[0]["j"]
+    keys = ["g", "level", "i", "j"]
+    tiles = _tiles(members).select("g", "level", "t.i", "t.j", "own", "v", "n", "c", "blocks")
+    dealt = tiles.repartition(count, *keys).sortWithinPartitions(*keys)
+
+    def compare(parts: list[pa.RecordBatch]) -> np.ndarray:
+        """Pairs of one tile pair, whose rows come in one or more batches."""
+        n, c, v, own = (np.concatenate([np.array(p.column(x)) for p in parts]) for x in ("n", "c", "v", "own"))
+        bits = np.concatenate([np.array(p.column("blocks").flatten()) for p in parts])
+        bits = bits.view(np.uint64).reshape(len(v), -1)
+        apart = parts[0].column("i")[0].as_py() != parts[0].column("j")[0].as_py()
         values, counts = np.unique(c, return_counts=True)
         outside = np.flatnonzero(c != values[counts.argmax()])
-        step = max(1, 2_000_000 // (len(rows) * bits.shape[1]))
+        found = [np.zeros((0, 2), np.int64)]
+        step = max(1, 2_000_000 // bits.size)
         for at in range(0, len(outside), step):
             x = outside[at : at + step]
             differing = np.bitwise_count(bits[x, None] ^ bits[None]).sum(axis=2, dtype=np.int64)
@@ -405,54 +399,63 @@ def foreign_pairs(members: DataFrame, per_cent: int, closest: bool) -> DataFrame
             fits = differing <= FLIPS * (joint * (100 - per_cent) // (100 + per_cent))
             fits &= 100 * np.minimum(n[x, None], n[None]) >= per_cent * np.maximum(n[x, None], n[None])
             fits &= c[x, None] != c[None]
-            if i != j:
+            if apart:
                 fits &= own[x, None] != own[None]
-            for k in range(len(x)):
-                to = np.flatnonzero(fits[k])
-                if closest and len(to):
-                    to = to[np.lexsort((differing[k, to], c[to]))]
-                    to = to[np.append(True, c[to][1:] != c[to][:-1])]
-                for y in to:
-                    yield int(min(v[x[k]], v[y])), int(max(v[x[k]], v[y]))
+            one, two = np.nonzero(fits)
+            if closest and len(one):
+                order = np.lexsort((differing[one, two], c[two], one))
+                one, two = one[order], two[order]
+                first = np.append(True, (one[1:] != one[:-1]) | (c[two][1:] != c[two][:-1]))
+                one, two = one[first], two[first]
+            pair = np.stack([v[x[one]], v[two]], axis=1)
+            found.append(np.sort(pair, axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, held = None, []
 
         def flush() -> pa.RecordBatch:
-            found = sorted(set(compare(rows))) if len(rows) > 1 else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
-            )
+            pairs = compare(held)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
-            for r in batch.to_pylist():
-                if (r["key"], r["i"], r["j"]) != now:
-                    if rows:
-                        yield flush()
-                    now, rows = (r["key"], r["i"], r["j"]), []
-                rows.append(r)
-        if rows:
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.array(batch.column(x)).astype(np.int64) for x in keys], axis=1)
+            starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+            for at, to in zip(starts, np.append(starts[1:], len(key)), strict=True):
+                own = tuple(key[at])
+                if own != now and held:
+                    yield flush()
+                    held = []
+                now = own
+                held.append(batch.slice(at, to - at))
+        if held:
             yield flush()
 
     return map_arrow(dealt, run, "a bigint, b bigint").distinct()
 
 
-def _members(groups: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the groups that hold several components and untested pairs."""
-    rows = groups.select("key", "v").union(groups.select("key", F.col("p").alias("v"))).distinct()
-    rows = rows.join(labels.withColumnRenamed("v", "lv"), F.col("v") == F.col("lv"), "left").select(
-        "key", "v", F.coalesce("c", "v").alias("c")
+def _members(known: DataFrame, clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the clusters that hold several components and untested pairs, by band.
+
+    A cluster is what equal blocks hold together, so every pair with an equal block lies in
+    one, and each set is carried once, however many blocks it shares.
+    """
+    rows = (
+        known.join(clusters.select(F.col("v").alias("kv"), F.col("c").alias("g")), F.col("v") == F.col("kv"))
+        .join(labels.select(F.col("v").alias("lv"), F.col("c").alias("l")), F.col("v") == F.col("lv"), "left")
+        .select("g", "v", "n", F.coalesce("l", "v").alias("c"), F.explode("sketches").alias("s"))
+        .select("g", "v", "n", "c", "s.level", "s.blocks")
     )
-    open_groups = (
-        rows.groupBy("key")
+    open_clusters = (
+        rows.groupBy("g", "level")
         .agg(F.count(F.lit(1)).alias("members"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-        .where("members > 2 and c0 <> c1")
-        .select(F.col("key").alias("k"), "members")
-    )
-    # only the band of the group's key matters, but every member of it has that band
-    return rows.join(open_groups, F.col("key") == F.col("k")).join(known.drop("text"), "v").select(
-        "key", "members", "v", "n", "c", "sketches"
+        .where("members > 1 and c0 <> c1")
+        .select(F.col("g").alias("og"), F.col("level").alias("ol"), "members")
     )
+    same = (F.col("g") == F.col("og")) & (F.col("level") == F.col("ol"))
+    return rows.join(open_clusters, same).drop("og", "ol")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
@@ -470,8 +473,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     star = groups.select(F.least("p", "v").alias("a"), F.greatest("p", "v").alias("b")).distinct()
     links = stored(verified(near(star, known, per_cent), known, words, per_cent), "links")
     labels = components(links)
+    clusters = components(star)
     for closest in (True, False):
-        found = foreign_pairs(_members(groups, known, labels), per_cent, closest)
+        found = foreign_pairs(_members(known.drop("text"), clusters, labels), per_cent, closest)
         more = stored(verified(found, known, words, per_cent), "links")
         if more.isEmpty():
             continue
