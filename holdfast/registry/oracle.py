@@ -931,6 +931,34 @@ def oracle_sql() -> dict[str, str]:
       SELECT customer_unique_id, risk_tier, {_WHATIF_ABS} AS risk_tier_scenario FROM tiered""")
     out["tier_whatif_quantile"] = _with(f"{_VALUE}, {_WHATIF_Q}", "SELECT customer_unique_id, risk_tier, t AS risk_tier_scenario FROM whatif")
     out["tier_summary"] = _with(f"{_VALUE}, whatif AS (SELECT *, {_WHATIF_ABS} AS t FROM tiered)", _TIER_SUM.format("whatif"))
+    caveat = fixed.MODEL_CAVEAT.replace("'", "''")
+    effect_caveat = fixed.EFFECT_CAVEAT.replace("'", "''")
+    out["tier_distribution"] = _with(_VALUE, f"""
+      SELECT risk_tier, count(*) AS n_customers, round(sum(revenue_at_risk), 2) AS total_revenue_at_risk,
+        '{caveat}' AS caveat FROM tiered GROUP BY 1""")
+    out["campaign_caveats"] = _with(_VALUE, f"""
+      SELECT count(*) AS n_targeted, '{caveat}' AS model_caveat, '{effect_caveat}' AS retention_effect_caveat
+      FROM tiered WHERE risk_tier = 'low'""")
+    out["movement_matrix"] = _with(f"{_VALUE}, whatif AS (SELECT *, {_WHATIF_ABS} AS t FROM tiered)", """
+      SELECT coalesce(risk_tier, 'All') AS risk_tier, count(*) FILTER (WHERE t = 'low') AS low,
+        count(*) FILTER (WHERE t = 'medium') AS medium, count(*) FILTER (WHERE t = 'high') AS high,
+        count(*) AS "All" FROM whatif WHERE t IS NOT NULL GROUP BY ROLLUP (risk_tier)""")
+    out["append_roundtrip"] = "SELECT event_id, user_id, event_type FROM events"
+    out["truncate_roundtrip"] = "SELECT CAST(s_suppkey AS VARCHAR) AS seller_id FROM supplier"
+    out["catalog_roundtrip"] = _with(_BASE, """
+      SELECT cust AS customer_unique_id, ts AS order_purchase_timestamp, min_order AS representative_order_id FROM ev""")
+    terms = " UNION ALL ".join(
+        [f"SELECT '{c}' AS term" for c in [*fixed.NUMERIC_FEATURES, *fixed.INDICATORS]]
+        + [
+            f"SELECT DISTINCT '{c}_' || {c} FROM feat WHERE split = 'train' AND {c} IS NOT NULL"
+            for c in fixed.CATEGORICAL_FEATURES
+        ]
+    )
+    out["lr_gradient"] = _with(f"{_BASE}, {_FEAT}", f"SELECT term, 0.0::DOUBLE AS gradient FROM ({terms})")
+    out["model_roundtrip"] = _with(f"{_BASE}, {_FEAT}", "SELECT customer_unique_id, snapshot_date, true AS same_score FROM feat")
+    out["gbt_summary"] = _with(f"{_BASE}, {_FEAT}", """
+      SELECT split, count(*) AS n_rows, true AS probabilities, true AS several_trees, true AS below_bound
+      FROM feat GROUP BY 1""")
     out["tier_movement"] = _with(f"{_VALUE}, whatif AS (SELECT *, {_WHATIF_ABS} AS t FROM tiered)", """
       SELECT coalesce(risk_tier, 'All') AS risk_tier, coalesce(t, 'All') AS risk_tier_scenario,
         count(*) AS n_customers FROM whatif WHERE t IS NOT NULL GROUP BY CUBE (risk_tier, t)""")

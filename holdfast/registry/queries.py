@@ -849,7 +849,113 @@ def csv_roundtrip(spark, folder):
     return back.select("order_id", "seller_id", "price", "freight_value")
 
 
-# without a SQL counterpart: fitted models and hash order
+@query
+def tier_distribution(spark, folder):
+    rows = _risk(spark, folder).groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        F.round(F.sum("revenue_at_risk"), 2).alias("total_revenue_at_risk"),
+        F.first("caveat").alias("caveat"),
+    )
+    return rows
+
+
+@query
+def campaign_caveats(spark, folder):
+    effect = scenario.resolve_effect("moderate")
+    summary = scenario.campaign_roi(_risk(spark, folder), "risk_tier", 15, effect, tier="low")[0]
+    return summary.select("n_targeted", "model_caveat", "retention_effect_caveat")
+
+
+@query
+def movement_matrix(spark, folder):
+    return scenario.movement_matrix(_whatif(spark, folder)[2], fixed.RISK_LABELS)
+
+
+@query
+def append_roundtrip(spark, folder):
+    path = fresh_path(spark, "events")
+    rows = standin.read(spark, folder, "events").select("event_id", "user_id", "event_type")
+    tables.append(rows.where("event_id % 2 = 0"), path)
+    tables.append(rows.where("event_id % 2 <> 0"), path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query
+def truncate_roundtrip(spark, folder):
+    path = fresh_path(spark, "sellers")
+    unknown = {c: F.lit(None) for c in ("seller_zip_code_prefix", "seller_city")}
+    sellers = _raw(spark, folder)["sellers"].withColumns({**unknown, "extra": F.lit(1)})
+    for _ in range(2):  # the second load replaces the first and drops what is not declared
+        tables.truncate_and_load(sellers, path, "sellers")
+    return spark.read.parquet(path).select("seller_id")
+
+
+@query
+def catalog_roundtrip(spark, folder):
+    name = fresh_path(spark, "purchase_events").rsplit("/", 1)[1].replace("-", "_")
+    tables.save_as_table(staging.purchase_events(_resolved(spark, folder)), name)
+    return spark.table(name).select("customer_unique_id", "order_purchase_timestamp", "representative_order_id")
+
+
+# fitted models
+
+
+def _fitted_logistic(spark, folder):
+    rows, panel = _modelling(spark, folder)
+    fitted, terms = model.fit_logistic(rows["train"])
+    return rows["train"], panel, fitted, terms
+
+
+@query
+def lr_gradient(spark, folder):
+    """The objective's gradient at the fitted coefficients, per input: zero where it is least."""
+    train, _, fitted, terms = _fitted_logistic(spark, folder)
+    scored = model.score(fitted, train).withColumn("_w", model.balanced_weight(train))
+    pull = F.col("_w") * (F.col(SCORE) - F.col(LABEL))
+    n = F.count(F.lit(1))
+    sums = scored.agg(*[(F.sum(pull * F.expr(t.value)) / n).alias(f"g{i}") for i, t in enumerate(terms)], n.alias("n"))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(t.name).alias("term"),
+                F.round(F.col(f"g{i}") + F.lit(t.coefficient) / F.col("n"), 4).alias("gradient"),
+            )
+            for i, t in enumerate(terms)
+        ]
+    )
+    return sums.select(F.explode(cells).alias("c")).select("c.*")
+
+
+@query
+def model_roundtrip(spark, folder):
+    """Scores of a stored and reloaded model equal those of the fitted one."""
+    _, panel, fitted, terms = _fitted_logistic(spark, folder)
+    path = fresh_path(spark, "model")
+    model.save(fitted, path, terms)
+    before = model.score(fitted, panel).select(*KEYS, F.col(SCORE).alias("_before"))
+    after = model.score(model.load(path), panel).select(*KEYS, SCORE)
+    same = model.load_terms(spark, path) == terms
+    return after.join(before, KEYS).select(
+        *KEYS, ((F.col(SCORE) == F.col("_before")) & F.lit(same)).alias("same_score")
+    )
+
+
+@query
+def gbt_summary(spark, folder):
+    """Facts that hold for boosted trees stopped by patience, with the rows of each split."""
+    rows, panel = _modelling(spark, folder)
+    fitted = model.fit_trees(rows["train"], rows["validation"])
+    trees = fitted.stages[-1].getNumTrees
+    scored = model.score(fitted, panel)
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.every(F.col(SCORE).between(0, 1)).alias("probabilities"),
+        F.lit(trees > 1).alias("several_trees"),
+        F.lit(trees < fixed.TREE_SETTINGS["rounds"]).alias("below_bound"),
+    )
+
+
+# without a SQL counterpart: scores of fitted models
 
 
 def _modelling(spark, folder):
