@@ -95,8 +95,8 @@ def test_toxicity_edges(docs):
 
 
 def test_lexicon_learns_words_and_stems_but_not_copies():
-    toxic = [(f"plain words number {i} and then klodda{'abcdefgh'[i % 8]}x {i * 7} turned oafish{i} oafish here {i * 3}", 1) for i in range(60)]
+    toxic = [(f"plain words number {i} klodda{'abcdefgh'[i % 8]}x and then {i * 7} oafish here {i * 3}", 1) for i in range(60)]
     toxic += [("a copied text that holds zebrafish in one place only", 1)] * 30
-    clean = [(f"plain words number {i} and then some {i * 7} stands calmly here {i * 3}", 0) for i in range(120)]
+    clean = [(f"plain words number {i} and then {i * 7} calmly here {i * 3}", 0) for i in range(120)]
     g = toxicity.learn_lexicon(toxic + clean)
     assert g.entry("oafish") and g.entry("kloddazzz") and not g.entry("zebrafish") and not g.entry("plain")
