@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -107,37 +108,49 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, per_class: int
-) -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled texts of each class, the same ones at each run.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """``doc_id, y, text`` of at most ``per_class`` labelled texts of each class, the same ones
+    at each run.
 
     Takes the documents with the smallest hashes among those that are not held out.
     Rows without id or label are no examples; a document with several labels counts once.
-    The ids are chosen first, so the sort sees no text; at most ``2 * per_class`` texts
-    reach the driver, which is the bound of the broadcast as well.
+    The ids are chosen first, so the sort sees no text; at most ``2 * per_class`` ids reach
+    the driver, which is the bound of the broadcast as well.
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id")
-        .agg(F.max(label).alias("_y"))
+        .agg(F.max(label).cast("int").alias("y"))
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [
         r
         for y in (0, 1)
-        for r in known.where(F.col("_y") == y).orderBy(*order).limit(per_class).collect()
+        for r in known.where(F.col("y") == y).orderBy(*order).limit(per_class).collect()
     ]
-    if not chosen:
-        return []
     ids = docs.sparkSession.createDataFrame(chosen, known.schema)
-    rows = (
-        docs.select("doc_id", text_of("text").alias("_text"))
+    return (
+        docs.select("doc_id", text_of("text").alias("text"))
         .join(F.broadcast(ids), "doc_id")
-        .groupBy("doc_id", "_y")
-        .agg(F.min("_text").alias("_text"))
-        .collect()
+        .groupBy("doc_id", "y")
+        .agg(F.min("text").alias("text"))
     )
-    rows.sort(key=lambda r: (r["_y"], r["doc_id"]))
-    return [(r["_text"], r["_y"]) for r in rows]
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple[str, int]]], object]):
+    """The model that ``fit`` makes of a bounded sample, fitted in one task.
+
+    The texts stay on the executors; a lost one fits again. The driver gets the model alone.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [
+            (y, i, t)
+            for b in batches
+            for y, i, t in zip(*(b.column(c).to_pylist() for c in ("y", "doc_id", "text")), strict=True)
+        ]
+        model = fit([(t, y) for y, _, t in sorted(rows)])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return pickle.loads(map_arrow(sample.repartition(1), run, "model binary").first()["model"])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import held_out, labelled_sample, map_arrow, text_of, utf8
+from holdfast.llm.common import fitted, held_out, labelled_sample, map_arrow, text_of, utf8
 
 CHUNK = 512
 OVERLAP = 64
@@ -193,7 +193,7 @@ def _gradients(p: dict, offsets: np.ndarray, raw: np.ndarray, y: np.ndarray, wei
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Network:
     """Fit on at most ``per_class`` labelled texts of each class that are not held out."""
-    return fit(labelled_sample(docs, labels, label, per_class))
+    return fitted(labelled_sample(docs, labels, label, per_class), fit)
 
 
 def score(docs: DataFrame, net: Network, threshold: float = 0.7) -> DataFrame:

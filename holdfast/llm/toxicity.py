@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from holdfast.llm.common import held_out, labelled_sample, map_arrow, text_of
+from holdfast.llm.common import fitted, held_out, labelled_sample, map_arrow, text_of
 
 #: labelled texts of each class that the grammar is fitted to at the most
 PER_CLASS = 2500
@@ -273,7 +273,7 @@ class Reader:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Grammar:
     """Fit on at most ``per_class`` labelled texts of each class that are not held out."""
-    return fit(labelled_sample(docs, labels, label, per_class))
+    return fitted(labelled_sample(docs, labels, label, per_class), fit)
 
 
 def score(docs: DataFrame, grammar: Grammar, threshold: float = 0.3) -> DataFrame:
