@@ -34,7 +34,7 @@ HIDDEN = 24
 #: chunks per block: bounds the memory of a task
 BLOCK = 256
 #: labelled texts of each class that training sees at the most
-PER_CLASS = 2500
+PER_CLASS = 4000
 EPOCHS = 6
 #: a small sample is gone through more often, up to this many steps
 LEAST_STEPS = 900
