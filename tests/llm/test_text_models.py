@@ -100,3 +100,13 @@ def test_lexicon_learns_words_and_stems_but_not_copies():
     clean = [(f"plain words number {i} and then {i * 7} calmly here {i * 3}", 0) for i in range(120)]
     g = toxicity.learn_lexicon(toxic + clean)
     assert g.entry("oafish") and g.entry("kloddazzz") and not g.entry("zebrafish") and not g.entry("plain")
+
+
+def test_queries_on_empty_tables(spark, docs):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert quality_conv.quality_query(docs([]), labels).count() == 0
+    assert toxicity.toxicity_query(docs([]), labels).count() == 0
+    one = docs([(1, None, None)])
+    assert {r["score"] for r in quality_conv.quality_query(one, labels).collect()} == {0.5}
+    unknown = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.toxicity_query(one, unknown).count() == 1
