@@ -906,6 +906,18 @@ def _fitted_logistic(spark, folder):
     return rows["train"], panel, fitted, terms
 
 
+_trees: dict[tuple[str, str], tuple] = {}
+
+
+def _fitted_trees(spark, folder):
+    """Modelling rows and boosted trees; fitted once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _trees:
+        rows, panel = _modelling(spark, folder)
+        _trees[key] = (panel, model.fit_trees(rows["train"], rows["validation"]))
+    return _trees[key]
+
+
 @query
 def lr_gradient(spark, folder):
     """The objective's gradient at the fitted coefficients, per input: zero where it is least."""
@@ -943,8 +955,7 @@ def model_roundtrip(spark, folder):
 @query
 def gbt_summary(spark, folder):
     """Facts that hold for boosted trees stopped by patience, with the rows of each split."""
-    rows, panel = _modelling(spark, folder)
-    fitted = model.fit_trees(rows["train"], rows["validation"])
+    panel, fitted = _fitted_trees(spark, folder)
     trees = fitted.stages[-1].getNumTrees
     scored = model.score(fitted, panel)
     return scored.groupBy("split").agg(
@@ -973,17 +984,14 @@ def lr_train_score(spark, folder):
 
 @query
 def gbt_train_score(spark, folder):
-    rows, panel = _modelling(spark, folder)
-    fitted = model.fit_trees(rows["train"], rows["validation"])
+    panel, fitted = _fitted_trees(spark, folder)
     return model.score(fitted, panel).select(*KEYS, "split", SCORE)
 
 
 @query
 def model_comparison(spark, folder):
-    rows, panel = _modelling(spark, folder)
-    terms = model.prepare(rows["train"])
-    linear, _ = model.fit_logistic(rows["train"], terms)
-    trees = model.fit_trees(rows["train"], rows["validation"], terms)
+    panel, trees = _fitted_trees(spark, folder)
+    linear, _ = model.fit_logistic(panel.where(F.col("split") == "train"))
     slim = panel.columns
     scored = {
         name: settle(model.score(m, panel.select(*slim)).select("split", LABEL, SCORE))
