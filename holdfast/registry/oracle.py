@@ -537,11 +537,10 @@ def _top(k: int, effect: float, cost: float) -> str:
     return f"SELECT * FROM tiered ORDER BY customer_value * p * {effect!r} / {cost!r} DESC, customer_unique_id LIMIT {k}"
 
 
-_MEDIANS = ["days_since_last_purchase", "lifetime_orders", "lifetime_revenue", "purchase_gap_mean",
+MEDIANS = ["days_since_last_purchase", "lifetime_orders", "lifetime_revenue", "purchase_gap_mean",
             "average_delivery_delay", "recent_90d_revenue"]
-DRIFT = _MEDIANS
-NULL_COLUMNS = ["purchase_gap_mean", "purchase_gap_std", "review_trend_90d", "recent_delivery_delay",
-                "pct_tickets_resolved", "days_since_last_campaign"]
+DRIFT = fixed.NUMERIC_FEATURES
+NULL_COLUMNS = GROUPS["snapshot_features_full"]
 DRIFT_DAYS = (standin.MAX_VALID_DATE, standin.SNAPSHOTS[-1])
 
 
@@ -891,7 +890,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT c_custkey, c_mktsegment FROM customer ORDER BY md5(c_custkey || '/42') DESC, c_custkey LIMIT 500"""
     out["reference_medians"] = _with(f"{_BASE}, {_FEAT}", " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median FROM feat WHERE split = 'train' AND churned = 0"
-        for c in _MEDIANS))
+        for c in MEDIANS))
     both = ", ".join(f"({_ts(d)}, 'all')" for d in DRIFT_DAYS)
     out["feature_drift"] = _with(f"{_BASE}, {_feat(both)}, {_drift_side('scoring', _ts(DRIFT_DAYS[0]))}, {_drift_side('training', _ts(DRIFT_DAYS[1]))}", """
       SELECT *, round(abs(scoring_null_pct - training_null_pct), 2) AS null_pct_jump,

@@ -20,6 +20,7 @@ from holdfast.registry.oracle import (
     DRIFT_DAYS,
     GROUPS,
     INTERCEPT,
+    MEDIANS,
     NULL_COLUMNS,
     TERMS,
 )
@@ -167,7 +168,7 @@ def null_profile(spark, folder):
 
 @query
 def feature_nulls(spark, folder):
-    panel = _panel(spark, folder, "support", "campaigns")
+    panel = _panel(spark, folder, *features.PARTS)
     return profile.null_rates(panel.select("split", *NULL_COLUMNS), ["split"])
 
 
@@ -671,15 +672,15 @@ def explanations(spark, folder):
 
 @query
 def reference_medians(spark, folder):
-    panel = settle(_panel(spark, folder).select("split", LABEL, *DRIFT))
-    return explain.reference_medians(panel.where(F.col("split") == "train"), DRIFT)
+    panel = settle(_panel(spark, folder).select("split", LABEL, *MEDIANS))
+    return explain.reference_medians(panel.where(F.col("split") == "train"), MEDIANS)
 
 
 @query
 def feature_drift(spark, folder):
     raw = _raw(spark, folder)
     both = settle(
-        features.feature_table(raw, list(DRIFT_DAYS), parts=()).select("snapshot_date", *DRIFT)
+        features.feature_table(raw, list(DRIFT_DAYS)).select("snapshot_date", *DRIFT)
     )
     sides = [both.where(F.col("snapshot_date") == moment(d)) for d in DRIFT_DAYS]
     return profile.drift(sides[0], sides[1], DRIFT)
