@@ -1,13 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five word classes drive the grammar: insults, threats, targets, negations and words that
-report speech. Insults are learned from labelled texts, as whole words or as stems that
-many different words share; the other classes are short fixed lists. A clause is read by
-the composition of their transducers: an insult or threat emits its weight into the channel
-that the state before and around it selects (plain, at a target, negated, reported). A text
-sums its channels, and weights fitted to the labels (with fixed weights as prior, for
-channels the labels do not show) turn the sums into one probability. Words alone never
-score: only matched clauses do.
+Five transducers, each a table of states, are composed into one: harm (insults and threats),
+targets, negations, words that report speech, and quotation marks. Insults are learned from
+labelled texts, as whole words or as stems that many different words share; the other
+classes are short fixed lists. Each transducer but the first has a part that reads from the
+left and one that reads from the right, so what stands behind an insult counts like what
+stands before it. An insult or threat emits its weight into the channel that the two states
+around it select (plain, at a target, negated, reported). A text sums its channels, and
+weights fitted to the labels (with fixed weights as prior, for channels the labels do not
+show) turn the sums into one probability. Words alone never score: weakly marked (vague)
+words go through the same channels with their smaller weight.
+
+A target counts within its clause, a negation over three words of it (backwards not past a
+comma), a word of report within its sentence, on both sides; after a colon it holds to the
+end of the paragraph. A quotation holds over sentence ends up to its closing mark; a mark that
+its paragraph never answers opens nothing. Paragraphs end at an empty line.
 
 Null texts count as empty; a text without a matched clause gets the lowest score. Whole
 texts are read. Rows with equal texts get equal scores, no other column is an input, and
@@ -19,8 +26,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +49,7 @@ REMEMBERED = 500_000
 REACH = 3
 
 WORDS = re.compile(r"\w+")
-TOKENS = re.compile(r"\w+(?:'\w+)?|[.!?;:\n]|[\"“”«»„]")
-ENDS = frozenset(".!?;:\n")
+TOKENS = re.compile(r"\w+(?:'\w+)?|\n[^\S\n]*\n\s*|[.!?;:,\n]|[\"“”«»„]")
 QUOTES = frozenset('"“”«»„')
 
 THREATS = frozenset(
@@ -59,22 +67,103 @@ REPORTS = frozenset(
 )
 
 #: channels of the grammar, and the prior weight of each
-CHANNELS = {
-    "plain": 3.0,
-    "targeted": 3.5,
-    "negated": 1.0,
-    "reported": 1.5,
-    "threat": 4.0,
-    "vague": 0.5,
-    "vague_opening": 1.0,
-    "vague_rate": 0.0,
-}
+CHANNELS = {"plain": 3.0, "targeted": 3.5, "negated": 1.0, "reported": 1.5, "threat": 4.0}
 PRIOR_OFFSET = -3.0
 
 
+#: symbols that the transducers read
+INSULT, THREAT, TARGET, NEGATION, REPORT, WORD, QUOTE, COMMA, SEMICOLON, COLON, END, PARAGRAPH = range(12)
+SYMBOLS = range(12)
+HARM = (INSULT, THREAT)
+WORDLIKE = frozenset({INSULT, THREAT, TARGET, NEGATION, REPORT, WORD})
+MARKS = {",": COMMA, ";": SEMICOLON, ":": COLON, **dict.fromkeys(".!?\n", END), **dict.fromkeys(QUOTES, QUOTE)}
+
+#: next state by state and symbol
+Table = list[list[int]]
+
+
+def transducer(states: int, step: Callable[[int, int], int]) -> Table:
+    return [[step(state, symbol) for symbol in SYMBOLS] for state in range(states)]
+
+
+def _flag(on: int, off: frozenset[int]) -> Table:
+    """Set by one symbol, cleared by some."""
+    return transducer(2, lambda s, x: 1 if x == on else 0 if x in off else s)
+
+
+def _reach(off: frozenset[int]) -> Table:
+    """Words that a negation still reaches."""
+
+    def step(state: int, symbol: int) -> int:
+        if symbol == NEGATION:
+            return REACH
+        return 0 if symbol in off else max(0, state - (symbol in WORDLIKE))
+
+    return transducer(REACH + 1, step)
+
+
+def _report(state: int, symbol: int) -> int:
+    """0 nothing, 1 a report in this sentence, 2 what a colon after it introduces."""
+    if symbol == PARAGRAPH:
+        return 0
+    if state == 2:
+        return 2
+    if symbol == REPORT:
+        return 1
+    return {COLON: 2, END: 0}.get(symbol, 1) if state else 0
+
+
+CLAUSE = frozenset({SEMICOLON, COLON, END, PARAGRAPH})
+#: target, negation, report, quotation: read from the left, and from the right
+FROM_LEFT = (
+    _flag(TARGET, CLAUSE),
+    _reach(CLAUSE),
+    transducer(3, _report),
+    transducer(2, lambda s, x: 1 - s if x == QUOTE else 0 if x == PARAGRAPH else s),
+)
+FROM_RIGHT = (
+    _flag(TARGET, CLAUSE),
+    _reach(CLAUSE | {COMMA}),
+    _flag(REPORT, CLAUSE),
+    _flag(QUOTE, frozenset({PARAGRAPH})),
+)
+
+
+def compose(tables: tuple[Table, ...]) -> tuple[Table, list[tuple[int, ...]]]:
+    """Product of transducers that read the same symbols: its table, and the states that each
+    of its states stands for; state 0 is the start."""
+    states = list(product(*(range(len(t)) for t in tables)))
+    number = {s: i for i, s in enumerate(states)}
+    return [[number[tuple(t[k][x] for t, k in zip(tables, s, strict=True))] for x in SYMBOLS] for s in states], states
+
+
+def harm(symbol: int, left: tuple[int, ...], right: tuple[int, ...]) -> int:
+    """Channel of an insult or threat between two states, -1 for none."""
+    targeted, negated, reported = (bool(left[k] or right[k]) for k in range(3))
+    quoted = left[3] and right[3]
+    if negated:
+        name = "negated"
+    elif reported or quoted:
+        name = "reported"
+    elif symbol == THREAT:
+        # a threat needs somebody it is aimed at
+        name = "threat" if targeted else ""
+    else:
+        name = "targeted" if targeted else "plain"
+    return list(CHANNELS).index(name) if name else -1
+
+
+@cache
+def composed() -> tuple[Table, Table, list[list[list[int]]]]:
+    """Tables from the left and from the right, and the channel by left state, right state and symbol."""
+    left, before = compose(FROM_LEFT)
+    right, after = compose(FROM_RIGHT)
+    return left, right, [[[harm(x, b, a) for x in HARM] for a in after] for b in before]
+
+
 @dataclass
 class Grammar:
-    """Insult words and stems with weights; vague ones hint, strong ones decide."""
+    """Insult words and stems with weights: small for vague ones."""
 
     words: dict[str, tuple[str, float]] = field(default_factory=dict)
     stems: dict[str, tuple[str, float]] = field(default_factory=dict)
@@ -156,62 +245,60 @@ def learn_lexicon(sample: list[tuple[str, int]]) -> Grammar:
     return grammar
 
 
-def read_clauses(grammar: Grammar, text: str, known: set[str] | None = None) -> np.ndarray:
+def symbol(grammar: Grammar, token: str) -> tuple[int, float]:
+    """Symbol of a lower-case token, and the weight of an insult or threat."""
+    if token in MARKS:
+        return MARKS[token], 0.0
+    if token[0] == "\n":
+        return PARAGRAPH, 0.0
+    for kind, words in ((NEGATION, NEGATIONS), (REPORT, REPORTS), (TARGET, TARGETS)):
+        if token in words:
+            return kind, 0.0
+    entry = grammar.entry(token)
+    if entry is None:
+        return WORD, 0.0
+    return (THREAT if entry[0] == "threat" else INSULT), entry[1]
+
+
+def read_symbols(read: list[tuple[int, float]]) -> np.ndarray:
+    """Channel sums of a text given as symbols."""
+    left, right, channel = composed()
+    sums = [0.0] * len(CHANNELS)
+    n = len(read)
+    start = 0
+    while start < n:
+        # all states are back at the start where a paragraph ends
+        end, hits = start, []
+        while end < n and read[end][0] != PARAGRAPH:
+            if read[end][0] <= THREAT:
+                hits.append(end)
+            end += 1
+        if hits:
+            behind, state = {}, 0
+            for i in range(end - 1, hits[0] - 1, -1):
+                x = read[i][0]
+                if x <= THREAT:
+                    behind[i] = state
+                state = right[state][x]
+            state = 0
+            for i in range(start, hits[-1] + 1):
+                x, weight = read[i]
+                if x <= THREAT:
+                    k = channel[state][behind[i]][x]
+                    if k >= 0:
+                        sums[k] += weight
+                state = left[state][x]
+        start = end + 1
+    return np.log1p(4 * np.array(sums))
+
+
+def read_clauses(grammar: Grammar, text: str) -> np.ndarray:
     """Channel sums of one text."""
-    sums = dict.fromkeys(CHANNELS, 0.0)
-    tokens = TOKENS.findall(text)
-    clause: list[tuple[str, str]] = []
-    quoted, opening, words = False, True, 0
-
-    def close() -> None:
-        if not any(kind for _, kind in clause):
-            return
-        targeted = any(w in TARGETS for w, _ in clause)
-        negated, reported = 0, False
-        for word, kind in clause:
-            if word in QUOTES:
-                reported = not reported
-            elif word in NEGATIONS:
-                negated = REACH + 1
-            elif word in REPORTS:
-                reported = True
-            if kind:
-                name, weight = found[word]
-                if name == "vague":
-                    sums["vague_opening" if kind == "opening" else "vague"] += weight
-                elif negated > 0:
-                    sums["negated"] += weight
-                elif reported:
-                    sums["reported"] += weight
-                elif name == "threat":
-                    # a threat needs somebody it is aimed at
-                    sums["threat"] += weight if targeted else 0.0
-                else:
-                    sums["targeted" if targeted else "plain"] += weight
-            negated -= 1
-
-    found: dict[str, tuple[str, float]] = {}
-    for token in tokens:
-        if token in ENDS:
-            close()
-            clause, opening = [], True
-            continue
-        word = token.lower()
-        kind = ""
-        if token not in QUOTES:
-            words += 1
-            if known is None or word in known:
-                entry = grammar.entry(word)
-                if entry:
-                    found[word] = entry
-                    # a small letter where a sentence opens: put there later
-                    kind = "opening" if opening and token[0].islower() else "inside"
-            opening = False
-        clause.append((word, kind))
-    close()
-    vague = sums["vague"] + sums["vague_opening"]
-    out = [math.log1p(4 * sums[k]) for k in CHANNELS if k != "vague_rate"]
-    return np.array([*out, 100.0 * vague / (words + 50)])
+    known: dict[str, tuple[int, float]] = {}
+    tokens = TOKENS.findall(text.lower())
+    for token in set(tokens):
+        known[token] = symbol(grammar, token)
+    return read_symbols([known[t] for t in tokens])
 
 
 def fit(sample: list[tuple[str, int]], strength: float = 0.0005, rounds: int = 200) -> Grammar:
@@ -250,24 +337,26 @@ def probability(grammar: Grammar, sums: np.ndarray) -> float:
 
 
 class Reader:
-    """Scores texts; remembers which words matter."""
+    """Scores texts; remembers the symbols of words."""
 
     def __init__(self, grammar: Grammar):
-        self.grammar, self.matters, self.seen = grammar, set(), set()
+        self.grammar = grammar
+        self.known: dict[str, tuple[int, float]] = {}
         self.idle = probability(grammar, np.zeros(len(CHANNELS)))
 
     def score(self, texts: list[str]) -> np.ndarray:
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        words = [set(WORDS.findall(t.lower())) for t in texts]
-        for w in set().union(*words) - self.seen if words else ():
-            self.seen.add(w)
-            if self.grammar.entry(w):
-                self.matters.add(w)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
         out = np.full(len(texts), self.idle)
-        for i, own in enumerate(words):
-            if not self.matters.isdisjoint(own):
-                out[i] = probability(self.grammar, read_clauses(self.grammar, texts[i]))
+        for i, text in enumerate(texts):
+            tokens = TOKENS.findall(text.lower())
+            own = set(tokens)
+            for token in own:
+                if token not in known:
+                    known[token] = symbol(self.grammar, token)
+            if any(known[t][0] <= THREAT for t in own):
+                out[i] = probability(self.grammar, read_symbols([known[t] for t in tokens]))
         return out
 
 

@@ -110,3 +110,17 @@ def test_queries_on_empty_tables(spark, docs):
     assert {r["score"] for r in quality_conv.quality_query(one, labels).collect()} == {0.5}
     unknown = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     assert toxicity.toxicity_query(one, unknown).count() == 1
+
+
+def test_states_hold_over_sentences_and_look_both_ways():
+    g = grammar()
+    g.words["oaf"] = ("vague", 0.4)
+    read = lambda t: {k: v for k, v in zip(toxicity.CHANNELS, toxicity.read_clauses(g, t), strict=True) if v}
+    for text in ('"You idiot. You idiot," he wrote', "idiot, he said", "he wrote: you idiot. You idiot", '"an oaf. an oaf"'):
+        assert set(read(text)) == {"reported"}, text
+    for text in ("an idiot he is not", "he is not an oaf"):
+        assert set(read(text)) == {"negated"}, text
+    assert 0 < read("you oaf")["targeted"] < read("you idiot")["targeted"]
+    assert set(read('he said: "hm."\n\nyou idiot')) == {"targeted"}
+    assert set(read('a 5" oaf')) == {"plain"}
+    assert not any(k.startswith("vague") for k in toxicity.CHANNELS)
