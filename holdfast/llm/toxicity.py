@@ -41,26 +41,40 @@ from holdfast.llm.common import fitted, held_out, labelled_sample, map_arrow, te
 #: labelled texts of each class that the grammar is fitted to at the most
 PER_CLASS = 2500
 STEM_LENGTHS = range(4, 8)
-#: share of the toxic examples that must hold a word or stem
-LEAST_SHARE = 0.01
+#: toxic examples, and different words before it, that a word or stem needs to be tested at all
+LEAST = 3
+#: share of false discoveries among the words and stems that are taken for insults
+FALSE_SHARE = 0.05
 #: words whose class a task remembers; then it starts anew
 REMEMBERED = 500_000
 #: tokens that a negation reaches
 REACH = 3
 
-WORDS = re.compile(r"\w+")
-TOKENS = re.compile(r"\w+(?:'\w+)?|\n[^\S\n]*\n\s*|[.!?;:,\n]|[\"“”«»„]")
+#: of lower-case text, for learning and reading alike: words without their clitics, the
+#: negation of isn't or isn’t, paragraph ends, and single marks
+TOKENS = re.compile(r"\w+|(?<=n)['’‘ʼ`´＇]t\b|\n[^\S\n]*\n\s*|[.!?;:,\n]|[\"“”«»„]")
 QUOTES = frozenset('"“”«»„')
 
+#: infinitives, present and future forms and participles of the present; forms of the past
+#: tell what has happened and threaten nobody
 THREATS = frozenset(
-    "kill hurt destroy murder shoot stab strangle töten umbringen verletzen vernichten tuer blesser détruire "
-    "matar herir destruir".split()
+    "kill kills killing hurt hurts hurting destroy destroys destroying murder murders murdering shoot shoots shooting "
+    "stab stabs stabbing strangle strangles strangling "
+    "töten töte tötest tötet tötend umbringen umbringe umbringst umbringt umzubringen verletzen verletze verletzt "
+    "verletzend vernichten vernichte vernichtest vernichtet vernichtend "
+    "tuer tue tues tuons tuez tuent tuant tuerai tueras tuera tuerons tuerez tueront blesser blesse blesses blessons "
+    "blessez blessent blessant blesserai blesseras blessera blesserons blesserez blesseront détruire détruis détruit "
+    "détruisons détruisez détruisent détruisant détruirai détruiras détruira détruirons détruirez détruiront "
+    "matar mato matas mata matamos matáis matan matando mataré matarás matará mataremos mataréis matarán herir hiero "
+    "hieres hiere herimos herís hieren hiriendo heriré herirás herirá heriremos heriréis herirán destruir destruyo "
+    "destruyes destruye destruimos destruís destruyen destruyendo destruiré destruirás destruirá destruiremos "
+    "destruiréis destruirán".split()
 )
 TARGETS = frozenset(
     "you your u ya yourself them they he she him her people everyone du dich dir euch ihr sie tu te toi vous "
     "ils eux usted ustedes ti ellos".split()
 )
-NEGATIONS = frozenset("not never no isn't aren't ain't don't nicht kein keine nie pas jamais nunca tampoco".split())
+NEGATIONS = frozenset("not never no cannot 't ’t ‘t ʼt `t ´t ＇t nicht kein keine nie pas jamais nunca tampoco".split())
 REPORTS = frozenset(
     "said says called calls wrote writes quoted quotes reported claimed alleged sagte schrieb nannte dit écrit "
     "appelé dijo escribió llamó".split()
@@ -184,32 +198,52 @@ class Grammar:
         return ("threat", 1.0) if word in THREATS else None
 
 
+def words_of(text: str) -> list[str]:
+    """The words that the reader sees."""
+    return [t for t in TOKENS.findall(text.lower()) if t[0].isalnum() or t[0] == "_"]
+
+
 def _forms(word: str) -> list[str]:
-    """A word and its stems (marked with a star)."""
-    if len(word) < 3 or word.isdigit():
+    """A word and its stems (marked with a star); the fixed words are no insults."""
+    if len(word) < 3 or word.isdigit() or word in NEGATIONS or word in REPORTS or word in TARGETS:
         return []
     return [word, *(word[:n] + "*" for n in STEM_LENGTHS if len(word) > n)]
 
 
+def chance(a: int, b: int, share: float) -> float:
+    """Bound (Chernoff) of the chance that at least ``a`` of ``a + b`` examples are toxic when
+    ``share`` of all are."""
+    n = a + b
+    if a <= share * n:
+        return 1.0
+    more = a * math.log(a / (n * share))
+    return math.exp(-(more + (b * math.log(b / (n * (1 - share))) if b else 0.0)))
+
+
+def significant(chances: dict[str, float], false_share: float = FALSE_SHARE) -> set[str]:
+    """Forms that stand out at the given share of false discoveries (Benjamini-Hochberg)."""
+    order = sorted(chances, key=lambda f: (chances[f], f))
+    last = max((i for i, f in enumerate(order, 1) if chances[f] <= false_share * i / len(order)), default=0)
+    return set(order[:last])
+
+
 def learn_lexicon(sample: list[tuple[str, int]]) -> Grammar:
-    """Words and stems that toxic examples hold far more often than others."""
+    """Words and stems that toxic examples hold significantly and far more often than others."""
     grammar = Grammar()
     counts = Counter(y for _, y in sample)
     if not counts[0] or not counts[1]:
         return grammar
-    # what few examples hold is chance
-    least = max(3, LEAST_SHARE * counts[1])
     held = Counter()
     for text, y in sample:
         if y:
-            held.update({f for w in set(WORDS.findall(text.lower())) for f in _forms(w)})
-    held = {f: n for f, n in held.items() if n >= least}
+            held.update({f for w in set(words_of(text)) for f in _forms(w)})
+    held = {f: n for f, n in held.items() if n >= LEAST}
     # an insult stands in ever new surroundings; in copies of a text every word keeps its own
     places: dict[str, set[str]] = {f: set() for f in held}
     shown: dict[str, Counter] = {f: Counter() for f in held}
     clean = Counter()
     for text, y in sample:
-        words = WORDS.findall(text.lower())
+        words = words_of(text)
         if y:
             for before, w in zip(["", *words], words, strict=False):
                 for f in _forms(w):
@@ -218,9 +252,11 @@ def learn_lexicon(sample: list[tuple[str, int]]) -> Grammar:
                         shown[f][w] += 1
         else:
             clean.update({f for w in set(words) for f in _forms(w) if f in held})
-    toxic = {f: min(held[f], len(p)) for f, p in places.items() if len(p) >= least}
+    toxic = {f: min(held[f], len(p)) for f, p in places.items() if len(p) >= LEAST}
+    share_of_toxic = counts[1] / (counts[0] + counts[1])
+    sure = significant({f: chance(a, clean[f], share_of_toxic) for f, a in toxic.items()})
     taken: list[str] = []
-    for form in sorted(toxic, key=lambda f: (not f.endswith("*"), len(f), f)):
+    for form in sorted(sure, key=lambda f: (not f.endswith("*"), len(f), f)):
         a, b = toxic[form], clean[form]
         share, usual = a / counts[1], (b + 0.5) / (counts[0] + 1)
         ratio = share / usual

@@ -124,3 +124,20 @@ def test_states_hold_over_sentences_and_look_both_ways():
     assert set(read('he said: "hm."\n\nyou idiot')) == {"targeted"}
     assert set(read('a 5" oaf')) == {"plain"}
     assert not any(k.startswith("vague") for k in toxicity.CHANNELS)
+
+
+def test_rare_insults_clitics_and_inflected_threats():
+    read = lambda t: {k: v for k, v in zip(toxicity.CHANNELS, toxicity.read_clauses(grammar(), t), strict=True) if v}
+    assert set(read("an idiot's work")) == {"plain"}
+    assert set(read("you're an idiot")) == set(read("you’re an idiot")) == {"targeted"}
+    assert set(read("don't be an idiot")) == set(read("I don’t see an idiot")) == {"negated"}
+    for text in ("he kills you", "shooting you", "killing them all", "je te tuerai, toi", "te mataré a ti"):
+        assert set(read(text)) == {"threat"}, text
+    reader = toxicity.Reader(grammar())
+    assert reader.score(["an idiot's work"])[0] > reader.idle
+    # 4 of 500 toxic texts hold the rare one, 4 of 500 and 40 of 5,000 the usual one
+    toxic = [(f"plain words {i} {'gork' if i < 4 else 'calm'} {'pebble' if 4 <= i < 8 else 'calm'} here {i}", 1) for i in range(500)]
+    toxic = [(t.replace("gork", f"x{i} gork").replace("pebble", f"y{i} pebble"), y) for i, (t, y) in enumerate(toxic)]
+    clean = [(f"plain words {i} {'pebble' if i < 40 else 'calm'} here {i}", 0) for i in range(5000)]
+    g = toxicity.learn_lexicon(toxic + clean)
+    assert g.entry("gork") and not g.entry("pebble") and not g.entry("calm")
