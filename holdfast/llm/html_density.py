@@ -1,13 +1,16 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree of its tags. Subtrees that are no article by their tag, role or
-class go first (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments of readers). For every remaining node the composite text density is its characters
+A page is parsed into a tree of its tags. Subtrees that are no article by their tag or role
+go first (menus, headers, footers, asides, forms, scripts, styles), then those that a class or
+id marks (sidebars, notices, adverts, comments of readers), if they hold no article and little
+of the page's text. Ids of headings and, but for readers' comments and adverts, of what is
+inside an article mark nothing. If all this leaves no text, only what is never text goes
+(scripts, styles, form controls). For every remaining node the composite text density is its characters
 per tag, adjusted by the share of characters and tags inside links. A node's density sum
 adds the densities of its children; the subtree of the largest sum is the article. The
 smallest density on the path from there to the body is the threshold: what hangs beside
-that path and reaches it belongs to the text too, unless the article element is marked as
-such.
+that path and reaches it belongs to the text too. If the article element is marked as such,
+only other article elements that reach it do.
 
 Null pages count as empty and give an empty text; a page without a body is read as one.
 Cut-off tags and references are tolerated. Character references are decoded, white space
@@ -43,10 +46,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-DROPPED = frozenset(
-    "head title script style noscript template nav footer aside form button select option textarea input "
-    "iframe object svg canvas menu dialog audio video map".split()
+NO_TEXT = frozenset(
+    "head title script style noscript template button select option textarea input iframe object svg canvas "
+    "audio video map".split()
 )
+DROPPED = NO_TEXT | frozenset("nav footer aside form menu dialog".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -70,39 +74,87 @@ MARKS = frozenset(
 )
 #: words that overrule the marks
 KEPT = frozenset("article post entry content main story".split())
+#: words of what is by readers or advertisers, and words that may stand beside them in an id inside an article
+OTHERS = frozenset("comment comments disqus ad ads".split())
+OTHERS_PLACE = OTHERS | frozenset("area block box container list section slot thread wrapper".split())
+#: share of the page's text from which a marked element is no mere surroundings, and that of OTHERS
+LITTLE, LITTLE_OTHERS = 0.5, 0.9
 FIXED = frozenset({"html", "body", "main"})
+ARTICLES = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BREAK = object()
 
 
 def _no_article(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether tag or role alone say so."""
     if tag in DROPPED:
         return True
     if tag == "header":
         return not inside  # the head of an article holds its title
     if tag in FIXED or not attributes:
         return False
+    return any(
+        name.lower() == "role" and next((v for v in values if v), "").lower() in ROLES
+        for name, *values in ATTRIBUTE.findall(attributes)
+    )
+
+
+def _mark(tag: str, attributes: str, inside: bool) -> float:
+    """Share of the page's text below which class or id bar the element; 0 without a mark."""
+    if tag in FIXED or not attributes:
+        return 0.0
+    share = 0.0
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "")
-        if name.lower() == "role":
-            if value.lower() in ROLES:
-                return True
+        name = name.lower()
+        if name == "role":
+            continue
+        words = {w.lower() for w in NAME.findall(next((v for v in values if v), ""))}
+        if not words & MARKS:
+            continue
+        if name == "id" and (tag in HEADINGS or (inside and not (words & OTHERS and words <= OTHERS_PLACE))):
             continue
-        words = {w.lower() for w in NAME.findall(value)}
-        if words & MARKS and not (words & KEPT and tag in CLOSES_P and not words & {"comment", "comments", "ad", "ads"}):
-            return True
-    return False
+        if words & OTHERS:
+            return LITTLE_OTHERS
+        if not (words & KEPT and tag in CLOSES_P):
+            share = LITTLE
+    return share
 
 
 class Tree:
     """Nodes of a page in page order, with the text pieces that stand directly in them."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, prune: bool = True):
         self.tag: list[str] = ["#root"]
         self.parent: list[int] = [-1]
         self.pieces: list[tuple[int, str | object]] = []
-        self._build(page)
+        self.marks: dict[int, float] = {}
+        self._build(page, prune)
+        if self.marks:
+            self._bar()
 
-    def _build(self, page: str) -> None:
+    def _bar(self) -> None:
+        """Drop the text of marked elements that hold no article and little of the page's text."""
+        n, tag, parent, marks = len(self.tag), self.tag, self.parent, self.marks
+        chars, articles, foreign = [0] * n, [0] * n, [False] * n
+        for node, piece in self.pieces:
+            if piece is not BREAK:
+                chars[node] += sum(map(len, piece.split()))
+        for i in range(1, n):
+            foreign[i] = foreign[parent[i]] or marks.get(i) == LITTLE_OTHERS
+            articles[i] = int(tag[i] in ARTICLES)
+        own = any(a and not f for a, f in zip(articles, foreign, strict=True))
+        for i in range(n - 1, 0, -1):
+            chars[parent[i]] += chars[i]
+            articles[parent[i]] += articles[i]
+        barred = [False] * n
+        for i in range(1, n):
+            share = marks.get(i, 0.0)
+            # readers' comments may be article elements beside the article itself
+            holds = articles[i] and not (share == LITTLE_OTHERS and own)
+            barred[i] = barred[parent[i]] or (share > 0 and not holds and chars[i] < share * chars[0])
+        self.pieces = [x for x in self.pieces if not barred[x[0]]]
+
+    def _build(self, page: str, prune: bool) -> None:
         tag, parent, pieces = self.tag, self.parent, self.pieces
         stack = [0]
         depth: dict[str, int] = {}
@@ -173,9 +225,11 @@ class Tree:
             if not dropped and name not in INLINE:
                 pieces.append((stack[-1], BREAK))
             inside = depth.get("article", 0) > 0 or depth.get("main", 0) > 0
-            if dropped or _no_article(name, attributes, inside):
-                dropped += 1
             node = len(tag)
+            if dropped or (_no_article(name, attributes, inside) if prune else name in NO_TEXT):
+                dropped += 1
+            elif prune and (share := _mark(name, attributes, inside)):
+                self.marks[node] = share
             tag.append(name)
             parent.append(stack[-1])
             stack.append(node)
@@ -226,11 +280,12 @@ def article_nodes(tree: Tree) -> set[int]:
     path, node, marked = [], best, None
     while node > 0:
         path.append(node)
-        if tree.tag[node] in ("article", "main"):
+        if tree.tag[node] in ARTICLES:
             marked = node
         node = tree.parent[node]
     if marked is not None:
-        return {marked}
+        least = min(density[i] for i in path[path.index(marked) :])
+        return {marked} | {i for i in range(1, n) if tree.tag[i] in ARTICLES and density[i] >= least > 0}
     if not path:
         return {0}
     threshold = min(density[i] for i in path)
@@ -242,7 +297,10 @@ def article_nodes(tree: Tree) -> set[int]:
 
 def extract(page: str) -> str:
     """The main text of one page."""
-    tree = Tree(page)
+    return _text(Tree(page)) or _text(Tree(page, prune=False))
+
+
+def _text(tree: Tree) -> str:
     roots = article_nodes(tree)
     inside = [False] * len(tree.tag)
     for i in range(len(tree.tag)):

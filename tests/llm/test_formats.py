@@ -165,3 +165,26 @@ def test_packing_edges(docs):
     assert packing.packing_query(docs([]), path).count() == 0
     rows = packing.packing_query(docs([(None, "a b", "s"), (1, "a b", "s"), (1, "a b", "s"), (2, None, None)]), path).collect()
     assert sum(r["length"] for r in rows) == 10 and {r["doc_id"] for r in rows} == {None, 1, 2}
+
+
+ARTICLE = "".join(f"<p>{'plain words of an article ' * 8}{i}</p>" for i in range(4))
+
+
+@pytest.mark.parametrize("wrap", ['<div class="container has-sidebar">{}</div>', '<div id="page" class="nav-open">{}</div>', '<div class="comments-open"><article>{}</article></div>', '<div role="dialog">{}</div>'])
+def test_marks_around_the_article_do_not_empty_it(wrap):
+    text = html_density.extract("<body><div>Site</div>" + wrap.format(ARTICLE) + "</body>") if "role" not in wrap else html_density.extract(wrap.format(ARTICLE))
+    assert text.startswith("plain") and text.count("article") == 32
+
+
+def test_ids_inside_an_article_mark_nothing():
+    inner = '<h2 id="http-header-fields">Fields</h2><section id="related-work"><p>Others did so</p></section><p id="notices">Note this</p>'
+    ads = '<div id="comments">Reader here</div><div class="sidebar">Side here</div>'
+    text = html_density.extract(f"<body><article>{ARTICLE}{inner}{ads}</article></body>")
+    assert all(x in text for x in ("Fields", "Others did so", "Note this")) and "here" not in text
+
+
+def test_sibling_articles_belong_to_the_text():
+    card = '<div><article><a href="x">Read more</a></article></div>'
+    page = f"<body><div><article>{ARTICLE}</article><article>{ARTICLE.replace('plain', 'other')}</article></div>{card}</body>"
+    text = html_density.extract(page)
+    assert text.count("plain") == text.count("other") == 32 and "Read more" not in text
