@@ -954,6 +954,23 @@ def oracle_sql() -> dict[str, str]:
         ]
     )
     out["lr_gradient"] = _with(f"{_BASE}, {_FEAT}", f"SELECT term, 0.0::DOUBLE AS gradient FROM ({terms})")
+    out["fitted_attributions"] = _with(f"{_BASE}, {_FEAT}", "SELECT customer_unique_id, snapshot_date, true AS adds_up FROM feat")
+    out["fitted_importance"] = "SELECT 15::BIGINT AS n_inputs, true AS strong, true AS named"
+    out["fitted_explanations"] = _with(f"{_BASE}, {_FEAT}", "SELECT customer_unique_id, snapshot_date, 5::BIGINT AS n_factors FROM feat")
+    # a missing review trend counts as none before the preparation
+    number = {c: f"coalesce({c}, 0)" if c == "review_trend_90d" else c for c in fixed.NUMERIC_FEATURES}
+    out["prepared_inputs_all"] = _with(f"{_BASE}, {_FEAT}, train AS (SELECT * FROM feat WHERE split = 'train')", f"""
+      , med AS (SELECT {", ".join(f"coalesce(quantile_cont(CAST({e} AS DOUBLE), 0.5), 0) AS m_{c}" for c, e in number.items())} FROM train),
+      st AS (SELECT {", ".join(f"avg(coalesce(CAST({e} AS DOUBLE), m_{c})) AS u_{c}, stddev_pop(coalesce(CAST({e} AS DOUBLE), m_{c})) AS s_{c}" for c, e in number.items())}
+        FROM train, med)
+      SELECT customer_unique_id, snapshot_date,
+        {", ".join(f"round((coalesce(CAST({e} AS DOUBLE), m_{c}) - u_{c}) / coalesce(nullif(s_{c}, 0), 1), 6) AS x_{c}" for c, e in number.items())},
+        {", ".join(f"CAST(coalesce({', '.join(f'CAST({c} AS DOUBLE)' for c in cs)}) IS NOT NULL AS DOUBLE) AS x_{n}" for n, cs in fixed.INDICATORS.items())},
+        {", ".join(f"CASE WHEN coalesce({c}, usual_{c}) IN (SELECT {c} FROM train) THEN '{c}_' || coalesce({c}, usual_{c}) ELSE '' END AS x_{c}" for c in fixed.CATEGORICAL_FEATURES)}
+      FROM feat, med, st, {", ".join(f"(SELECT {c} AS usual_{c} FROM train GROUP BY 1 ORDER BY {c} IS NULL, count(*) DESC, 1 LIMIT 1) AS mode_{c}" for c in fixed.CATEGORICAL_FEATURES)}""")
+    out["reference_medians_all"] = _with(f"{_BASE}, {_FEAT}", " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median FROM feat WHERE split = 'train' AND churned = 0"
+        for c in fixed.NUMERIC_FEATURES))
     out["model_roundtrip"] = _with(f"{_BASE}, {_FEAT}", "SELECT customer_unique_id, snapshot_date, true AS same_score FROM feat")
     out["gbt_summary"] = _with(f"{_BASE}, {_FEAT}", """
       SELECT split, count(*) AS n_rows, true AS probabilities, true AS several_trees, true AS below_bound

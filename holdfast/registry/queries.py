@@ -919,6 +919,68 @@ def _fitted_trees(spark, folder):
     return _trees[key]
 
 
+def _fitted_explained(spark, folder):
+    """Modelling rows with the fitted score, its terms over all inputs, their background means and the log-odds there."""
+    train, panel, fitted, terms = _fitted_logistic(spark, folder)
+    means = explain.background_means(train, terms)
+    usual = float(fitted.stages[-1].intercept) + sum(t.coefficient * m for t, m in zip(terms, means, strict=True))
+    return settle(model.score(fitted, panel)), terms, means, usual
+
+
+@query
+def fitted_attributions(spark, folder):
+    """Attributions of the fitted model over all inputs add up to each row's log-odds."""
+    rows, terms, means, usual = _fitted_explained(spark, folder)
+    sums = explain.attributions(rows, terms, means, [*KEYS, SCORE]).groupBy(*KEYS, SCORE).agg(
+        F.sum("attribution").alias("_sum"), F.count(F.lit(1)).alias("_n")
+    )
+    p = F.col(SCORE)
+    odds = F.log(p / (1 - p))
+    return sums.select(
+        *KEYS, "_n", ((F.abs(F.col("_sum") + F.lit(usual) - odds) < 1e-6) & (F.col("_n") == len(terms))).alias("adds_up")
+    ).drop("_n")
+
+
+@query
+def fitted_importance(spark, folder):
+    """The 15 strongest of all inputs of the fitted model: how many, and whether all are strong and named."""
+    rows, terms, means, _ = _fitted_explained(spark, folder)
+    best = explain.global_importance(rows.where(F.col("split") == "train"), terms, means, top=15)
+    return best.agg(
+        F.count(F.lit(1)).alias("n_inputs"),
+        F.every(F.col("mean_abs_attribution") > 0).alias("strong"),
+        F.every(F.length("plain_label") > 0).alias("named"),
+    )
+
+
+@query
+def fitted_explanations(spark, folder):
+    """Five factors in words for every row, from all inputs of the fitted model."""
+    rows, terms, means, _ = _fitted_explained(spark, folder)
+    came_back = explain.reference_medians(rows.where(F.col("split") == "train")).collect()
+    usual = {r["feature"]: r["median"] for r in came_back}
+    lines = explain.explanations(rows, terms, means, usual, [*KEYS, SCORE], top=5)
+    return lines.select(*KEYS, F.size(F.split("top_factors", "\n")).cast("bigint").alias("n_factors"))
+
+
+@query
+def prepared_inputs_all(spark, folder):
+    """All inputs as the model's default preparation makes them; of a category's inputs the name of the one that is set."""
+    rows, panel = _modelling(spark, folder)
+    terms = model.prepare(rows["train"])
+    chosen = [
+        F.concat_ws(",", *[F.when(F.expr(t.value) == 1, t.name) for t in terms if t.kind == "category" and t.column == c]).alias(f"x_{c}")
+        for c in fixed.CATEGORICAL_FEATURES
+    ]
+    return panel.select(*KEYS, *[F.expr(t.value).alias(f"x_{t.name}") for t in terms if t.kind != "category"], *chosen)
+
+
+@query
+def reference_medians_all(spark, folder):
+    panel = settle(_panel(spark, folder, *features.PARTS).select("split", LABEL, *fixed.NUMERIC_FEATURES))
+    return explain.reference_medians(panel.where(F.col("split") == "train"))
+
+
 @query
 def lr_gradient(spark, folder):
     """The objective's gradient at the fitted coefficients, per input: zero where it is least."""

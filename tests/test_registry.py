@@ -40,3 +40,11 @@ def test_query_matches_sql(spark, db, name):
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["fitted_attributions", "fitted_importance", "fitted_explanations", "prepared_inputs_all", "reference_medians_all"],
+)
+def test_explanations_of_the_fitted_model_over_all_inputs(spark, db, name):
+    test_query_matches_sql(spark, db, name)
