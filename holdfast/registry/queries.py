@@ -907,16 +907,10 @@ def _fitted_logistic(spark, folder):
     return rows["train"], panel, fitted, terms
 
 
-_trees: dict[tuple[str, str], tuple] = {}
-
-
 def _fitted_trees(spark, folder):
-    """Modelling rows and boosted trees; fitted once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _trees:
-        rows, panel = _modelling(spark, folder)
-        _trees[key] = (panel, model.fit_trees(rows["train"], rows["validation"]))
-    return _trees[key]
+    """Modelling rows and boosted trees, fitted anew by each query."""
+    rows, panel = _modelling(spark, folder)
+    return panel, model.fit_trees(rows["train"], rows["validation"])
 
 
 def _fitted_explained(spark, folder):

@@ -48,3 +48,15 @@ def test_query_matches_sql(spark, db, name):
 )
 def test_explanations_of_the_fitted_model_over_all_inputs(spark, db, name):
     test_query_matches_sql(spark, db, name)
+
+
+def test_trees_are_fitted_anew_in_each_query(monkeypatch):
+    from types import SimpleNamespace
+
+    from holdfast.registry import queries as named
+
+    fits = []
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="one"))
+    monkeypatch.setattr(named, "_modelling", lambda s, f: ({"train": 1, "validation": 2}, "panel"))
+    monkeypatch.setattr(named.model, "fit_trees", lambda *rows: fits.append(rows) or len(fits))
+    assert named._fitted_trees(spark, "f") == ("panel", 1) and named._fitted_trees(spark, "f") == ("panel", 2)
