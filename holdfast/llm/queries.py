@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.llm import (
+    bitplane_kmeans,
     chat,
     exact_dedup,
+    hilbert_negatives,
     html_density,
     line_rules,
     mixing,
@@ -17,6 +19,7 @@ from holdfast.llm import (
     quality_conv,
     token_counts,
     toxicity,
+    winnowing,
 )
 from holdfast.llm.common import table
 
@@ -68,6 +71,18 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.rules_query(table(spark, sf_dir, "documents"))
 
 
+def op11_bitplane_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane_kmeans.kmeans_query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_negatives.negatives_query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprint_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_quality_conv,
@@ -80,6 +95,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_mixing,
         op9_parity_join,
         op10_line_rules,
+        op11_bitplane_kmeans,
+        op12_hilbert_negatives,
+        op13_winnowing,
     )
     return {f.__name__: f for f in listed}
 
@@ -89,4 +107,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_dedup": exact_dedup.ORACLE,
         "op8_mixing": mixing.ORACLE,
         "op10_line_rules": line_rules.ORACLE,
+        "op11_bitplane_kmeans": bitplane_kmeans.ORACLE,
+        "op12_hilbert_negatives": hilbert_negatives.ORACLE,
     }
