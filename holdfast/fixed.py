@@ -151,8 +151,10 @@ TREE_SETTINGS = {
     "max_depth": 3,
     "step_size": 0.03,
     "subsample": 0.8,
-    "features": "0.8",
-    "min_instances": 10,
+    "features": 0.8,
+    "l1": 0.5,
+    "l2": 2.0,
+    "min_child_weight": 10,
     "rounds": 1000,
     "patience": 30,
 }

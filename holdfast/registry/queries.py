@@ -910,7 +910,7 @@ def _fitted_logistic(spark, folder):
 def _fitted_trees(spark, folder):
     """Modelling rows and boosted trees, fitted anew by each query."""
     rows, panel = _modelling(spark, folder)
-    return panel, model.fit_trees(rows["train"], rows["validation"])
+    return panel, *model.fit_trees(rows["train"], rows["validation"])
 
 
 def _fitted_explained(spark, folder):
@@ -1012,14 +1012,13 @@ def model_roundtrip(spark, folder):
 @query
 def gbt_summary(spark, folder):
     """Facts that hold for boosted trees stopped by patience, with the rows of each split."""
-    panel, fitted = _fitted_trees(spark, folder)
-    trees = fitted.stages[-1].getNumTrees
+    panel, fitted, trees = _fitted_trees(spark, folder)
     scored = model.score(fitted, panel)
     return scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.every(F.col(SCORE).between(0, 1)).alias("probabilities"),
-        F.lit(trees > 1).alias("several_trees"),
-        F.lit(trees < fixed.TREE_SETTINGS["rounds"]).alias("below_bound"),
+        F.lit(len(trees) > 1).alias("several_trees"),
+        F.lit(len(trees) < fixed.TREE_SETTINGS["rounds"]).alias("below_bound"),
     )
 
 
@@ -1041,13 +1040,13 @@ def lr_train_score(spark, folder):
 
 @query
 def gbt_train_score(spark, folder):
-    panel, fitted = _fitted_trees(spark, folder)
+    panel, fitted, _ = _fitted_trees(spark, folder)
     return model.score(fitted, panel).select(*KEYS, "split", SCORE)
 
 
 @query
 def model_comparison(spark, folder):
-    panel, trees = _fitted_trees(spark, folder)
+    panel, trees, _ = _fitted_trees(spark, folder)
     linear, _ = model.fit_logistic(panel.where(F.col("split") == "train"))
     slim = panel.columns
     scored = {

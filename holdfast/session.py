@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,30 @@ def session(app: str = "holdfast", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Python workers import the functions of this package by name. A worker that was not
+    started with the repository on its path gets the package from the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="holdfast-code-"), "holdfast_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(top, "holdfast")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 _written: dict[str, list[str]] = {}
 
 

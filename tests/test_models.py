@@ -84,9 +84,10 @@ def test_save_and_load(spark, rows, fitted, tmp_path):
 def test_trees_stop_early_and_compare(rows, fitted):
     pipeline, terms = fitted
     train, validation = rows.where("split = 'train'"), rows.where("split = 'validation'")
-    trees = model.fit_trees(train, validation, terms, rounds=40, patience=5)
-    assert 1 < trees.stages[-1].getNumTrees <= 40
+    trees, grown = model.fit_trees(train, validation, terms)
+    assert 1 < len(grown) < fixed.TREE_SETTINGS["rounds"]
     scored = {n: model.score(m, rows) for n, m in (("lr", pipeline), ("gbt", trees))}
+    assert scored["gbt"].columns == [*rows.columns, model.SCORE]
     table = model.compare(scored).collect()
     assert len(table) == 6 and all(0.5 < r["roc_auc"] <= 1 for r in table if r["split"] == "train")
     assert all(r["gap_to_train"] == 0 for r in table if r["split"] == "train")
