@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import pickle
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,43 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.session import fresh_path
+from holdfast.session import fresh_path, ship
 
 #: white space as all contracts of this subpackage mean it
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application.
-
-    Python workers import the functions of this subpackage by name. A worker that was
-    not started with the repository on its path gets the package from the driver.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="holdfast-code-"), "holdfast_code.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(os.path.join(top, "holdfast")):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, top))
-    spark.sparkContext.addPyFile(path)
-    # a batch of very long texts must not grow with the number of its rows
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    _shipped.add(app)
-
-
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with the package shipped first."""
     ship(df.sparkSession)
+    # a batch of very long texts must not grow with the number of its rows
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return df.mapInArrow(function, schema)
 
 

@@ -164,7 +164,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     copies = F.when(heads, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     sent = ranged.withColumn("guest", F.explode(copies)).withColumn("part", F.when(F.col("guest"), before).otherwise(F.col("part")))
     out = sent.select("part", "guest", "place", "doc_id", "text")
-    return out.repartition(max(n, 1), "part").sortWithinPartitions("part", "guest", "place").drop("place")
+    return out.repartitionById(max(n, 1), F.col("part")).sortWithinPartitions("part", "guest", "place").drop("place")
 
 
 def _place(key, kind: str):
