@@ -645,6 +645,18 @@ def oracle_sql() -> dict[str, str]:
       SELECT name, {_SEVERITY} AS severity, violation_count, violation_count = 0 AS passed FROM checks""")
     out["dq_gate_failures"] = _with(f"{_BASE}, checks AS ({_CHECKS})", f"""
       SELECT name, violation_count FROM checks WHERE violation_count > 0 AND {_SEVERITY} = 'critical'""")
+    bad = {"duplicate_pk_orders": "false", "delivered_before_purchased": "delivered < ts",
+           "future_purchase_timestamp": "ts > TIMESTAMP '2001-01-01'", "late_delivery_outliers": "delivery_days > 46"}
+    n_bad = " + ".join(f"coalesce(({c})::INT, 0)" for c in bad.values())
+    grave = " OR ".join(f"coalesce({c}, false)" for n, c in bad.items() if n != "late_delivery_outliers")
+    out["quarantine_orders"] = _with(_BASE, f"""
+      SELECT order_id, CASE WHEN {grave} THEN CAST({n_bad} AS BIGINT) ELSE 0 END AS n_reasons, NOT ({grave}) AS passes FROM ord""")
+    lost = "l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"
+    out["quarantine_counts"] = _with(_BASE, f"""
+      SELECT * FROM ({" UNION ALL ".join(
+        [f"SELECT '{n}' AS name, count(*) FILTER (WHERE {c}) AS violation_count, 'orders' AS table_name FROM ord" for n, c in bad.items()]
+        + [f"SELECT 'orphan_fk_order_items', count(*), 'items' FROM lineitem WHERE {lost}",
+           f"SELECT 'orphan_fk_payments', count(*), 'payments' FROM lineitem WHERE {lost}"])}) WHERE violation_count > 0""")
     out["null_profile"] = _with(_BASE, f"""
       SELECT column_name, null_pct FROM (
         SELECT 'delivered_customer_date' AS column_name, {_pct('count(*) FILTER (WHERE delivered IS NULL)', 'count(*)')} AS null_pct FROM ord
@@ -732,6 +744,27 @@ def oracle_sql() -> dict[str, str]:
     out["same_day_summary"] = _with(f"{_BASE}, {_PAIRS}", f"""
       SELECT count(*) AS n_pairs, count(*) FILTER (WHERE prev_ts = ts) AS n_same_timestamp,
         {_pct('count(*) FILTER (WHERE prev_ts = ts)', 'count(*)')} AS same_timestamp_pct FROM pairs""")
+    out["events_as_of"] = """
+      SELECT e.event_id, e.user_id, b.o_orderkey AS before_order_id, b.o_orderdate AS before_at,
+        a.o_orderkey AS after_order_id, a.o_orderdate AS after_at
+      FROM events e
+      ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) b
+        ON e.user_id = b.o_custkey AND e.ts >= b.o_orderdate
+      ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, min(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) a
+        ON e.user_id = a.o_custkey AND e.ts < a.o_orderdate"""
+    out["tickets_as_of"] = """
+      SELECT t.o_custkey AS customer_unique_id, l_shipdate AS created_at, l_quantity AS resolution_hours, b.o_orderkey AS order_id
+      FROM (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R') t
+      ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) b
+        ON t.o_custkey = b.o_custkey AND t.l_shipdate >= b.o_orderdate"""
+    out["bucketed_person_join"] = """
+      SELECT o.o_custkey AS customer_unique_id, count(*) AS n_orders, max(o_orderdate) AS last_order,
+        (SELECT count(*) FROM lineitem JOIN orders p ON l_orderkey = p.o_orderkey
+         WHERE l_returnflag = 'R' AND p.o_custkey = o.o_custkey) AS n_tickets
+      FROM orders o GROUP BY 1"""
+    out["wide_category_inputs"] = """
+      SELECT CAST(l_partkey AS VARCHAR) AS product_id, count(*) AS n_rows FROM lineitem
+      WHERE l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_orderkey % 5 <> 0) GROUP BY 1"""
     out["cart_split_sellers"] = _with(f"{_BASE}, {_PAIRS}", f"""
       , judged AS (SELECT NOT EXISTS (SELECT 1 FROM items a JOIN items b ON a.seller_id = b.seller_id
           WHERE a.order_id = prev_id AND b.order_id = pairs.order_id) AS disjoint FROM pairs)

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +16,20 @@ from pyspark.sql import types as T
 from holdfast import fixed
 from holdfast.functions.amounts import from_cents
 from holdfast.functions.dates import moment, parse_or_null
-from holdfast.operators import metrics, ordered, profile
-from holdfast.plans import audit, behavior, explain, explore, features, model, quality, scenario, staging, value
+from holdfast.operators import metrics, neighbours, ordered, profile
+from holdfast.plans import (
+    audit,
+    behavior,
+    explain,
+    explore,
+    features,
+    model,
+    quality,
+    quarantine,
+    scenario,
+    staging,
+    value,
+)
 from holdfast.registry.oracle import (
     CITIES,
     DRIFT,
@@ -24,7 +40,7 @@ from holdfast.registry.oracle import (
     NULL_COLUMNS,
     TERMS,
 )
-from holdfast.session import fresh_path, settle
+from holdfast.session import fresh_path, fresh_table, settle
 from holdfast.sources import standin, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +170,27 @@ def dq_gate_failures(spark, folder):
     return quality.gate_failures(_checks(spark, folder)).select("name", "violation_count")
 
 
+@query
+def quarantine_orders(spark, folder):
+    """Every order with the checks it violates, and whether it may go on to staging."""
+    passing, held = quarantine.quarantine(_raw(spark, folder), "orders", FUTURE)
+    nothing = passing.withColumn(quarantine.REASONS, F.array().cast("array<string>")).withColumn("passes", F.lit(True))
+    both = nothing.unionByName(held.withColumn("passes", F.lit(False)))
+    return both.select("order_id", F.size(quarantine.REASONS).alias("n_reasons"), "passes")
+
+
+@query
+def quarantine_counts(spark, folder):
+    """Violating rows per check and table, items judged against a parent table with holes."""
+    raw = _raw(spark, folder)
+    holes = dict(raw) | {"orders": raw["orders"].where(F.col("order_status") == "F")}
+    parts = [
+        quarantine.counts(quarantine.judge(given, name, FUTURE)).withColumn("table_name", F.lit(name))
+        for given, name in ((raw, "orders"), (holes, "items"), (holes, "payments"), (raw, "reviews"), (raw, "products"))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def null_profile(spark, folder):
     staged = staging.stage_orders(_raw(spark, folder)["orders"])
@@ -316,6 +353,47 @@ def same_day_summary(spark, folder):
     return audit.same_day_summary(audit.same_day_pairs(_resolved(spark, folder)))
 
 
+@query
+def events_as_of(spark, folder):
+    """Each log entry with its user's latest view before it and earliest order placed after it."""
+    log = standin.read(spark, folder, "events").select("event_id", "user_id", "ts")
+    bought = standin.read(spark, folder, "orders").select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("at")
+    )
+    before = neighbours.as_of(log, bought, "user_id", "ts", "at", ["order_id"], "before")
+    both = neighbours.as_of(before, bought, "user_id", "ts", "at", ["order_id"], "after", "forward", equal=False)
+    return both.select("event_id", "user_id", *[F.col(f"{m}.{c}").alias(f"{m}_{c}") for m in ("before", "after") for c in ("order_id", "at")])
+
+
+@query
+def tickets_as_of(spark, folder):
+    """Each ticket with the latest order of its customer up to then."""
+    base = _base(spark, folder)
+    tickets = base.raw["tickets"].select("customer_unique_id", "created_at", "resolution_hours")
+    orders = base.resolved.select("customer_unique_id", "order_id", "order_purchase_timestamp")
+    found = neighbours.as_of(tickets, orders, "customer_unique_id", "created_at", "order_purchase_timestamp", ["order_id"])
+    return found.select("customer_unique_id", "created_at", "resolution_hours", F.col("match.order_id").alias("order_id"))
+
+
+@query
+def bucketed_person_join(spark, folder):
+    """Orders and tickets of each person from staged tables in buckets of the person: neither side is shuffled again."""
+    base = _base(spark, folder)
+    sides = {
+        "orders": base.resolved.select("customer_unique_id", "order_id", "order_purchase_timestamp"),
+        "tickets": base.raw["tickets"].select("customer_unique_id", "created_at"),
+    }
+    stored = {
+        n: tables.save_bucketed(df, fresh_table(spark, n), fresh_path(spark, n), "customer_unique_id", 16)
+        for n, df in sides.items()
+    }
+    bought = stored["orders"].groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("order_purchase_timestamp").alias("last_order")
+    )
+    asked = stored["tickets"].groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("n_tickets"))
+    return bought.join(asked, "customer_unique_id", "left").na.fill(0, ["n_tickets"])
+
+
 @query
 def cart_split_sellers(spark, folder):
     base = _base(spark, folder)
@@ -686,6 +764,19 @@ def feature_drift(spark, folder):
     return profile.drift(sides[0], sides[1], DRIFT)
 
 
+@query
+def wide_category_inputs(spark, folder):
+    """Rows per input of a category with a value per product, as the sparse inputs of all items add up."""
+    items = settle(_raw(spark, folder)["items"].select("order_id", "product_id", "price"))
+    terms = model.prepare(items.where("order_id % 5 <> 0"), ["price"], ["product_id"], [], wide=20)
+    ready = Pipeline(stages=model.input_stages(terms)).fit(items).transform(items)
+    sums = ready.select(Summarizer.sum(F.col("features")).alias("s")).select(F.posexplode(vector_to_array("s")).alias("at", "n"))
+    wide = next(t for t in terms if t.kind == "wide")
+    plain = len(terms) - 1
+    known = spark.read.parquet(wide.table).withColumn("at", F.col("code") + plain)
+    return known.join(sums, "at").select(F.col("value").alias("product_id"), F.col("n").cast("bigint").alias("n_rows"))
+
+
 # value and scenarios
 
 
@@ -893,7 +984,7 @@ def truncate_roundtrip(spark, folder):
 
 @query
 def catalog_roundtrip(spark, folder):
-    name = fresh_path(spark, "purchase_events").rsplit("/", 1)[1].replace("-", "_")
+    name = fresh_table(spark, "purchase_events")
     tables.save_as_table(staging.purchase_events(_resolved(spark, folder)), name)
     return spark.table(name).select("customer_unique_id", "order_purchase_timestamp", "representative_order_id")
 

@@ -55,6 +55,7 @@ def ship(spark: SparkSession) -> None:
 
 
 _written: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,21 +78,38 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder, removed by ``release`` or when Python ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def _of(spark: SparkSession) -> list[str]:
     app = spark.sparkContext.applicationId
     if app not in _written:
         _written[app] = []
-        atexit.register(_release_quietly, spark)
-    _written[app].append(path)
+        # the JVM and its file systems outlive the session, which most programs stop first
+        atexit.register(_remove, _written[app], spark._jvm, spark._jsc.hadoopConfiguration())
+    return _written[app]
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """An unused path below the shared folder, removed by ``release`` or when Python ends,
+    also if the session was stopped before."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _of(spark).append(path)
     return path
 
 
+def fresh_table(spark: SparkSession, name: str) -> str:
+    """An unused name in the catalog, dropped by ``release``; its files lie in ``fresh_path``."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return table
+
+
 def release(spark: SparkSession) -> int:
-    """Remove what this application has written to the shared folder; how many tables."""
-    paths = _written.get(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    """Remove what this application has written to the shared folder and the catalog; how many tables."""
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return _remove(_of(spark), spark._jvm, spark._jsc.hadoopConfiguration())
+
+
+def _remove(paths: list[str], jvm, conf) -> int:
     for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(conf).delete(at, True)
@@ -100,12 +118,6 @@ def release(spark: SparkSession) -> int:
     return done
 
 
-def _release_quietly(spark: SparkSession) -> None:
-    # a session that was stopped before leaves its folder to whoever owns it
-    if spark.sparkContext._jsc is not None:
-        release(spark)
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

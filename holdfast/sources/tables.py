@@ -9,9 +9,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from holdfast.functions.dates import moment
+from holdfast.session import settle
 from holdfast.sources.schemas import CANONICAL, schema
 
 log = logging.getLogger(__name__)
@@ -38,6 +39,37 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
+def read_csv_split(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a CSV file or folder, and its damaged records with the file they lie in.
+
+    A record is damaged if it has too few or too many fields or a value that is not of the
+    declared type; such a record would else come back with its bad values as NULL. The
+    damaged ones, with what could be read of them, are written as a side table at once.
+    """
+    declared = schema(table)
+    full = StructType([*declared, StructField("_damaged", StringType())])
+    rows = (
+        spark.read.schema(full)
+        .option("header", True)
+        .option("multiLine", table == "order_reviews")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_damaged")
+        .csv(path)
+    )
+    good = rows.where(F.col("_damaged").isNull()).select(*declared.fieldNames())
+    bad = rows.where(F.col("_damaged").isNotNull()).select(
+        "*", F.input_file_name().alias("file")
+    ).withColumnRenamed("_damaged", "record")
+    return good, settle(bad)
+
+
+def damage_counts(bad: DataFrame) -> DataFrame:
+    """Damaged records per file."""
+    return bad.groupBy("file").agg(F.count(F.lit(1)).alias("n_damaged"))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, path):
         raise FileNotFoundError(f"{path} not found")
@@ -92,6 +124,18 @@ def save_as_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, order: Sequence[str] = ()) -> DataFrame:
+    """Materialise ``df`` at ``path`` as a catalog table in buckets of ``key``, sorted in them.
+
+    Tables with the same number of buckets of one key join and group by it without a shuffle.
+    Rows reach their bucket by one exchange, so each bucket is one file per load.
+    """
+    rows = df.repartition(buckets, key)
+    writer = rows.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key, *order)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
