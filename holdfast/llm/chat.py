@@ -141,7 +141,10 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Turn and loss digests of each conversation, read from the formatted bytes alone."""
+    """Turn counts and turn and loss digests of each conversation, read from the formatted bytes alone.
+
+    Pieces of a conversation are whole turns, so their counts add up.
+    """
     conf = formatted.sparkSession.conf
     count = int(conf.get("spark.sql.shuffle.partitions"))
 
@@ -151,7 +154,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
             for r in batch.to_pylist():
                 raw = r["formatted"]
                 text = raw.decode()
-                turns = "".join(f"{role}\n{text}\n" for role, text in parse(text)).encode()
+                parsed = parse(text)
+                turns = "".join(f"{role}\n{said}\n" for role, said in parsed).encode()
                 loss = "".join(
                     unescape(raw[s["start"] : s["start"] + s["length"]].decode()) for s in r["loss"]
                 )
@@ -159,7 +163,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 if r["whole"]:
                     own, learned = hashlib.sha256(own).digest(), hashlib.sha256(learned).digest()
                 rows.append(
-                    (r["conv_id"], r["part"], r["seq"], r["whole"], r["n_turns"], len(loss), len(text), own, learned)
+                    (r["conv_id"], r["part"], r["seq"], r["whole"], len(parsed), len(loss), len(text), own, learned)
                 )
             yield _batch(rows)
 

@@ -1,16 +1,19 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into a tree of its tags. Subtrees that are no article by their tag or role
-go first (menus, headers, footers, asides, forms, scripts, styles), then those that a class or
-id marks (sidebars, notices, adverts, comments of readers), if they hold no article and little
-of the page's text. Ids of headings and, but for readers' comments and adverts, of what is
-inside an article mark nothing. If all this leaves no text, only what is never text goes
-(scripts, styles, form controls). For every remaining node the composite text density is its characters
+go first (menus, headers, footers, asides, scripts, styles), then those that a class or id marks
+(sidebars, notices, adverts, comments of readers), forms and dialogs, if they hold no article and little
+of the page's text: what holds most of it wraps the page. A form wraps the page only if its text
+is long for its controls; an element that is named as readers' comments, adverts or notices and
+nothing else never does. Ids of headings and, but for readers' comments and adverts, of what is
+inside an article mark nothing. A page of which nothing remains has no main text. For every
+remaining node the composite text density is its characters
 per tag, adjusted by the share of characters and tags inside links. A node's density sum
 adds the densities of its children; the subtree of the largest sum is the article. The
 smallest density on the path from there to the body is the threshold: what hangs beside
-that path and reaches it belongs to the text too. If the article element is marked as such,
-only other article elements that reach it do.
+that path and reaches it belongs to the text too, and so do headings directly before a node
+of the path. If the article element is marked as such, only other article elements that reach
+it do. Equal sums go to the node that comes first in the page.
 
 Null pages count as empty and give an empty text; a page without a body is read as one.
 Cut-off tags and references are tolerated. Character references are decoded, white space
@@ -50,7 +53,10 @@ NO_TEXT = frozenset(
     "head title script style noscript template button select option textarea input iframe object svg canvas "
     "audio video map".split()
 )
-DROPPED = NO_TEXT | frozenset("nav footer aside form menu dialog".split())
+DROPPED = NO_TEXT | frozenset("nav footer aside menu dialog".split())
+CONTROLS = frozenset("button select textarea input".split())
+#: characters per control from which a form holds a page and does not ask for input
+PER_CONTROL = 100
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -65,7 +71,9 @@ SIBLINGS = {
     "th": (frozenset({"td", "th"}), frozenset({"tr"})),
     "option": (frozenset({"option"}), frozenset({"select"})),
 }
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+ROLES = frozenset("navigation banner contentinfo complementary search menu menubar alert".split())
+#: roles that may wrap a page, as forms and marked elements do
+WRAPPING = frozenset("form dialog".split())
 #: words of a class or id that mark what is no article
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu "
@@ -77,8 +85,11 @@ KEPT = frozenset("article post entry content main story".split())
 #: words of what is by readers or advertisers, and words that may stand beside them in an id inside an article
 OTHERS = frozenset("comment comments disqus ad ads".split())
 OTHERS_PLACE = OTHERS | frozenset("area block box container list section slot thread wrapper".split())
+#: words of notices; an element named by these, by OTHERS and by the words beside them alone is never text
+NOTICES = frozenset("cookie cookies consent notice notices popup modal newsletter subscribe advert adverts advertisement".split())
+NEVER = NOTICES | OTHERS_PLACE | frozenset("bar banner overlay message".split())
 #: share of the page's text from which a marked element is no mere surroundings, and that of OTHERS
-LITTLE, LITTLE_OTHERS = 0.5, 0.9
+LITTLE, LITTLE_OTHERS, ALWAYS = 0.5, 0.9, math.inf
 FIXED = frozenset({"html", "body", "main"})
 ARTICLES = frozenset({"article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -101,34 +112,40 @@ def _no_article(tag: str, attributes: str, inside: bool) -> bool:
 
 def _mark(tag: str, attributes: str, inside: bool) -> float:
     """Share of the page's text below which class or id bar the element; 0 without a mark."""
-    if tag in FIXED or not attributes:
+    if tag in FIXED:
         return 0.0
     share = 0.0
     for name, *values in ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name == "role":
+            if next((v for v in values if v), "").lower() in WRAPPING:
+                share = max(share, LITTLE)
             continue
         words = {w.lower() for w in NAME.findall(next((v for v in values if v), ""))}
         if not words & MARKS:
             continue
         if name == "id" and (tag in HEADINGS or (inside and not (words & OTHERS and words <= OTHERS_PLACE))):
             continue
+        if words & (OTHERS | NOTICES) and words <= NEVER:
+            return ALWAYS
         if words & OTHERS:
-            return LITTLE_OTHERS
+            share = max(share, LITTLE_OTHERS)
+            continue
         if not (words & KEPT and tag in CLOSES_P):
-            share = LITTLE
-    return share
+            share = max(share, LITTLE)
+    return share or (LITTLE if tag == "form" else 0.0)
 
 
 class Tree:
     """Nodes of a page in page order, with the text pieces that stand directly in them."""
 
-    def __init__(self, page: str, prune: bool = True):
+    def __init__(self, page: str):
         self.tag: list[str] = ["#root"]
         self.parent: list[int] = [-1]
         self.pieces: list[tuple[int, str | object]] = []
         self.marks: dict[int, float] = {}
-        self._build(page, prune)
+        self.controls: list[int] = []
+        self._build(page)
         if self.marks:
             self._bar()
 
@@ -139,22 +156,27 @@ class Tree:
         for node, piece in self.pieces:
             if piece is not BREAK:
                 chars[node] += sum(map(len, piece.split()))
+        controls = [0] * n
+        for node in self.controls:
+            controls[node] += 1
         for i in range(1, n):
-            foreign[i] = foreign[parent[i]] or marks.get(i) == LITTLE_OTHERS
+            foreign[i] = foreign[parent[i]] or marks.get(i, 0.0) >= LITTLE_OTHERS
             articles[i] = int(tag[i] in ARTICLES)
         own = any(a and not f for a, f in zip(articles, foreign, strict=True))
         for i in range(n - 1, 0, -1):
             chars[parent[i]] += chars[i]
             articles[parent[i]] += articles[i]
+            controls[parent[i]] += controls[i]
         barred = [False] * n
         for i in range(1, n):
             share = marks.get(i, 0.0)
             # readers' comments may be article elements beside the article itself
-            holds = articles[i] and not (share == LITTLE_OTHERS and own)
-            barred[i] = barred[parent[i]] or (share > 0 and not holds and chars[i] < share * chars[0])
+            holds = articles[i] and share < ALWAYS and not (share == LITTLE_OTHERS and own)
+            little = chars[i] < share * chars[0] or (tag[i] == "form" and chars[i] < PER_CONTROL * controls[i])
+            barred[i] = barred[parent[i]] or (share > 0 and not holds and little)
         self.pieces = [x for x in self.pieces if not barred[x[0]]]
 
-    def _build(self, page: str, prune: bool) -> None:
+    def _build(self, page: str) -> None:
         tag, parent, pieces = self.tag, self.parent, self.pieces
         stack = [0]
         depth: dict[str, int] = {}
@@ -210,6 +232,8 @@ class Tree:
                 if lowest is not None:
                     close(lowest)
             attributes = m[3]
+            if name in CONTROLS and not dropped:
+                self.controls.append(stack[-1])
             if name in VOID:
                 if not dropped and (name == "br" or name == "hr"):
                     pieces.append((stack[-1], BREAK))
@@ -226,9 +250,9 @@ class Tree:
                 pieces.append((stack[-1], BREAK))
             inside = depth.get("article", 0) > 0 or depth.get("main", 0) > 0
             node = len(tag)
-            if dropped or (_no_article(name, attributes, inside) if prune else name in NO_TEXT):
+            if dropped or _no_article(name, attributes, inside):
                 dropped += 1
-            elif prune and (share := _mark(name, attributes, inside)):
+            elif share := _mark(name, attributes, inside):
                 self.marks[node] = share
             tag.append(name)
             parent.append(stack[-1])
@@ -284,20 +308,36 @@ def article_nodes(tree: Tree) -> set[int]:
             marked = node
         node = tree.parent[node]
     if marked is not None:
-        least = min(density[i] for i in path[path.index(marked) :])
-        return {marked} | {i for i in range(1, n) if tree.tag[i] in ARTICLES and density[i] >= least > 0}
+        at = path.index(marked)
+        least = min(density[i] for i in path[at:])
+        rest = {i for i in range(1, n) if tree.tag[i] in ARTICLES and density[i] >= least > 0}
+        return {marked} | rest | _titles(tree, path[at:])
     if not path:
         return {0}
     threshold = min(density[i] for i in path)
     on_path = set(path) | {0}
-    return {best} | {
-        i for i in range(1, n) if i not in on_path and tree.parent[i] in on_path and density[i] >= threshold > 0
-    }
+    beside = {i for i in range(1, n) if i not in on_path and tree.parent[i] in on_path and density[i] >= threshold > 0}
+    return {best} | beside | _titles(tree, path)
+
+
+def _titles(tree: Tree, path: list[int]) -> set[int]:
+    """Headings that stand directly before a node of the path, one after the other."""
+    out: set[int] = set()
+    on_path = set(path)
+    run: dict[int, list[int]] = {}  # by parent: the headings since its last other child
+    for i in range(1, len(tree.tag)):
+        if i in on_path:
+            out.update(run.get(tree.parent[i], ()))
+        if tree.tag[i] in HEADINGS:
+            run.setdefault(tree.parent[i], []).append(i)
+        elif tree.tag[i] not in INLINE:
+            run.pop(tree.parent[i], None)
+    return out
 
 
 def extract(page: str) -> str:
     """The main text of one page."""
-    return _text(Tree(page)) or _text(Tree(page, prune=False))
+    return _text(Tree(page))
 
 
 def _text(tree: Tree) -> str:
@@ -305,7 +345,8 @@ def _text(tree: Tree) -> str:
     inside = [False] * len(tree.tag)
     for i in range(len(tree.tag)):
         inside[i] = i in roots or (i > 0 and inside[tree.parent[i]])
-    parts = [" " if piece is BREAK else piece for node, piece in tree.pieces if inside[node]]
+    # ends of blocks count wherever they stand, or texts from two subtrees would touch
+    parts = [" " if piece is BREAK else piece for node, piece in tree.pieces if piece is BREAK or inside[node]]
     return " ".join(entities.unescape("".join(parts)).split())
 
 

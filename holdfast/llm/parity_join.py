@@ -18,9 +18,11 @@ ones of the next band is sketched for that band too.
    differ little enough are verified on the shingles of the texts; the links give
    components.
 4. What equal blocks hold together is a cluster. Clusters that still hold several components
-   compare, in tiles of bounded size, the sketches of members of different components. First the closest pair to each foreign
-   component is verified, and after the components are joined again, every remaining pair
-   that the sketches allow. After that no link between different texts can be missing.
+   compare members of different components in tiles of bounded size. Pairs that the
+   sketches allow are verified on their shingles inside the tile, closest first, as long as
+   the tile has not yet joined the two; the tile returns the links that join components, fewer
+   than it has members. After that no link between different texts can be missing, and no
+   pair was ever a row.
 
 Null and wordless texts are empty sets and link with nothing. With fewer words than a
 shingle has, the whole sequence is the one shingle. Rows with equal ids count as one
@@ -50,8 +52,9 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 BAND = 1.6
 #: bits that a shingle flips in its block
 FLIPS = 3
-#: members of a tile: bounds the memory of a comparison, larger groups take several tiles
-TILE = 1024
+#: members of a tile and shingles of them all: bound the memory of a comparison, larger
+#: groups take several tiles
+TILE, TILE_SHINGLES = 1024, 1024 * 1024
 #: buckets of block keys for each shuffle partition: bounds the memory of gathering them
 BUCKETS = 8
 #: words whose hashes a task remembers
@@ -61,7 +64,7 @@ SCANNED = (
     "doc_id bigint, mark bigint, n bigint, v bigint, check bigint, r bigint, "
     "bucket int, keys binary, key bigint, p bigint, q bigint"
 )
-KNOWN = "v bigint, n bigint, sketches array<struct<level:int,blocks:array<bigint>>>, text string"
+KNOWN = "v bigint, n bigint, sketches array<struct<level:int,blocks:array<bigint>>>, shingles array<bigint>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -344,29 +347,36 @@ def near(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, per_cent: int) -> DataFrame:
+def linked(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    """Whether two sorted shingle sets are similar enough."""
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= per_cent * (len(x) + len(y) - shared)
+
+
+def verified(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
     """The pairs whose shingle sets are similar enough, by the sets themselves."""
-    both = pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("v").alias("b"), F.col("text").alias("tb")), "b"
+    both = pairs.join(known.select(F.col("v").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        known.select(F.col("v").alias("b"), F.col("shingles").alias("sb")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                x, y = shingle(one), shingle(two)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= per_cent * (len(x) + len(y) - shared))
-            mask = pa.array(keep, pa.bool_())
+            sets = zip(_lists(batch.column("sa")), _lists(batch.column("sb")), strict=True)
+            mask = pa.array([linked(x, y, per_cent) for x, y in sets], pa.bool_())
             yield batch.select(["a", "b"]).filter(mask)
 
     return map_arrow(both, run, "a bigint, b bigint")
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """Lists of a column as slices of its values."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _tiles(members: DataFrame) -> DataFrame:
     """Members of each cluster and band once per pair of tiles in which they are compared."""
-    k = F.ceil(F.col("members") / TILE).cast("int")
+    k = F.ceil(F.greatest(F.col("members") / TILE, F.col("shingled") / TILE_SHINGLES)).cast("int")
     tile = F.pmod(F.xxhash64("v", F.lit(3)), k).cast("int")
     every = F.transform(
         F.sequence(F.lit(0), k - 1), lambda j: F.struct(F.least(tile, j).alias("i"), F.greatest(tile, j).alias("j"))
@@ -374,42 +384,54 @@ def _tiles(members: DataFrame) -> DataFrame:
     return members.withColumn("own", tile).withColumn("t", F.explode(every))
 
 
-def foreign_pairs(members: DataFrame, per_cent: int, closest: bool) -> DataFrame:
-    """Pairs of members of different components that the sketches allow to link: all, or
-    for each member the closest one of each foreign component."""
+def foreign_links(members: DataFrame, per_cent: int) -> DataFrame:
+    """Links that join components of one cluster: of each pair of tiles, enough of them to
+    join all that any link between their members joins."""
     count = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["g", "level", "i", "j"]
-    tiles = _tiles(members).select("g", "level", "t.i", "t.j", "own", "v", "n", "c", "blocks")
+    tiles = _tiles(members).select("g", "level", "t.i", "t.j", "own", "v", "n", "c", "blocks", "shingles")
     dealt = tiles.repartition(count, *keys).sortWithinPartitions(*keys)
 
     def compare(parts: list[pa.RecordBatch]) -> np.ndarray:
-        """Pairs of one tile pair, whose rows come in one or more batches."""
+        """Joining links of one tile pair, whose rows come in one or more batches."""
         n, c, v, own = (np.concatenate([np.array(p.column(x)) for p in parts]) for x in ("n", "c", "v", "own"))
         bits = np.concatenate([np.array(p.column("blocks").flatten()) for p in parts])
         bits = bits.view(np.uint64).reshape(len(v), -1)
+        sets = [s for p in parts for s in _lists(p.column("shingles"))]
         apart = parts[0].column("i")[0].as_py() != parts[0].column("j")[0].as_py()
-        values, counts = np.unique(c, return_counts=True)
-        outside = np.flatnonzero(c != values[counts.argmax()])
-        found = [np.zeros((0, 2), np.int64)]
-        step = max(1, 2_000_000 // bits.size)
-        for at in range(0, len(outside), step):
-            x = outside[at : at + step]
+        values, joined, counts = np.unique(c, return_inverse=True, return_counts=True)
+        outer = joined != counts.argmax()
+        outside, every = np.flatnonzero(outer), np.arange(len(v))
+        found: list[tuple[int, int]] = []
+
+        def join(one: np.ndarray, two: np.ndarray) -> None:
+            """Verify pairs, closest first, that are not joined yet."""
+            nonlocal joined
+            at, step = 0, 64
+            while at < len(one):
+                for a, b in zip(one[at : at + step], two[at : at + step], strict=True):
+                    if joined[a] != joined[b] and linked(sets[a], sets[b], per_cent):
+                        found.append((v[a], v[b]))
+                        joined = np.where(joined == joined[b], joined[a], joined)
+                open_pairs = joined[one[at + step :]] != joined[two[at + step :]]
+                one, two = one[at + step :][open_pairs], two[at + step :][open_pairs]
+                step *= 2
+
+        wide = max(1, 2_000_000 // bits.size)
+        for at in range(0, len(outside), wide):
+            x = outside[at : at + wide]
             differing = np.bitwise_count(bits[x, None] ^ bits[None]).sum(axis=2, dtype=np.int64)
             joint = n[x, None] + n[None]
             fits = differing <= FLIPS * (joint * (100 - per_cent) // (100 + per_cent))
             fits &= 100 * np.minimum(n[x, None], n[None]) >= per_cent * np.maximum(n[x, None], n[None])
-            fits &= c[x, None] != c[None]
+            fits &= joined[x, None] != joined[None]
+            fits &= ~outer[None] | (every[None] > x[:, None])
             if apart:
                 fits &= own[x, None] != own[None]
             one, two = np.nonzero(fits)
-            if closest and len(one):
-                order = np.lexsort((differing[one, two], c[two], one))
-                one, two = one[order], two[order]
-                first = np.append(True, (one[1:] != one[:-1]) | (c[two][1:] != c[two][:-1]))
-                one, two = one[first], two[first]
-            pair = np.stack([v[x[one]], v[two]], axis=1)
-            found.append(np.sort(pair, axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            order = np.argsort(differing[one, two], kind="stable")
+            join(x[one[order]], two[order])
+        return np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -445,14 +467,16 @@ def _members(known: DataFrame, clusters: DataFrame, labels: DataFrame) -> DataFr
     rows = (
         known.join(clusters.select(F.col("v").alias("kv"), F.col("c").alias("g")), F.col("v") == F.col("kv"))
         .join(labels.select(F.col("v").alias("lv"), F.col("c").alias("l")), F.col("v") == F.col("lv"), "left")
-        .select("g", "v", "n", F.coalesce("l", "v").alias("c"), F.explode("sketches").alias("s"))
-        .select("g", "v", "n", "c", "s.level", "s.blocks")
+        .select("g", "v", "n", F.coalesce("l", "v").alias("c"), "shingles", F.explode("sketches").alias("s"))
+        .select("g", "v", "n", "c", "shingles", "s.level", "s.blocks")
     )
     open_clusters = (
         rows.groupBy("g", "level")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+        .agg(
+            F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingled"), F.min("c").alias("c0"), F.max("c").alias("c1")
+        )
         .where("members > 1 and c0 <> c1")
-        .select(F.col("g").alias("og"), F.col("level").alias("ol"), "members")
+        .select(F.col("g").alias("og"), F.col("level").alias("ol"), "members", "shingled")
     )
     same = (F.col("g") == F.col("og")) & (F.col("level") == F.col("ol"))
     return rows.join(open_clusters, same).drop("og", "ol")
@@ -471,16 +495,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = 80) -> Data
     known = stored(_known(docs, sets.join(involved, "v", "left_semi"), words, per_cent), "known")
 
     star = groups.select(F.least("p", "v").alias("a"), F.greatest("p", "v").alias("b")).distinct()
-    links = stored(verified(near(star, known, per_cent), known, words, per_cent), "links")
+    links = stored(verified(near(star, known, per_cent), known, per_cent), "links")
     labels = components(links)
-    clusters = components(star)
-    for closest in (True, False):
-        found = foreign_pairs(_members(known.drop("text"), clusters, labels), per_cent, closest)
-        more = stored(verified(found, known, words, per_cent), "links")
-        if more.isEmpty():
-            continue
-        links = links.union(more)
-        labels = components(links)
+    more = stored(foreign_links(_members(known, components(star), labels), per_cent), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     joined = sets.join(labels.withColumnRenamed("v", "lv"), F.col("v") == F.col("lv"), "left").select(
         "v", "least_id", F.coalesce("c", "v").alias("c")
     )
@@ -527,7 +546,7 @@ def _named_groups(scanned: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def _known(docs: DataFrame, sets: DataFrame, words: int, per_cent: int) -> DataFrame:
-    """Size, sketches and one text of each vertex; the text is met by id and hash of its row."""
+    """Size, sketches and shingles of each vertex, from a text met by id and hash of its row."""
     bands = Bands(per_cent)
     text = text_of("text")
     own = docs.select(F.col("doc_id").alias("own"), F.xxhash64(text).alias("own_mark"), text.alias("text"))
@@ -545,9 +564,12 @@ def _known(docs: DataFrame, sets: DataFrame, words: int, per_cent: int) -> DataF
                     batch.column("v"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     _nested(own),
-                    batch.column("text"),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()),
+                        pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)),
+                    ),
                 ],
-                names=["v", "n", "sketches", "text"],
+                names=["v", "n", "sketches", "shingles"],
             )
 
     return map_arrow(found, run, KNOWN)

@@ -1,3 +1,4 @@
+import math
 import hashlib
 import random
 import re
@@ -188,3 +189,63 @@ def test_sibling_articles_belong_to_the_text():
     page = f"<body><div><article>{ARTICLE}</article><article>{ARTICLE.replace('plain', 'other')}</article></div>{card}</body>"
     text = html_density.extract(page)
     assert text.count("plain") == text.count("other") == 32 and "Read more" not in text
+
+
+LONG = "This is a sentence of the article that says something at some length. " * 12
+
+
+def test_pages_without_an_article_are_empty():
+    for page in (
+        "<nav><a>Home</a> About</nav><footer>Copyright 2020 Foo</footer>",
+        "<body><div class=comments><article class=comment>first!</article><p>nice</p></div></body>",
+        "<body><div class='cookie-banner'>We use cookies. Accept them please, all of them.</div></body>",
+        "<body><div id=newsletter-popup>Subscribe to our letter</div><aside>More</aside></body>",
+        "<form><label>Your name</label><input name=n><label>Your mail</label><input><button>Send</button></form>",
+    ):
+        assert html_density.extract(page) == "", page
+
+
+def test_a_form_around_the_page_is_no_form():
+    page = f"<body><form action=/x><input type=hidden><div class=text><p>{LONG}</p></div><aside>Look here</aside><footer>Foot</footer></form></body>"
+    assert html_density.extract(page) == LONG.strip()
+    beside = f"<body><div class=text><p>{LONG}</p></div><form><label>Search here</label><input></form></body>"
+    assert html_density.extract(beside) == LONG.strip()
+
+
+def test_headings_before_the_text_belong_to_it():
+    page = f"<body><nav>Home</nav><h1>Title</h1><h2>Subtitle</h2><div class=text><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert html_density.extract(page) == f"Title Subtitle {LONG}{LONG}".strip()
+    wrapped = f"<body><div><h1>Title</h1><div><div class=text><p>{LONG}</p><p>{LONG}</p></div></div></div><div><h2>Elsewhere</h2><ul><li>x</li></ul></div></body>"
+    assert html_density.extract(wrapped) == f"Title {LONG}{LONG}".strip()
+
+
+def test_densities_equal_plain_recursion():
+    """Composite density and sums of every node, computed for each subtree on its own."""
+    page = f"<body><h1>T</h1><div><a href=x>link <b>text</b></a> and words</div><div><p>{LONG}</p><ul><li><a>one</a><li>two</ul></div></body>"
+    tree = html_density.Tree(page)
+    children = {i: [j for j in range(len(tree.tag)) if tree.parent[j] == i] for i in range(len(tree.tag))}
+
+    def linked(i):
+        return i > 0 and (tree.tag[i] == "a" or linked(tree.parent[i]))
+
+    def count(i):
+        own = sum(len("".join(p.split())) for n, p in tree.pieces if n == i and p is not html_density.BREAK)
+        c, lc, t, lt = own, own if linked(i) else 0, 1, int(linked(i))
+        for j in children[i]:
+            c, lc, t, lt = (x + y for x, y in zip((c, lc, t, lt), count(j), strict=True))
+        return c, lc, t, lt
+
+    whole = count(0)
+    density, total = html_density.densities(tree)
+
+    def plain(i):
+        c, lc, t, lt = count(i)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + whole[1] / max(whole[0], 1) * c + math.e)
+        ratio = max(c / max(lc, 1) * t / max(lt, 1), 1.0)
+        return c / t * math.log(ratio) / math.log(max(base, 1 + 1e-9))
+
+    for i in range(len(tree.tag)):
+        assert density[i] == pytest.approx(plain(i))
+        assert total[i] == pytest.approx(sum(plain(j) for j in children[i]))

@@ -46,11 +46,43 @@ def test_components_match_comparing_all_pairs(docs, words, per_cent):
 
 def test_large_groups_take_several_tiles(docs, monkeypatch):
     monkeypatch.setattr(parity_join, "TILE", 8)
+    monkeypatch.setattr(parity_join, "TILE_SHINGLES", 3000)
     rows = corpus(11)
     got = {r["doc_id"]: r["component_id"] for r in parity_join.near_duplicates(docs(rows), 3, 90).collect()}
     assert got == {d: c for d, (_, c) in brute.components(rows, 3, 90).items()}
 
 
+def test_dense_groups_make_no_pair_rows(spark):
+    """Members just below the threshold, each a component of its own: every pair is allowed
+    by the sketches, none links, and nothing is written; joined ones write links of a forest."""
+    rng = np.random.default_rng(6)
+    bands = parity_join.Bands(90)
+    base = rng.integers(0, 2**62, 180)
+    alike = [np.sort(np.concatenate([base, rng.integers(0, 2**62, 12)])) for _ in range(120)]
+    copies = [np.sort(np.concatenate([base[3:], rng.integers(0, 2**62, 3)])) for _ in range(60)]
+
+    def members(sets):
+        level = bands.level(len(sets[0]))
+        rows = [
+            (1, v, len(s), v, s.tolist(), level, parity_join.sketch(s.view(np.uint64), bands.blocks(level)).view(np.int64).tolist(), len(sets), sum(map(len, sets)))
+            for v, s in enumerate(sets)
+        ]
+        schema = "g bigint, v bigint, n bigint, c bigint, shingles array<bigint>, level int, blocks array<bigint>, members bigint, shingled bigint"
+        return spark.createDataFrame(rows, schema)
+
+    assert parity_join.foreign_links(members(alike), 90).count() == 0
+    links = parity_join.foreign_links(members(copies), 90)
+    assert 0 < links.count() <= len(copies) - 1
+    assert {r["c"] for r in components(links).collect()} == {0}
+
+
+def test_very_long_texts(docs):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, long, "s"), (2, long + " end", "s"), (3, long[: len(long) // 2], "s"), (4, "short one here", "s")]
+    got = {r["doc_id"]: r["component_id"] for r in parity_join.near_duplicates(docs(rows), 5, 80).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_keep_one_keeps_the_smallest_id_and_empty_texts(docs):
     rows = corpus(5)
     want = {d for d, (n, c) in brute.components(rows, 5, 80).items() if not n or c == d}
