@@ -11,6 +11,8 @@ from holdfast.functions.wording import plain_label
 from holdfast.sources import standin
 
 _DAY = "86400000000.0"
+#: numeric features of the audit: the model's inputs and what was left out of them
+AUDITED = sorted({*fixed.NUMERIC_FEATURES, *fixed.DUPLICATED_FEATURES, *fixed.DUPLICATED_FEATURES.values(), *fixed.COLLINEAR_FEATURES})
 
 
 def _floor(a: str, b: str) -> str:
@@ -649,6 +651,21 @@ def oracle_sql() -> dict[str, str]:
            "future_purchase_timestamp": "ts > TIMESTAMP '2001-01-01'", "late_delivery_outliers": "delivery_days > 46"}
     n_bad = " + ".join(f"coalesce(({c})::INT, 0)" for c in bad.values())
     grave = " OR ".join(f"coalesce({c}, false)" for n, c in bad.items() if n != "late_delivery_outliers")
+    def audited(names):
+        listed, values = ", ".join(f"'{c}'" for c in names), ", ".join(f"CAST({c} AS DOUBLE)" for c in names)
+        return f"""long AS (SELECT row_number() OVER () AS row, lifetime_orders AS depth, [{listed}] AS names, [{values}] AS vals FROM feat),
+      cells AS (SELECT row, depth, unnest(names) AS f, unnest(vals) AS v FROM long),
+      pairs AS (SELECT a.f AS column_a, b.f AS column_b, a.v AS va, b.v AS vb, a.depth
+        FROM cells a JOIN cells b ON a.row = b.row AND a.f < b.f)"""
+    out["equal_features"] = _with(f"{_BASE}, {_FEAT}, {audited(AUDITED)}", " UNION ALL ".join(
+        f"SELECT column_a, column_b, '{n}' AS rows FROM pairs WHERE {c} GROUP BY 1, 2 HAVING bool_and(va IS NOT DISTINCT FROM vb)"
+        for n, c in (("all", "true"), ("single_order", "depth = 1"))))
+    out["collinear_features"] = _with(f"{_BASE}, {_FEAT}, {audited(fixed.NUMERIC_FEATURES)}", """
+      SELECT column_a, column_b, count(*) FILTER (WHERE va IS NOT NULL AND vb IS NOT NULL) AS n, round(corr(va, vb), 4) AS correlation
+      FROM pairs GROUP BY 1, 2 HAVING abs(corr(va, vb)) >= 0.5 AND NOT isnan(corr(va, vb))""")
+    out["sketched_order_values"] = _with(_BASE, """
+      SELECT CAST(p AS DOUBLE) AS probability, count(*) AS n, true AS within
+      FROM ord LEFT JOIN order_value USING (order_id), unnest([0.05, 0.25, 0.5, 0.75, 0.95]) t(p) WHERE total_c IS NOT NULL GROUP BY 1""")
     out["quarantine_orders"] = _with(_BASE, f"""
       SELECT order_id, CASE WHEN {grave} THEN CAST({n_bad} AS BIGINT) ELSE 0 END AS n_reasons, NOT ({grave}) AS passes FROM ord""")
     lost = "l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from holdfast import fixed
 from holdfast.functions.amounts import from_cents
 from holdfast.functions.dates import moment, parse_or_null
-from holdfast.operators import metrics, neighbours, ordered, profile
+from holdfast.operators import columns, metrics, neighbours, ordered, profile, sketches
 from holdfast.plans import (
     audit,
     behavior,
@@ -31,6 +31,7 @@ from holdfast.plans import (
     value,
 )
 from holdfast.registry.oracle import (
+    AUDITED,
     CITIES,
     DRIFT,
     DRIFT_DAYS,
@@ -251,6 +252,41 @@ def collinear_single_order(spark, folder):
     return profile.equal_columns(single, fixed.COLLINEAR_FEATURES)
 
 
+@query
+def equal_features(spark, folder):
+    """All pairs of numeric features that agree in every row, over all rows and over single-order customers."""
+    panel = settle(_panel(spark, folder, *features.PARTS).select(*KEYS, *AUDITED))
+    sides = {"all": panel, "single_order": panel.where(F.col("lifetime_orders") == 1)}
+    parts = [columns.equal_pairs(df, AUDITED, KEYS).withColumn("rows", F.lit(n)) for n, df in sides.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def collinear_features(spark, folder):
+    """Correlation of every pair of the model's numeric inputs that have one."""
+    panel = _panel(spark, folder, *features.PARTS).select(*fixed.NUMERIC_FEATURES)
+    found = columns.correlations(settle(panel), fixed.NUMERIC_FEATURES)
+    return found.where(F.abs("correlation") >= 0.5).withColumn("correlation", F.round("correlation", 4))
+
+
+@query
+def sketched_order_values(spark, folder):
+    """Quantiles of order values by month and over all months, from one stored sketch per month:
+    how many values each holds, and whether the exact rank of the quantile lies within the bound."""
+    orders = settle(_base(spark, folder).order_summary().select(
+        F.date_trunc("month", "order_purchase_timestamp").cast("timestamp_ntz").alias("month"),
+        F.col("order_total_cents").cast("double").alias("value"),
+    ))
+    stored = settle(sketches.sketches(orders, "value", ["month"]))
+    wanted = sketches.sketch_quantiles(stored, [0.05, 0.25, 0.5, 0.75, 0.95])
+    below = orders.join(F.broadcast(wanted), F.lit(True)).groupBy("probability", "n").agg(
+        (F.count_if(F.col("value") < F.col("quantile")) / F.max("n")).alias("low"),
+        (F.count_if(F.col("value") <= F.col("quantile")) / F.max("n")).alias("high"),
+    )
+    p, e = F.col("probability"), sketches.RANK_ERROR
+    return below.select("probability", "n", ((F.col("low") <= p + e) & (F.col("high") >= p - e)).alias("within"))
+
+
 @query
 def single_order_invariant(spark, folder):
     return features.single_order_invariant(_panel(spark, folder))
