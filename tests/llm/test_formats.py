@@ -121,6 +121,27 @@ def test_token_counts_equal_the_library(docs):
     assert token_counts.token_query(docs([]), path).count() == 0
 
 
+def test_token_counts_of_long_runs_repeats_and_rows_without_id(docs):
+    import sentencepiece
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(8)
+    kinds = ["ab", "there", "aeiourstnlh", "漢字中国人大学生日本語のはがを", "AZabyz0189+/", "==--__", "🦄é漢ab", "0123456789"]
+    texts = ["".join(rng.choices(k, k=n)) for k in kinds for n in (2, 60, 401, 20_000)]
+    texts += ["".join(rng.choices(["there", "her", "ere", "e", "rer", "ana", "ss"], k=3000)), "a" * 5001, None, ""]
+    df = docs([(None, t, "s") for t in texts * 2])
+    got = sorted(r["n_tokens"] for r in token_counts.token_query(df, path).collect())
+    assert got == sorted(2 * [len(model.encode(t or "")) for t in texts])
+
+
+def test_a_model_that_changes_its_input_is_refused(monkeypatch):
+    path = tokenizer_file("piece_bpe_32k.model")
+    monkeypatch.setattr(token_counts, "mark", lambda t: t.replace(" ", "▁"))
+    with pytest.raises(ValueError, match="change their input"):
+        token_counts.Merges(path)
+
+
 def test_packing_covers_every_id_once_without_padding(docs):
     from tokenizers import Tokenizer
 
