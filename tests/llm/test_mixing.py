@@ -62,7 +62,7 @@ def test_heavy_documents_come_first_more_often(docs):
     short = [(i, "a b", "s") for i in range(1000)]
     good = [(1000 + i, "good " * 40, "s") for i in range(1000)]
     keys = docs(short + good).select(
-        "doc_id", mixing.exponential_key(F.col("doc_id"), mixing.quality_weight(F.size(F.split("text", " ")), F.length("text")), 1).alias("k")
+        "doc_id", mixing.exponential_key(F.col("doc_id"), mixing.quality_weight(F.col("text"), F.size(F.split("text", " "))), 1).alias("k")
     )
     first = keys.orderBy("k").limit(400).where("doc_id >= 1000").count()
     assert first > 270  # four of five are expected
@@ -74,9 +74,10 @@ def test_mix_repeats_rows_and_cuts_one_document_per_source(docs):
     assert mixed.columns == df.columns
     words = mixed.groupBy("source").agg(F.sum(mixing.word_count(F.coalesce("text", F.lit("")))).alias("n"))
     want = {r["source"]: round(r["target"]) for r in mixing.draw(docs(rows())).collect()}
-    assert {r["source"]: r["n"] for r in words.collect()} == {s: n for s, n in want.items() if n or s == "empty"} | (
-        {} if want["empty"] else {r["source"]: r["n"] for r in words.where("source = 'empty'").collect()}
-    ) or all(want[r["source"]] == r["n"] for r in words.collect())
+    assert {r["source"]: r["n"] for r in words.collect()} == {s: n for s, n in want.items() if n}
+    whole = {t for _, t, _ in rows()}
+    cut = [r for r in mixed.collect() if r["text"] not in whole]
+    assert len(cut) == len({r["source"] for r in cut})
     assert mixed.where("length(text) <> n_chars").count() == 0
 
 
@@ -85,3 +86,42 @@ def test_repeated_rows_and_empty_table(docs):
     got = mixing.mixing_query(docs(twice)).collect()
     assert len(got) == 3 and sum(r["taken"] for r in got) == 12
     assert mixing.mixing_query(docs([])).count() == 0 and mixing.mix(docs([])).count() == 0
+
+
+def test_weight_falls_with_repeated_lines_symbols_and_few_words(docs):
+    good = "\n".join(f"line {'abcdefg'[i]} of a plain text" for i in range(5))
+    texts = [good, "\n".join(["the same line of text"] * 5), good + " ##|| 99 {{}}" * 5, "two words", "", None]
+    df = docs([(i, t, "s") for i, t in enumerate(texts)])
+    text = F.coalesce("text", F.lit(""))
+    w = [r[0] for r in df.orderBy("doc_id").select(mixing.quality_weight(text, mixing.word_count(text))).collect()]
+    assert w[0] > 0.9 > w[2] > w[1] > 0.15 and w[3:] == [0.1 * 8 / 9 * 9 / 8, 0.05, 0.05]
+
+
+def test_a_named_weight_takes_the_place_of_the_computed_one(docs):
+    df = docs([(i, "some words here", "s") for i in range(400)]).withColumn("p", F.when(F.col("doc_id") < 200, 1.0).otherwise(0.1))
+    taken = mixing.draw(df, weight="p").where("extra > 0")
+    # half of the words are taken once more
+    assert taken.where("doc_id < 200").count() > 3 * taken.where("doc_id >= 200").count()
+    broken = df.withColumn("p", F.when(F.col("doc_id") % 2 == 0, float("nan")))
+    assert mixing.draw(broken, weight="p").agg(F.sum("taken")).first()[0] == 1800
+
+
+def test_rows_without_id_take_whole_texts_and_one_cut(docs):
+    thirty = " ".join(["w"] * 30)
+    # 50 rows alike in all, and 50 of the same length that differ
+    for texts in ([thirty] * 50, [f"{i} " + " ".join(["w"] * 29) for i in range(50)]):
+        got = [r["text"] for r in mixing.mix(docs([(None, t, "s") for t in texts])).collect()]
+        assert len(got) == 75 and sum(len(t.split()) for t in got) == 2250 and set(got) == set(texts)
+    got = [len(r["text"].split()) for r in mixing.mix(docs([(None, thirty, "s")] * 51)).collect()]
+    assert sorted(got) == [15] + [30] * 76
+    many = mixing.mix(docs([(7, "a b", "s")] * 4001)).collect()
+    assert sorted(len(r["text"].split()) for r in many) == [1] + [2] * 6001
+
+
+def test_slices_are_even_for_light_rows_and_rows_without_id(docs, spark):
+    light = spark.range(40_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("x"), "id").alias("text"), F.lit("s").alias("source")
+    )
+    placed = mixing._placed(light, 13, 1.5, 2.0, None).groupBy("_mix_slice").count().collect()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(placed) == parts and max(r["count"] for r in placed) < 2 * 40_000 / parts
