@@ -210,3 +210,7 @@ FEATURE_LABELS = {
     "has_support_history": "Has contacted support before",
     "has_campaign_history": "Has received marketing messages before",
 }
+
+#: orders of one person that lie no further apart are looked at as doubles
+NEAR_SECONDS = 3600
+NEAR_CENTS = 100

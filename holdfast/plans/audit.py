@@ -237,3 +237,68 @@ def untranslated_categories(products: DataFrame, translation: DataFrame) -> Data
         F.col("product_category_name").isNotNull()
     )
     return names.distinct().join(translation, "product_category_name", "left_anti")
+
+
+def near_identical_orders(
+    orders: DataFrame, seconds: int = fixed.NEAR_SECONDS, cents: int = fixed.NEAR_CENTS
+) -> DataFrame:
+    """Orders of one person that lie at most ``seconds`` and ``cents`` apart.
+
+    Orders alike in person, moment and amount are one class, named by its smallest id; a
+    row tells of two classes, or of one with several orders (its largest id comes second),
+    and ``n_pairs`` how many pairs of orders that makes. Moments and amounts fall into bins
+    as wide as the tolerances. A class stands in its own bins and the next ones, and two
+    classes meet in the higher of their bins, so each pair comes up once, and a person with
+    a third of all orders is spread over all bins. Orders without person, moment or amount
+    are compared with nothing.
+    """
+    if seconds < 1 or cents < 1:
+        raise ValueError(f"tolerances are whole numbers of 1 or more: {seconds}, {cents}")
+    who, at, much = "customer_unique_id", "order_purchase_timestamp", "order_total_cents"
+    classes = (
+        orders.where(F.col(who).isNotNull() & F.col(at).isNotNull() & F.col(much).isNotNull())
+        .groupBy(who, at, much)
+        .agg(F.min("order_id").alias("id"), F.max("order_id").alias("last_id"), F.count(F.lit(1)).alias("n"))
+        .withColumn("micros", F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', {at})"))
+    )
+    width = seconds * 1_000_000
+    bins = [
+        F.struct(
+            (F.floor(F.col("micros") / width) + i).alias("t"), (F.floor(F.col(much) / cents) + j).alias("c"),
+            F.lit(i).alias("t_next"), F.lit(j).alias("c_next"),
+        )
+        for i in (0, 1)
+        for j in (0, 1)
+    ]
+    binned = classes.select(who, "micros", F.col(much).alias("amount"), "id", "n", F.explode(F.array(*bins)).alias("b"))
+    a, b = binned.alias("a"), binned.alias("b")
+    meet = (
+        (F.col(f"a.{who}") == F.col(f"b.{who}"))
+        & (F.col("a.b.t") == F.col("b.b.t"))
+        & (F.col("a.b.c") == F.col("b.b.c"))
+        & (F.col("a.b.t_next") + F.col("b.b.t_next") < 2)
+        & (F.col("a.b.c_next") + F.col("b.b.c_next") < 2)
+    )
+    apart, differ = F.col("b.micros") - F.col("a.micros"), F.abs(F.col("b.amount") - F.col("a.amount"))
+    first = (apart > 0) | ((apart == 0) & (F.col("a.amount") < F.col("b.amount")))
+    pairs = a.join(b, meet & first & (apart <= width) & (differ <= cents)).select(
+        F.col(f"a.{who}").alias(who),
+        F.col("a.id").alias("first_order_id"),
+        F.col("b.id").alias("second_order_id"),
+        F.col("a.n").alias("n_first"),
+        F.col("b.n").alias("n_second"),
+        (apart / 1_000_000).alias("seconds_apart"),
+        differ.alias("cents_apart"),
+        (F.col("a.n") * F.col("b.n")).alias("n_pairs"),
+    )
+    alike = classes.where("n > 1").select(
+        who,
+        F.col("id").alias("first_order_id"),
+        F.col("last_id").alias("second_order_id"),
+        F.col("n").alias("n_first"),
+        F.col("n").alias("n_second"),
+        F.lit(0.0).alias("seconds_apart"),
+        F.lit(0).cast("bigint").alias("cents_apart"),
+        F.expr("n * (n - 1) DIV 2").alias("n_pairs"),
+    )
+    return pairs.unionByName(alike)

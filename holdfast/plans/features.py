@@ -100,29 +100,16 @@ def _yes(flag: str) -> Column:
     return F.count_if(F.col(flag))
 
 
-def _order_periods(orders: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
-    """Orders and purchase events of each person and period.
-
-    The previous order tells both at once: an order at the same moment is a cart
-    split and no new event; otherwise the distance is the gap between events.
-    """
+def order_measures() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What orders add up to by themselves: at purchase, and by their outcome."""
     time = "order_purchase_timestamp"
-    rows = with_previous(orders, PERSON, time, ["order_id"])
-    before = F.col("previous")[time]
-    event = before.isNull() | (before < F.col(time))
-    gap = F.when(before < F.col(time), floored_days(before, F.col(time))).cast("bigint")
     delivered = F.col("delivery_status") == "delivered"
     delay = F.when(delivered, F.col("delivery_delay_days")).cast("bigint")
     days = F.when(delivered, F.col("delivery_days")).cast("bigint")
-    rows = rows.withColumn("_event", event).withColumn("_gap", gap)
     purchase = {
         "orders": F.count(F.lit(1)),
         "first_at": F.min(time),
         "last_at": F.max(time),
-        "events": F.count_if("_event"),
-        "gaps": F.count("_gap"),
-        "gap_sum": F.sum("_gap"),
-        "gap_squares": F.sum(F.col("_gap") * F.col("_gap")),
         "valued": F.count("order_total_cents"),
         "revenue": F.sum("order_total_cents"),
         "largest": F.max("order_total_cents"),
@@ -141,6 +128,32 @@ def _order_periods(orders: DataFrame, periods: Periods, strict: bool) -> list[Da
         "review_sum": F.sum("review_score"),
         "negative": F.count_if(F.col("review_score") <= 2),
     }
+    return purchase, outcome
+
+
+def event_measures() -> dict[str, Column]:
+    """Purchase events and the days between them, of rows with ``previous``.
+
+    The previous order tells both at once: an order at the same moment is a cart
+    split and no new event; otherwise the distance is the gap between events.
+    """
+    time = F.col("order_purchase_timestamp")
+    before = F.col("previous.order_purchase_timestamp")
+    gap = F.when(before < time, floored_days(before, time)).cast("bigint")
+    return {
+        "events": F.count_if(before.isNull() | (before < time)),
+        "gaps": F.count(gap),
+        "gap_sum": F.sum(gap),
+        "gap_squares": F.sum(gap * gap),
+    }
+
+
+def _order_periods(orders: DataFrame, periods: Periods, strict: bool) -> list[DataFrame]:
+    """Orders and purchase events of each person and period."""
+    time = "order_purchase_timestamp"
+    rows = with_previous(orders, PERSON, time, ["order_id"])
+    purchase, outcome = order_measures()
+    purchase |= event_measures()
     if not strict:
         return [_per_period(rows, time, periods, **purchase, **outcome)]
     # a delivery can be seen from its date on, a review not before the delivery
@@ -450,11 +463,11 @@ def _item_features(items: DataFrame, periods: Periods) -> DataFrame:
     )
 
 
-def _preferred_payment(orders: DataFrame, periods: Periods) -> DataFrame:
+def _preferred_payment(orders: DataFrame, periods: Periods, amount: Column | None = None) -> DataFrame:
     """Mode over orders of each order's own most frequent payment type, ties to the smallest."""
     typed = orders.where(F.col("payment_type_mode").isNotNull())
     held = _holdings(
-        typed, "order_purchase_timestamp", ["payment_type_mode"], F.lit(1), periods
+        typed, "order_purchase_timestamp", ["payment_type_mode"], F.lit(1) if amount is None else amount, periods
     )
     best = F.min(F.struct((-F.col("held")).alias("r"), F.col("payment_type_mode").alias("v")))["v"]
     return held.groupBy(PERSON, SNAPSHOT).agg(best.alias("preferred_payment_method"))
@@ -479,6 +492,24 @@ def _split_of(day: str, splits: Mapping[datetime, str]) -> Column:
     return F.expr(f"CASE {day} {cases} END")
 
 
+def panel_of(
+    sources: Sequence[DataFrame], parts: set[str], periods: Periods, churn_days: int, strict: bool = False
+) -> DataFrame:
+    """Features and label of each person and snapshot from rows by person and period."""
+    stacked = _stack(sources)
+    tenure = floored_days(F.col("past_first_at"), F.col(SNAPSHOT))
+    return (
+        stacked.repartition(PERSON)
+        .select("*", periods.expanded())
+        .select(*stacked.columns, "_s.*")
+        .groupBy(PERSON, SNAPSHOT)
+        .agg(*_window_aggregates(parts, strict))
+        .where("past_orders > 0")
+        .withColumn("_tenure", F.greatest(tenure, F.lit(1)))
+        .select(PERSON, SNAPSHOT, *_features(churn_days, parts))
+    )
+
+
 def snapshot_features(
     snapshots: Sequence[datetime],
     order_summary: DataFrame,
@@ -513,18 +544,7 @@ def snapshot_features(
         if table is not None:
             parts.add(name)
             sources += build(table, periods, strict_as_of)
-    stacked = _stack(sources)
-    tenure = floored_days(F.col("past_first_at"), F.col(SNAPSHOT))
-    panel = (
-        stacked.repartition(PERSON)
-        .select("*", periods.expanded())
-        .select(*stacked.columns, "_s.*")
-        .groupBy(PERSON, SNAPSHOT)
-        .agg(*_window_aggregates(parts, strict_as_of))
-        .where("past_orders > 0")
-        .withColumn("_tenure", F.greatest(tenure, F.lit(1)))
-        .select(PERSON, SNAPSHOT, *_features(churn_days, parts))
-    )
+    panel = panel_of(sources, parts, periods, churn_days, strict_as_of)
     if splits is not None:
         panel = assign_splits(panel, splits)
     if geography is not None:

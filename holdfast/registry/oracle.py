@@ -542,6 +542,8 @@ def _top(k: int, effect: float, cost: float) -> str:
 MEDIANS = ["days_since_last_purchase", "lifetime_orders", "lifetime_revenue", "purchase_gap_mean",
             "average_delivery_delay", "recent_90d_revenue"]
 DRIFT = fixed.NUMERIC_FEATURES
+#: tolerances between order dates, which are whole days, and order totals
+NEAR = {"seconds": 3 * 86_400, "cents": 5_000_000}
 NULL_COLUMNS = GROUPS["snapshot_features_full"]
 DRIFT_DAYS = (standin.MAX_VALID_DATE, standin.SNAPSHOTS[-1])
 
@@ -761,6 +763,17 @@ def oracle_sql() -> dict[str, str]:
     out["same_day_summary"] = _with(f"{_BASE}, {_PAIRS}", f"""
       SELECT count(*) AS n_pairs, count(*) FILTER (WHERE prev_ts = ts) AS n_same_timestamp,
         {_pct('count(*) FILTER (WHERE prev_ts = ts)', 'count(*)')} AS same_timestamp_pct FROM pairs""")
+    out["near_identical_orders"] = _with(f"""{_BASE},
+      class AS (
+        SELECT cust, ts, total_c, count(*) AS n, min(order_id) AS lo, max(order_id) AS hi
+        FROM ord JOIN order_value USING (order_id) GROUP BY 1, 2, 3)""", f"""
+      SELECT a.cust AS customer_unique_id, a.lo AS first_order_id, b.lo AS second_order_id, a.n AS n_first,
+        b.n AS n_second, CAST(epoch(b.ts) - epoch(a.ts) AS DOUBLE) AS seconds_apart,
+        CAST(abs(b.total_c - a.total_c) AS BIGINT) AS cents_apart, a.n * b.n AS n_pairs
+      FROM class a JOIN class b ON a.cust = b.cust AND (a.ts < b.ts OR a.ts = b.ts AND a.total_c < b.total_c)
+        AND epoch(b.ts) - epoch(a.ts) <= {NEAR["seconds"]} AND abs(b.total_c - a.total_c) <= {NEAR["cents"]}
+      UNION ALL
+      SELECT cust, lo, hi, n, n, 0.0, 0, n * (n - 1) // 2 FROM class WHERE n > 1""")
     out["events_as_of"] = """
       SELECT e.event_id, e.user_id, b.o_orderkey AS before_order_id, b.o_orderdate AS before_at,
         a.o_orderkey AS after_order_id, a.o_orderdate AS after_at
@@ -842,6 +855,7 @@ def oracle_sql() -> dict[str, str]:
     # snapshot features
     for name, columns in GROUPS.items():
         out[name] = _with(f"{_BASE}, {_FEAT}", f"SELECT customer_unique_id, snapshot_date, split, {_columns(columns)} FROM feat")
+    out["incremental_features"] = out["snapshot_features_full"]
     out["snapshot_strict"] = _with(f"{_BASE}, {_feat(_SNAPS, strict=True)}", f"""
       SELECT customer_unique_id, snapshot_date, split, {_columns([*GROUPS["snapshot_delivery"], "average_review_score",
         "negative_review_rate", "review_trend_90d", *GROUPS["snapshot_support"], "lifetime_orders"])} FROM feat""")

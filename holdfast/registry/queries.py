@@ -28,6 +28,7 @@ from holdfast.plans import (
     quarantine,
     scenario,
     staging,
+    store,
     value,
 )
 from holdfast.registry.oracle import (
@@ -38,6 +39,7 @@ from holdfast.registry.oracle import (
     GROUPS,
     INTERCEPT,
     MEDIANS,
+    NEAR,
     NULL_COLUMNS,
     TERMS,
 )
@@ -389,6 +391,13 @@ def same_day_summary(spark, folder):
     return audit.same_day_summary(audit.same_day_pairs(_resolved(spark, folder)))
 
 
+@query
+def near_identical_orders(spark, folder):
+    """Order dates of the tables are whole days, so a day is the least step."""
+    orders = _base(spark, folder).order_summary()
+    return audit.near_identical_orders(orders, NEAR["seconds"], NEAR["cents"])
+
+
 @query
 def events_as_of(spark, folder):
     """Each log entry with its user's latest view before it and earliest order placed after it."""
@@ -560,6 +569,27 @@ def snapshot_strict(spark, folder):
     )
 
 
+@query
+def incremental_features(spark, folder):
+    """All features from a store that got its rows in three batches, the last one late."""
+    base = _base(spark, folder)
+    orders, items, tickets = base.order_summary(), base.item_summary(), base.raw["tickets"]
+    late = F.col("order_id") % 10 == 3
+    early = F.col("order_purchase_timestamp") < moment(standin.SNAPSHOTS[1])
+    kept = store.FeatureStore(spark, fresh_path(spark, "store"))
+    opened = F.col("created_at") < moment(standin.SNAPSHOTS[1])
+    kept.add(
+        "early", orders.where(early & ~late), items.where(early & ~late), tickets.where(opened), base.raw["campaigns"]
+    )
+    kept.add(
+        "next", orders.where(~early & ~late), items.where(~early & ~late), tickets.where(~opened),
+        interventions=base.raw["interventions"],
+    )
+    kept.add("late", orders.where(late), items.where(late))
+    panel = kept.features(standin.SNAPSHOTS, standin.SPLITS, base.geography())
+    return panel.select(*KEYS, "split", *GROUPS["snapshot_features_full"])
+
+
 @query
 def split_assignment(spark, folder):
     return _panel(spark, folder).select(*KEYS, "split")
