@@ -191,6 +191,8 @@ def mix(docs: DataFrame, seed: int = 13, weight: str | None = None) -> DataFrame
         )
         .withColumnRenamed("_mix_row", "_mix_of")
     )
+    # met twice below
+    choice = stored(choice, "mix-choice")
     rows = docs.withColumn("_mix_row", _row_hash(docs)).join(choice, F.col("_mix_row") == F.col("_mix_of"))
     # alike rows share what they take; all or none get an extra copy but where a target ends
     some = F.col("_mix_cut").isNotNull() | ((F.col("_mix_whole") > 0) & (F.col("_mix_whole") < F.col("_mix_n")))
