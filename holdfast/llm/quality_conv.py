@@ -1,14 +1,15 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 Each text is cut into overlapping chunks that cover all of its bytes. Learned filters over
-byte embeddings slide over every chunk, their strongest response per chunk is kept
+byte embeddings slide over every chunk byte by byte, their strongest response per chunk is kept
 (max pooling), and a small dense layer combines the largest and the mean response over all
-chunks, and the length (a short text fires few filters), into one probability. Work per text is linear in its bytes, memory is bounded by a
-block of chunks.
+chunks, and the length (a short text fires few filters), into one probability. Work per text
+is linear in its bytes, memory is bounded by a block of chunks, however long a text is.
 
 Null texts count as empty; an empty text is one chunk of padding and gets a score too.
 Rows with equal texts get equal scores; no other column is an input, and the other columns
-of the input pass through untouched (``score`` and ``predicted`` are replaced).
+of the input pass through untouched (``score`` and ``predicted`` are replaced). Empty
+documents give an empty result; without labels the score is one half.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ from holdfast.llm.common import fitted, held_out, labelled_sample, map_arrow, te
 CHUNK = 512
 OVERLAP = 64
 WIDTH = 8
-STRIDE = 4
 DEPTH = 8
+PADDING = np.int16(256)
 FILTERS = 48
 HIDDEN = 24
 #: chunks per block: bounds the memory of a task
-BLOCK = 256
+BLOCK = 16
 #: labelled texts of each class that training sees at the most
 PER_CLASS = 4000
 EPOCHS = 6
@@ -62,26 +63,36 @@ def chunks(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return offsets[text] + start, np.minimum(CHUNK, sizes[text] - start), text
 
 
-def windows(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Symbols of the filter windows of some chunks: chunk, window, position."""
+def symbols_of(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bytes of some chunks, one chunk a row; what a chunk lacks is padding."""
     at = np.arange(CHUNK)
     inside = at < length[:, None]
-    if len(raw):
-        symbols = np.where(inside, raw[np.minimum(start[:, None] + at, len(raw) - 1)], 256)
-    else:
-        symbols = np.full((len(start), CHUNK), 256)
-    view = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int16), WIDTH, axis=1)
-    return view[:, ::STRIDE]
+    if not len(raw):
+        return np.full(inside.shape, PADDING)
+    # PADDING has a wider type than a byte, so the symbols have it too
+    return np.where(inside, raw[np.minimum(start[:, None] + at, len(raw) - 1)], PADDING)
 
 
-def pooled(net: Network, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Strongest response of each filter in each chunk, its window, and the embedded windows."""
-    n, w, _ = symbols.shape
-    x = net.embedding[symbols].reshape(n * w, WIDTH * DEPTH)
-    h = (x @ net.filters + net.bias).reshape(n, w, FILTERS)
-    best = h.argmax(axis=1)
-    top = np.maximum(np.take_along_axis(h, best[:, None], axis=1)[:, 0], 0)
-    return top, best, x
+def responses(net: Network, symbols: np.ndarray) -> np.ndarray:
+    """Response of each filter at each byte position of each chunk: filter, chunk, position."""
+    flat = net.embedding[symbols].reshape(len(symbols), CHUNK * DEPTH)
+    view = np.lib.stride_tricks.sliding_window_view(flat, WIDTH * DEPTH, axis=1)[:, ::DEPTH]
+    # positions lie side by side, so that the pooling reads memory in order
+    return (net.filters.T @ view.reshape(-1, WIDTH * DEPTH).T).reshape(FILTERS, len(symbols), -1)
+
+
+def pooled(net: Network, symbols: np.ndarray) -> np.ndarray:
+    """Strongest response of each filter in each chunk."""
+    return np.maximum(responses(net, symbols).max(axis=2).T + net.bias, 0)
+
+
+def winners(net: Network, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strongest response of each filter in each chunk, and the bytes it answers to."""
+    h = responses(net, symbols)
+    best = h.argmax(axis=2)
+    top = np.take_along_axis(h, best[:, :, None], axis=2)[:, :, 0]
+    seen = np.take_along_axis(symbols[:, None], best.T[:, :, None] + np.arange(WIDTH), axis=2)
+    return np.maximum(top.T + net.bias, 0), seen
 
 
 def features(net: Network, offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -90,7 +101,7 @@ def features(net: Network, offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
     tops = np.empty((len(start), FILTERS), np.float32)
     for at in range(0, len(start), BLOCK):
         part = slice(at, at + BLOCK)
-        tops[part] = pooled(net, windows(raw, start[part], length[part]))[0]
+        tops[part] = pooled(net, symbols_of(raw, start[part], length[part]))
     first = np.flatnonzero(np.diff(text, prepend=-1))
     count = np.diff(np.append(first, len(text)))
     return np.hstack(
@@ -162,9 +173,7 @@ def _gradients(p: dict, offsets: np.ndarray, raw: np.ndarray, y: np.ndarray, wei
     won = np.empty((len(start), FILTERS, WIDTH), np.int16)
     for at in range(0, len(start), BLOCK):
         part = slice(at, at + BLOCK)
-        symbols = windows(raw, start[part], length[part])
-        tops[part], best, _ = pooled(net, symbols)
-        won[part] = np.take_along_axis(symbols, best[:, :, None], axis=1)
+        tops[part], won[part] = winners(net, symbols_of(raw, start[part], length[part]))
     first = np.flatnonzero(np.diff(text, prepend=-1))
     count = np.diff(np.append(first, len(text))).astype(np.float32)
     high = np.maximum.reduceat(tops, first)

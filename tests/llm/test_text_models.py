@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import pytest
@@ -65,6 +66,57 @@ def test_chunks_cover_every_byte():
         assert all(b[0] < a[0] + a[1] for a, b in zip(own, own[1:], strict=False))
 
 
+def plain_probability(net, text):
+    """The network on one text, number by number."""
+    data = text.encode()
+    pooled = []
+    for start in range(0, max(1, len(data) - quality_conv.OVERLAP), quality_conv.CHUNK - quality_conv.OVERLAP):
+        chunk = list(data[start : start + quality_conv.CHUNK])
+        chunk += [256] * (quality_conv.CHUNK - len(chunk))
+        row = []
+        for f in range(quality_conv.FILTERS):
+            taps = net.filters[:, f].reshape(quality_conv.WIDTH, quality_conv.DEPTH)
+            answer = {b: [float(net.embedding[b] @ tap) for tap in taps] for b in set(chunk)}
+            row.append(
+                max(
+                    0.0,
+                    max(
+                        sum(answer[chunk[at + k]][k] for k in range(quality_conv.WIDTH)) + float(net.bias[f])
+                        for at in range(quality_conv.CHUNK - quality_conv.WIDTH + 1)
+                    ),
+                )
+            )
+        pooled.append(row)
+    high = [max(c) for c in zip(*pooled, strict=True)]
+    mean = [sum(c) / len(pooled) for c in zip(*pooled, strict=True)]
+    size = [min(math.log1p(len(data)) / 6, 1.0), min(len(data) / quality_conv.CHUNK, 1.0)]
+    inputs = [*high, *mean, *size]
+    units = [
+        max(0.0, sum(x * float(w) for x, w in zip(inputs, net.hidden[:, u], strict=True)) + float(net.shift[u]))
+        for u in range(quality_conv.HIDDEN)
+    ]
+    return 1 / (1 + math.exp(-(sum(u * w for u, w in zip(units, net.weights, strict=True)) + net.offset)))
+
+
+def test_quality_equals_plain_loops_at_every_alignment(docs):
+    net = quality_conv.fit([(t, 1) for t in GOOD] + [(t, 0) for t in BAD])
+    texts = ["", "a", GOOD[3], "x" + GOOD[3], "xyz" + BAD[5], "é" * 300, (GOOD[7] + " " + BAD[2]) * 9, "q" * 512, "q" * 513, "q" * 961]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(90, None, "s"), (91, texts[6], "s")]
+    got = {r["doc_id"]: r["score"] for r in quality_conv.score(docs(rows), net).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain_probability(net, t), abs=1e-4)
+    assert got[90] == pytest.approx(got[0], abs=1e-6) and got[91] == pytest.approx(got[6], abs=1e-6)
+
+
+def test_quality_threshold_on_held_out_texts(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rows = op1_quality_conv(spark, SF).where("held_out").join(labels, "doc_id").collect()
+    ones = [r for r in rows if r["quality"] == 1]
+    chosen = [r for r in rows if r["predicted"] == 1]
+    assert sum(r["predicted"] for r in ones) >= 0.95 * len(ones)
+    assert sum(r["quality"] for r in chosen) >= 0.95 * len(chosen)
+
+
 def grammar():
     g = toxicity.Grammar()
     g.words["idiot"] = ("insult", 1.0)
