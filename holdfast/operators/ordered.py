@@ -185,12 +185,18 @@ def percentile_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     )
 
 
+def descending_sums(df: DataFrame, value: str, amount: str) -> DataFrame:
+    """Counts and sums of ``amount`` along ``value``, largest first: serves ``top_k`` and ``leading_sums``."""
+    return prefix(df, value, sums={"amount": F.sum(amount)}, descending=True)
+
+
 def leading_sums(
     df: DataFrame,
     value: str,
     takes: dict[str, Column | int],
     amount: str | None = None,
     name: str = "ask",
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """Sum over the largest values for each entry of ``takes``, a label and a row count.
 
@@ -198,6 +204,7 @@ def leading_sums(
     label as ``name``, ``take``, ``taken`` (never more than there are rows),
     ``taken_sum``, ``total_n`` and ``total_sum``. ``amount`` must be a function of ``value``:
     rows tied at a cut are then interchangeable in the sum, so no tiebreak is needed.
+    ``ranked`` is ``descending_sums`` of the same rows, where the caller has it already.
     """
     amount = amount or value
     counts = {k: t if isinstance(t, Column) else F.lit(int(t)) for k, t in takes.items()}
@@ -206,7 +213,8 @@ def leading_sums(
             *[F.struct(F.lit(k).alias(name), t.cast("bigint").alias("take")) for k, t in counts.items()]
         )
     ).alias("_a")
-    ranked = prefix(df, value, sums={"amount": F.sum(amount)}, descending=True)
+    if ranked is None:
+        ranked = descending_sums(df, value, amount)
 
     def cuts(take: Column) -> Column:
         return (F.col("before_n") < take) & (take <= F.col("before_n") + F.col("n"))
@@ -242,15 +250,16 @@ def leading_sums(
     )
 
 
-def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
+def top_k(df: DataFrame, value: str, key: str, k: int, ranked: DataFrame | None = None) -> DataFrame:
     """The ``k`` rows with the largest ``value``, ties to the smallest unique ``key``, in that order.
 
     The cut is found by rank and the rows above it are a plain filter, so no number of rows
-    gathers in one task or on the driver. Rows without a value come last.
+    gathers in one task or on the driver. Rows without a value come last. ``ranked`` is a
+    descending ``prefix`` of the same rows, where the caller has it already.
     """
     if k <= 0:
         return df.where(F.lit(False))
-    rank = prefix(df, value, descending=True)
+    rank = prefix(df, value, descending=True) if ranked is None else ranked
     cut = rank.where((F.col("before_n") < k) & (k <= F.col("before_n") + F.col("n"))).first()
     if cut is None:
         missing = df.where(F.col(value).isNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -58,6 +59,17 @@ def behavior_summary(
     )
 
 
+def revenue_summary(resolved: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per person with the revenue of ``behavior_summary`` alone, which tiers and costs
+    ask for: no reviews, payments or medians. Written once."""
+    return settle(
+        resolved.select("order_id", "customer_unique_id")
+        .join(order_values(items), "order_id", "left")
+        .groupBy("customer_unique_id")
+        .agg(F.sum(F.coalesce("order_total_cents", F.lit(0))).alias("revenue_cents"))
+    )
+
+
 def revenue_percentile(behavior: DataFrame) -> DataFrame:
     """Adds the average percentile rank of revenue."""
     return percentile_rank(behavior, "revenue_cents", "revenue_percentile")
@@ -93,8 +105,8 @@ def value_tiers(ranked: DataFrame) -> DataFrame:
     )
 
 
-def customer_costs(behavior: DataFrame, tickets: DataFrame) -> DataFrame:
-    """Support, service and processing cost per person."""
+def customer_costs(behavior: DataFrame, tickets: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Support, service and processing cost per person, beside the columns to ``keep``."""
     hours = tickets.groupBy("customer_unique_id").agg(
         F.sum(F.col("resolution_hours").cast("double")).alias("hours")
     )
@@ -107,6 +119,7 @@ def customer_costs(behavior: DataFrame, tickets: DataFrame) -> DataFrame:
         .withColumn("_support", support)
         .select(
             "customer_unique_id",
+            *keep,
             from_cents(F.col("_support")).alias("support_cost"),
             from_cents(service).alias("annual_service_cost"),
             from_cents(processing).alias("estimated_processing_cost"),

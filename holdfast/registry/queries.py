@@ -850,18 +850,15 @@ def _risk(spark, folder, tiers: bool = True) -> DataFrame:
     base = _base(spark, folder)
     raw = base.raw
     scored = _with_score(value.scoring_snapshot(raw, standin.MAX_VALID_DATE, parts=()))
-    people = behavior.behavior_summary(
-        base.resolved, raw["items"], raw["payments"], raw["reviews"], voucher="A"
-    )
-    segments = behavior.value_tiers(behavior.revenue_percentile(people)).select(
-        "customer_unique_id", "segment"
-    )
-    costs = behavior.customer_costs(people, raw["tickets"]).select(
-        "customer_unique_id", "support_cost"
+    people = behavior.revenue_summary(base.resolved, raw["items"])
+    placed = behavior.value_tiers(behavior.revenue_percentile(people))
+    # one table per person: it is written, checked and joined once
+    extra = behavior.customer_costs(placed, raw["tickets"], keep=["segment"]).select(
+        "customer_unique_id", "segment", "support_cost"
     )
     if not tiers:
-        return value.revenue_at_risk(scored, segments, costs)
-    return value.score_customers(scored, segments, costs)
+        return value.revenue_at_risk(scored, extra)
+    return value.score_customers(scored, extra)
 
 
 @query

@@ -97,6 +97,17 @@ def test_top_k_in_order(df, values, k):
     assert got == values.sort_values(["v", "id"], ascending=[False, True]).head(k)["id"].tolist()
 
 
+@pytest.mark.parametrize("k", [1, 37, 400, 500])
+def test_one_table_of_sums_serves_both(df, k):
+    ranked = ordered.descending_sums(df, "v", "v")
+    rows = lambda x: [tuple(r) for r in x.collect()]
+    assert rows(ordered.top_k(df, "v", "id", k, ranked)) == rows(ordered.top_k(df, "v", "id", k))
+    takes = {"some": k, "all": 1_000}
+    given = ordered.leading_sums(df, "v", takes, ranked=ranked)
+    for a, b in zip(sorted(rows(given)), sorted(rows(ordered.leading_sums(df, "v", takes))), strict=True):
+        assert a == pytest.approx(b)
+
+
 def test_top_k_takes_missing_values_last(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, None), (4, 7.0)], "id INT, v DOUBLE")
     assert [r["id"] for r in ordered.top_k(df, "v", "id", 3).collect()] == [4, 2, 1]

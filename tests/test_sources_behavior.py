@@ -119,6 +119,24 @@ def test_event_window_ignores_the_last_purchase(people):
     assert a == b and {r["window_days"] for r in a} == {607}
 
 
+def test_revenue_alone_equals_the_behaviour_summary_and_costs_keep_columns(spark):
+    stamp = datetime(2018, 1, 1)
+    resolved = spark.createDataFrame(
+        [("o1", "a", stamp, 3, False), ("o2", "a", stamp, None, None), ("o3", "b", stamp, 4, True)],
+        "order_id STRING, customer_unique_id STRING, order_purchase_timestamp TIMESTAMP_NTZ, delivery_days INT, late_delivery_outlier BOOLEAN",
+    )
+    items = spark.createDataFrame(
+        [("o1", 10.25, 1.0), ("o1", 5.0, None), ("o3", None, 2.5), ("o9", 7.0, 0.0)], "order_id STRING, price DOUBLE, freight_value DOUBLE"
+    )
+    got = behavior.revenue_summary(resolved, items)
+    rows = {r["customer_unique_id"]: r["revenue_cents"] for r in got.collect()}
+    assert rows == {"a": 1625, "b": 250}
+    none = spark.createDataFrame([], "customer_unique_id STRING, resolution_hours DOUBLE")
+    kept = behavior.customer_costs(got.withColumn("segment", F.lit("s")), none, keep=["segment"]).collect()
+    assert {(r["customer_unique_id"], r["segment"], r["support_cost"]) for r in kept} == {("a", "s", 0.0), ("b", "s", 0.0)}
+    assert behavior.revenue_summary(resolved.limit(0), items).count() == 0
+
+
 def test_costs_and_lapsed(spark, people):
     tickets = spark.createDataFrame([("c2", 4.0), ("c2", 6.0)], "customer_unique_id STRING, resolution_hours DOUBLE")
     rows = {r["customer_unique_id"]: r for r in behavior.customer_costs(people, tickets).collect()}
