@@ -43,4 +43,4 @@ def test_stages_take_effect_one_after_the_other(spark, monkeypatch):
 
 def test_every_operator_has_one_query():
     names = sorted(queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
