@@ -162,8 +162,8 @@ class FeatureStore:
         items, payments = (self._read(t) for t in ("items", "payments"))
         if items is not None:
             extra = features._item_features(items.withColumnRenamed(DAY, TIME), periods)
-            panel = panel.join(extra, [PERSON, features.SNAPSHOT], "left")
+            panel = features.with_entries(panel, extra, periods)
         if payments is not None:
             extra = features._preferred_payment(payments.withColumnRenamed(DAY, TIME), periods, F.col("n"))
-            panel = panel.join(extra, [PERSON, features.SNAPSHOT], "left")
+            panel = features.with_entries(panel, extra, periods)
         return panel
