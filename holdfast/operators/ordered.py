@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,7 +113,11 @@ def quantiles(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``by``, ``probability``, ``quantile``."""
-    ranked = prefix(df, value, by)
+    return _picked(prefix(df, value, by), value, probabilities, by)
+
+
+def _picked(ranked: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles from distinct values with ``n``, ``before_n`` and ``total_n``."""
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     position = (F.col("total_n") - 1) * F.col("probability")
     low, high = F.floor(position), F.ceil(position)
@@ -151,23 +156,67 @@ def quantile_list(df: DataFrame, value: str, probabilities: Sequence[float]) ->
     return [found.get(float(p)) for p in probabilities]
 
 
+#: a quantile sketch misses ranks by at most one in so many
+ACCURACY = 10000
+
+
+def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), between=None) -> DataFrame:
+    """``by, feature, value``: a row per column, or per column whose value is in its bracket."""
+    pairs = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        pair = F.struct(F.lit(c).alias("feature"), v.alias("value"))
+        low, high = between[c] if between else (None, None)
+        pairs.append(F.when((v >= F.lit(low)) & (v <= F.lit(high)), pair) if between else pair)
+    cells = F.array_compact(F.array(*pairs)) if between else F.array(*pairs)
+    return df.select(*by, F.explode(cells).alias("p")).select(*by, "p.feature", "p.value")
+
+
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Exact median of each column in long form: ``by``, ``feature``, ``median``.
 
     All columns share one pass. NULLs are skipped; a column without values has no row.
+    Without ``by``, quantile sketches first give each column a bracket around its median;
+    only values inside are ranked, behind the number of those below. ``df`` is then read
+    several times: pass a stored table, not a plan.
     """
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-                for c in columns
-            ]
+    columns = list(columns)
+    if by:
+        return _medians_of(quantiles(_long(df, columns, by), "value", [0.5], [*by, "feature"]), by)
+    shares = [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
+    values = [F.col(c).cast("double") for c in columns]
+    edges = df.agg(*[F.percentile_approx(v, shares, ACCURACY).alias(f"q{i}") for i, v in enumerate(values)]).first()
+    known = {c: edges[f"q{i}"] for i, c in enumerate(columns) if edges[f"q{i}"]}
+    seen = df.agg(
+        F.count(F.lit(1)),
+        *[
+            e.alias(f"{name}_{i}")
+            for i, (c, v) in enumerate(zip(columns, values))
+            if c in known
+            for name, e in (
+                ("n", F.count(v)), ("low", F.count_if(v < F.lit(known[c][0]))), ("high", F.count_if(v <= F.lit(known[c][1])))
+            )
+        ],
+    ).first()
+    counts = {c: (seen[f"n_{i}"], seen[f"low_{i}"], seen[f"high_{i}"]) for i, c in enumerate(columns) if c in known}
+    # the ranks needed, from 0, must lie inside; a column where they do not is ranked as a whole
+    held = {c: known[c] for c, (n, low, high) in counts.items() if low <= (n - 1) // 2 and n // 2 < high}
+    rest = [c for c in columns if c not in held and c in known]
+    parts = []
+    if held:
+        ranked = prefix(_long(df, held, between=held), "value", ["feature"])
+        total, below = (
+            F.create_map(*[F.lit(x) for c in held for x in (c, counts[c][k])])[F.col("feature")] for k in (0, 1)
         )
-    ).alias("p")
-    long = df.select(*by, pairs).select(*by, "p.feature", "p.value")
-    return quantiles(long, "value", [0.5], [*by, "feature"]).select(
-        *by, "feature", F.col("quantile").alias("median")
-    )
+        moved = ranked.withColumns({"before_n": F.col("before_n") + below, "total_n": total})
+        parts.append(_medians_of(_picked(moved, "value", [0.5], ["feature"])))
+    if rest or not held:
+        parts.append(_medians_of(quantiles(_long(df, rest or columns), "value", [0.5], ["feature"])))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _medians_of(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return found.select(*by, "feature", F.col("quantile").alias("median"))
 
 
 def percentile_rank(df: DataFrame, value: str, name: str) -> DataFrame:
