@@ -193,3 +193,13 @@ def test_wide_logistic_equals_one_column_per_value(spark, shopping):
     assert by_value.keys() == listed.keys() and by_value == pytest.approx(listed, abs=1e-3)
     unseen = spark.createDataFrame([(1, 2.0, "X", "elsewhere", 1, 0)], shopping.schema)
     assert 0 < model.score(fits[100][0], unseen).first()[model.SCORE] < 1
+
+
+def test_rows_lie_in_blocks_and_only_the_lighter_sibling_is_summed(shopping, monkeypatch):
+    asked, tables = [], []
+    scan, boost = boosting._scan, boosting.boost
+    monkeypatch.setattr(boosting, "_scan", lambda *a: asked.append((len(a[3].inputs), len(a[7]))) or scan(*a))
+    monkeypatch.setattr(boosting, "boost", lambda rows, *a: tables.append(rows.count()) or boost(rows, *a))
+    trees = trained(shopping, 100, Settings(rounds=2, child_weight=2.0))[3][1]
+    assert trees and tables[0] < 100  # blocks of 600 rows
+    assert all(n <= max(1, 1 << level - 1) if level else n == 1 for level, n in asked)

@@ -202,3 +202,15 @@ def test_strict_features_ignore_what_became_known_later(spark, small):
     assert loose["c1"]["pct_tickets_resolved"] == 0.5
     money = ["lifetime_revenue", "lifetime_orders", "orders_last_90_days", "days_since_last_purchase", "churned"]
     assert all(strict[c][m] == loose[c][m] for c in strict for m in money)
+
+
+def test_only_moments_are_ordered_and_entries_come_by_person(small, monkeypatch):
+    asked, find = [], features.with_previous
+    monkeypatch.setattr(features, "with_previous", lambda df, *a: asked.append(df.columns) or find(df, *a))
+    days = list(fixed.SNAPSHOTS)
+    features.snapshot_features(days, small["order_summary"])
+    assert asked == [[features.PERSON, "order_purchase_timestamp"]]
+    payments = features._preferred_payment(small["order_summary"], features.Periods(days))
+    persons = [r[features.PERSON] for r in payments.collect()]
+    assert persons and len(persons) == len(set(persons))
+    assert all(len(r["_entries"]) == len(days) for r in payments.collect())

@@ -157,3 +157,18 @@ def test_seeded_sample_repeats(df):
     first = [r["id"] for r in ordered.seeded_sample(df, "id", 20).collect()]
     again = [r["id"] for r in ordered.seeded_sample(df.repartition(3), "id", 20).collect()]
     assert first == again and len(first) == 20
+
+
+def test_medians_rank_only_values_near_the_middle(spark, monkeypatch):
+    from holdfast.operators import ordered
+
+    ranked, prefix = [], ordered.prefix
+    monkeypatch.setattr(ordered, "prefix", lambda df, *a, **k: ranked.append(df.count()) or prefix(df, *a, **k))
+    df = spark.range(40001).selectExpr(
+        "CAST(id * 7919 % 40001 AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, id) AS b", "id % 2 AS c", "CAST(NULL AS DOUBLE) AS d",
+        "IF(id < 20001, -1.5D, id) AS e", "IF(id < 2, id, NULL) AS f",
+    ).cache()
+    got = {r["feature"]: r["median"] for r in ordered.medians(df, list("abcdef")).collect()}
+    assert got == {"a": 20000.0, "b": 20000.0, "c": 0.0, "e": -1.5, "f": 0.5}
+    # c and e have few values and bring all rows of those in the middle; nothing else but its middle
+    assert sum(ranked) < 3 * 20001 + 400
