@@ -8,9 +8,10 @@ the time axis into *periods*, so that each window is a run of whole periods.
 1. Each source shrinks to one row per person and period. The map side combines,
    so a person with a third of all orders still arrives as a few dozen rows.
 2. The rows of all sources are stacked and exchanged once, by person.
-3. In place, each row meets every snapshot (an array literal, no join), and one
-   aggregate adds up the periods each window covers: past ones for features,
-   later ones for the label. Nothing else is exchanged.
+3. In place, the rows of all sources first become one row per person and period. Each of
+   these meets every snapshot (an array literal, no join), and one aggregate adds up the
+   periods each window covers: past ones for features, later ones for the label. Nothing
+   else is exchanged.
 
 Only counts, whole-day sums, cents, minima and maxima travel, all mergeable and
 exact. Categories, sellers and payment types are not additive over time: they add up
@@ -329,6 +330,16 @@ _EXTREMES = {
 }
 
 
+#: measures that merge as minimum or maximum; all others are sums
+EXTREMES = {"first_at": F.min, "last_at": F.max, "largest": F.max, "touched_at": F.max}
+
+
+def merged(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per ``keys``; all other columns are measures."""
+    measures = [EXTREMES.get(c, F.sum)(c).alias(c) for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*measures) if measures else rows.select(*keys).distinct()
+
+
 def _window_aggregates(parts: set[str], strict: bool) -> list[Column]:
     """One aggregate per window and measure, named like ``past_revenue``."""
     out = []
@@ -444,15 +455,15 @@ def _holdings(
 def _per_person(held: DataFrame, periods: Periods, entry) -> DataFrame:
     """One row per person, ``_entries`` with what ``entry`` makes of the holdings at each snapshot.
 
-    ``held`` has a row per person and value, so what one person brings is bounded by the
-    number of values; nothing is left to combine before the exchange.
+    ``held`` is dealt by person and has at most a row per person and value, so what one
+    person brings is bounded by the number of values.
     """
     found = [entry(f"_h{i}") for i in range(len(periods.snapshots))]
     aggregates = [c.alias(f"_e{i}_{n}") for i, (parts, _) in enumerate(found) for n, c in parts.items()]
     made = [
         finish(lambda n, i=i: F.col(f"_e{i}_{n}")) for i, (_, finish) in enumerate(found)
     ]
-    return held.repartition(PERSON).groupBy(PERSON).agg(*aggregates).select(PERSON, F.array(*made).alias("_entries"))
+    return held.groupBy(PERSON).agg(*aggregates).select(PERSON, F.array(*made).alias("_entries"))
 
 
 def _item_features(items: DataFrame, periods: Periods) -> DataFrame:
@@ -469,14 +480,21 @@ def _item_features(items: DataFrame, periods: Periods) -> DataFrame:
     held = _holdings(
         rows, "order_purchase_timestamp", ["kind", "id"], F.col("price_cents"), periods
     )
+    # nothing is left to combine before the exchange; behind it each kind of a person becomes one row,
+    # so the wide aggregate by person below reads at most three
     named = held.withColumn("kind", F.when(F.col("id").isNotNull(), F.col("kind"))).drop("id")
+    sums = []
+    for i in range(len(periods.snapshots)):
+        spent = F.col(f"_h{i}").cast("double")
+        sums += [F.count(f"_h{i}").alias(f"_h{i}_n"), F.sum(spent).alias(f"_h{i}_sum"), F.sum(spent * spent).alias(f"_h{i}_squares")]
+    kindly = named.repartition(PERSON).groupBy(PERSON, "kind").agg(*sums)
 
     def entry(h: str):
-        parts = {"any": F.count(h)}
+        parts = {"any": F.sum(f"{h}_n")}
         for kind in ("c", "s"):
-            mine = (F.col("kind") == kind) & F.col(h).isNotNull()
-            spent = F.when(mine, F.col(h).cast("double"))
-            parts |= {f"{kind}_n": F.count_if(mine), f"{kind}_sum": F.sum(spent), f"{kind}_squares": F.sum(spent * spent)}
+            mine = F.col("kind") == kind
+            parts[f"{kind}_n"] = F.coalesce(F.sum(F.when(mine, F.col(f"{h}_n"))), F.lit(0))
+            parts |= {f"{kind}_{m}": F.sum(F.when(mine, F.col(f"{h}_{m}"))) for m in ("sum", "squares")}
 
         def finish(of) -> Column:
             def focus(kind: str) -> Column:
@@ -494,7 +512,7 @@ def _item_features(items: DataFrame, periods: Periods) -> DataFrame:
 
         return parts, finish
 
-    return _per_person(named, periods, entry)
+    return _per_person(kindly, periods, entry)
 
 
 def _preferred_payment(orders: DataFrame, periods: Periods, amount: Column | None = None) -> DataFrame:
@@ -509,7 +527,7 @@ def _preferred_payment(orders: DataFrame, periods: Periods, amount: Column | Non
         best = F.min(F.when(F.col(h).isNotNull(), mine))
         return {"best": best}, lambda of: F.struct(of("best")["v"].alias("preferred_payment_method"))
 
-    return _per_person(held, periods, entry)
+    return _per_person(held.repartition(PERSON), periods, entry)
 
 
 def with_entries(panel: DataFrame, extra: DataFrame, periods: Periods) -> DataFrame:
@@ -546,10 +564,12 @@ def panel_of(
 ) -> DataFrame:
     """Features and label of each person and snapshot from rows by person and period."""
     stacked = _stack(sources)
+    keys = [c for c in (PERSON, "_period", "_known") if c in stacked.columns]
+    # as many rows meet the snapshots as a person has periods, however many sources there are
+    together = merged(stacked.repartition(PERSON), keys)
     tenure = floored_days(F.col("past_first_at"), F.col(SNAPSHOT))
     return (
-        stacked.repartition(PERSON)
-        .select("*", periods.expanded())
+        together.select("*", periods.expanded())
         .select(*stacked.columns, "_s.*")
         # of what comes after a snapshot only the next purchase counts
         .where("_period <= _now OR first_at IS NOT NULL")

@@ -89,7 +89,8 @@ def order_payments(payments: DataFrame) -> DataFrame:
         F.sum(F.col("payment_installments").cast("bigint")).alias("_parts"),
         F.count("payment_installments").alias("_parts_n"),
     )
-    return per_type.groupBy("order_id").agg(
+    # dealt by order at once: rows of an order lie in several partitions, so nothing would combine before
+    return per_type.repartition("order_id").groupBy("order_id").agg(
         F.coalesce(F.sum("_paid"), F.lit(0)).alias("payment_cents"),
         F.try_divide(F.sum("_parts").cast("double"), F.sum("_parts_n")).alias("installments_mean"),
         F.min(F.struct((-F.col("_n")).alias("r"), "payment_type"))["payment_type"].alias(
@@ -106,18 +107,33 @@ def order_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def order_children(items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """``order_values`` and ``order_reviews`` of each order that has either, from one exchange."""
+    priced = items.select(
+        "order_id", cents(F.col("price")).alias("_price"), cents(F.col("freight_value")).alias("_freight"), F.lit(1).alias("_item")
+    )
+    rows = priced.unionByName(
+        reviews.select("order_id", F.col("review_score").cast("bigint").alias("_score")), allowMissingColumns=True
+    )
+    total = F.coalesce(F.sum("_price"), F.lit(0)) + F.coalesce(F.sum("_freight"), F.lit(0))
+    return rows.groupBy("order_id").agg(
+        F.when(F.count("_item") > 0, total).alias("order_total_cents"),
+        F.try_divide(F.sum("_score").cast("double"), F.count("_score")).alias("review_score"),
+    )
+
+
 def order_summary(
     resolved: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """One row per order. Every child is brought to order grain before it is joined,
     so three items and two payments stay one order."""
     delay = floored_days(F.col("order_estimated_delivery_date"), F.col("order_delivered_customer_date"))
-    return (
+    joined = (
         resolved.withColumn("delivery_delay_days", delay)
-        .join(order_values(items), "order_id", "left")
+        .join(order_children(items, reviews), "order_id", "left")
         .join(order_payments(payments), "order_id", "left")
-        .join(order_reviews(reviews), "order_id", "left")
     )
+    return joined.select(*[c for c in joined.columns if c != "review_score"], "review_score")
 
 
 def item_summary(items: DataFrame, staged_products: DataFrame, resolved: DataFrame) -> DataFrame:

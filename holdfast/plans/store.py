@@ -30,12 +30,10 @@ from pyspark.sql import functions as F
 from holdfast import fixed
 from holdfast.operators.neighbours import with_previous
 from holdfast.plans import features
-from holdfast.plans.features import PERSON, Periods
+from holdfast.plans.features import PERSON, Periods, merged
 from holdfast.session import settle
 
 TIME, DAY = "order_purchase_timestamp", "_until"
-#: measures that merge as minimum or maximum; all others are sums
-EXTREMES = {"first_at": F.min, "last_at": F.max, "largest": F.max, "touched_at": F.max}
 #: what identifies a stored row, besides which it has measures only
 TABLE_KEYS = {
     "orders": [PERSON, DAY],
@@ -57,12 +55,6 @@ class Days:
         return F.when(F.col(time) == midnight, midnight).otherwise(midnight + F.expr("INTERVAL 1 DAY"))
 
 
-def merged(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per ``keys``; all other columns are measures."""
-    measures = [EXTREMES.get(c, F.sum)(c).alias(c) for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(*measures) if measures else rows.select(*keys).distinct()
-
-
 class FeatureStore:
     """The store below ``path``."""
 

@@ -156,3 +156,10 @@ def test_coverage_windows(spark):
     rows = {r["window_days"]: (r["covered_pct"], r["excluded"]) for r in audit.window_coverage(gaps).collect()}
     assert rows == {90: (50.0, 2), 120: (75.0, 1), 180: (75.0, 1), 270: (75.0, 1)}
     assert set(rows) == set(fixed.COVERAGE_WINDOWS)
+
+
+def test_items_and_reviews_reach_their_order_together(spark):
+    items = spark.createDataFrame([("a", 1.5, 0.25), ("a", None, 0.25), ("b", None, None)], "order_id STRING, price DOUBLE, freight_value DOUBLE")
+    reviews = spark.createDataFrame([("a", 4), ("a", 1), ("c", 5), ("b", None)], "order_id STRING, review_score INT")
+    got = {r["order_id"]: (r["order_total_cents"], r["review_score"]) for r in staging.order_children(items, reviews).collect()}
+    assert got == {"a": (200, 2.5), "b": (0, None), "c": (None, 5.0)}
