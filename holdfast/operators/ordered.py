@@ -10,14 +10,15 @@ sums from slice to slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.session import settle
+from holdfast.session import settle, ship
 
 
 def sql_literal(value) -> str:
@@ -156,19 +157,9 @@ def quantile_list(df: DataFrame, value: str, probabilities: Sequence[float]) ->
     return [found.get(float(p)) for p in probabilities]
 
 
-#: a quantile sketch misses ranks by at most one in so many
-ACCURACY = 10000
-
-
-def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), between=None) -> DataFrame:
-    """``by, feature, value``: a row per column, or per column whose value is in its bracket."""
-    pairs = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        pair = F.struct(F.lit(c).alias("feature"), v.alias("value"))
-        low, high = between[c] if between else (None, None)
-        pairs.append(F.when((v >= F.lit(low)) & (v <= F.lit(high)), pair) if between else pair)
-    cells = F.array_compact(F.array(*pairs)) if between else F.array(*pairs)
+def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``by, feature, value``: a row per column."""
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     return df.select(*by, F.explode(cells).alias("p")).select(*by, "p.feature", "p.value")
 
 
@@ -176,43 +167,97 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     """Exact median of each column in long form: ``by``, ``feature``, ``median``.
 
     All columns share one pass. NULLs are skipped; a column without values has no row.
-    Without ``by``, quantile sketches first give each column a bracket around its median;
-    only values inside are ranked, behind the number of those below. ``df`` is then read
-    several times: pass a stored table, not a plan.
+    Without ``by`` no value moves: doubles as whole numbers in the same order have four digits
+    of 16 bits, and four passes find the middle digit by digit. In each, tasks count the values
+    that begin like the middle by their next digit, and Spark adds up the counts. ``df`` is then
+    read four times: pass a stored table, not a plan.
     """
     columns = list(columns)
     if by:
         return _medians_of(quantiles(_long(df, columns, by), "value", [0.5], [*by, "feature"]), by)
-    shares = [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
-    values = [F.col(c).cast("double") for c in columns]
-    edges = df.agg(*[F.percentile_approx(v, shares, ACCURACY).alias(f"q{i}") for i, v in enumerate(values)]).first()
-    known = {c: edges[f"q{i}"] for i, c in enumerate(columns) if edges[f"q{i}"]}
-    seen = df.agg(
-        F.count(F.lit(1)),
-        *[
-            e.alias(f"{name}_{i}")
-            for i, (c, v) in enumerate(zip(columns, values))
-            if c in known
-            for name, e in (
-                ("n", F.count(v)), ("low", F.count_if(v < F.lit(known[c][0]))), ("high", F.count_if(v <= F.lit(known[c][1])))
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # by column and end of the middle: its first digits, and its rank among the values that begin so
+    found: dict[tuple[int, int], tuple[int | None, int | None]] = {
+        (i, end): (None, None) for i in range(len(columns)) for end in (0, 1)
+    }
+    even: dict[int, bool] = {}
+    for shift in (48, 32, 16, 0):
+        found = _next_digit(wide, found, shift, even)
+    values = {k: _double(head) for k, (head, _) in found.items()}
+    rows = [
+        (c, values[i, 0] + (values[i, 1] - values[i, 0]) * (0.5 if even[i] else 0.0))
+        for i, c in enumerate(columns)
+        if i in even
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature STRING, median DOUBLE")
+
+
+def _next_digit(wide: DataFrame, found: dict, shift: int, even: dict[int, bool]) -> dict:
+    """``found`` with one digit more; the first pass also tells which columns have an even number of values."""
+    first = shift == 48
+    heads: dict[int, list] = {}
+    for (i, _), (head, _) in found.items():
+        heads.setdefault(i, [])
+        if head not in heads[i]:
+            heads[i].append(head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {(i, h): np.zeros(65536, np.int64) for i, hs in heads.items() for h in hs}
+        for batch in batches:
+            for i, hs in heads.items():
+                key = _sortable(batch.column(i).drop_null().to_numpy(zero_copy_only=False))
+                digit = key >> shift
+                for h in hs:
+                    mine = digit + 32768 if first else digit[digit >> 16 == h] & 65535
+                    counts[i, h] += np.bincount(mine, minlength=65536)
+        for (i, h), n in counts.items():
+            at = np.flatnonzero(n)
+            head = at - 32768 if first else at + (h << 16)
+            of = np.zeros(len(at), np.int64) if first else np.full(len(at), h, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), i, np.int32)), pa.array(of), pa.array(head), pa.array(n[at])], ["i", "of", "head", "n"]
             )
-        ],
-    ).first()
-    counts = {c: (seen[f"n_{i}"], seen[f"low_{i}"], seen[f"high_{i}"]) for i, c in enumerate(columns) if c in known}
-    # the ranks needed, from 0, must lie inside; a column where they do not is ranked as a whole
-    held = {c: known[c] for c, (n, low, high) in counts.items() if low <= (n - 1) // 2 and n // 2 < high}
-    rest = [c for c in columns if c not in held and c in known]
-    parts = []
-    if held:
-        ranked = prefix(_long(df, held, between=held), "value", ["feature"])
-        total, below = (
-            F.create_map(*[F.lit(x) for c in held for x in (c, counts[c][k])])[F.col("feature")] for k in (0, 1)
-        )
-        moved = ranked.withColumns({"before_n": F.col("before_n") + below, "total_n": total})
-        parts.append(_medians_of(_picked(moved, "value", [0.5], ["feature"])))
-    if rest or not held:
-        parts.append(_medians_of(quantiles(_long(df, rest or columns), "value", [0.5], ["feature"])))
-    return reduce(DataFrame.unionByName, parts)
+
+    ship(wide.sparkSession)
+    counted = wide.mapInArrow(run, "i int, of bigint, head bigint, n bigint").groupBy("i", "of", "head").agg(F.sum("n").alias("n"))
+    # at most 65,536 rows of counts in a group, whatever the input size
+    inside = Window.partitionBy("i", "of")
+    ahead = inside.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.select(
+        "*", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"), F.sum("n").over(inside).alias("total")
+    )
+
+    def holds(rank: Column) -> Column:
+        return (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+
+    if first:
+        wanted = holds(F.floor((F.col("total") - 1) / 2)) | holds(F.floor(F.col("total") / 2))
+    else:
+        wanted = F.lit(False)
+        for (i, _), (head, rank) in found.items():
+            wanted = wanted | ((F.col("i") == i) & (F.col("of") == head) & holds(F.lit(rank)))
+    out = {}
+    for r in ranked.where(wanted).collect():
+        for end in (0, 1):
+            if first:
+                head, rank = 0, (r["total"] - 1 + end) // 2
+                even[r["i"]] = r["total"] % 2 == 0
+            else:
+                head, rank = found[r["i"], end]
+            if head == r["of"] and r["before"] <= rank < r["before"] + r["n"]:
+                out[r["i"], end] = r["head"], rank - r["before"]
+    return out
+
+
+def _sortable(values: np.ndarray) -> np.ndarray:
+    """Doubles as whole numbers in the same order; zeros are equal, and so are NaNs, behind all others."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF)
+
+
+def _double(key: int) -> float:
+    bits = np.array([key], np.int64)
+    return float((bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF)).view(np.float64)[0])
 
 
 def _medians_of(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -16,12 +16,12 @@ from holdfast import fixed
 from holdfast.functions.wording import measured, plain_label, yes_no
 from holdfast.operators.ordered import medians, seeded_sample
 from holdfast.operators.profile import unpivot_row
-from holdfast.plans.model import LABEL, Term
+from holdfast.plans.model import LABEL, Term, sums_of
 
 
 def background_means(background: DataFrame, terms: Sequence[Term]) -> list[float]:
-    row = background.agg(*[F.expr(f"avg(CAST({t.value} AS DOUBLE)) AS m{i}") for i, t in enumerate(terms)]).first()
-    return [row[i] for i in range(len(terms))]
+    found = sums_of(background, [F.expr(f"avg(CAST({t.value} AS DOUBLE)) AS m{i}") for i, t in enumerate(terms)])
+    return [found[f"m{i}"] for i in range(len(terms))]
 
 
 def background_sample(train: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:

@@ -62,10 +62,8 @@ def prepare(
     """Learn the preparation of every input from ``train``."""
     middle = {r["feature"]: r["median"] for r in medians(train, numeric).collect()}
     filled = {c: f"coalesce(CAST(`{c}` AS DOUBLE), {middle.get(c, 0.0)!r}D)" for c in numeric}
-    moments = train.agg(
-        *[F.expr(f"avg({e}) AS `{c}_mean`") for c, e in filled.items()],
-        *[F.expr(f"stddev_pop({e}) AS `{c}_std`") for c, e in filled.items()],
-    ).first()
+    pairs = ((f"avg({e}) AS `{c}_mean`", f"stddev_pop({e}) AS `{c}_std`") for c, e in filled.items())
+    moments = sums_of(train, [F.expr(e) for pair in pairs for e in pair])
     terms = []
     for c, e in filled.items():
         mean, std = moments[f"{c}_mean"] or 0.0, moments[f"{c}_std"]
@@ -85,6 +83,18 @@ def prepare(
     return terms
 
 
+#: aggregates of one pass: with many more, the method generated for them is too long for the JVM to compile
+TOGETHER = 16
+
+
+def sums_of(df: DataFrame, aggregates: Sequence[Column]) -> dict:
+    """Aggregates over all rows of a stored table by name, each pass reading the columns of a few."""
+    out: dict = {}
+    for i in range(0, len(aggregates), TOGETHER):
+        out |= df.agg(*aggregates[i : i + TOGETHER]).first().asDict()
+    return out
+
+
 def encode(values: DataFrame, column: str, fill: str) -> Term:
     """A wide category: its distinct ``value`` rows numbered in their order and written."""
     table = fresh_path(values.sparkSession, "encoding")

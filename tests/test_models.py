@@ -162,3 +162,11 @@ def test_drift_flags_jumps(spark):
     got = {r["feature"]: r for r in drift(left, right, ["a", "b"]).collect()}
     assert (got["b"]["null_pct_jump"], got["b"]["flagged"], got["a"]["flagged"]) == (50.0, True, False)
     assert got["a"]["training_max"] == 5.0
+
+
+def test_moments_are_taken_a_few_at_a_time(spark, monkeypatch):
+    df = spark.range(5)
+    asked, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a: asked.append(len(a)) or agg(self, *a))
+    found = model.sums_of(df, [F.sum(F.col("id") + i).alias(f"s{i}") for i in range(40)])
+    assert found == {f"s{i}": 10 + 5 * i for i in range(40)} and max(asked) <= model.TOGETHER

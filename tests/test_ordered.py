@@ -172,3 +172,13 @@ def test_medians_rank_only_values_near_the_middle(spark, monkeypatch):
     assert got == {"a": 20000.0, "b": 20000.0, "c": 0.0, "e": -1.5, "f": 0.5}
     # c and e have few values and bring all rows of those in the middle; nothing else but its middle
     assert sum(ranked) < 3 * 20001 + 400
+
+
+def test_medians_without_groups_move_no_values(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "prefix", lambda *a, **k: pytest.fail("values were ranked"))
+    inf, nan = float("inf"), float("nan")
+    rows = [(-3.5, -0.0, 1.0, None), (2.25, 0.0, inf, None), (-1e300, 0.0, nan, 7.0), (1e-300, -5.0, 2.0, None)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
+    got = {r["feature"]: r["median"] for r in ordered.medians(df.repartition(3), list("abcd")).collect()}
+    assert got == {"a": -3.5 + (1e-300 + 3.5) * 0.5, "b": 0.0, "c": inf, "d": 7.0}
+    assert ordered.medians(df.limit(0), ["a"]).count() == 0
