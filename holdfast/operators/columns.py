@@ -82,3 +82,12 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 SUMS = ("n", "sx", "sy", "xx", "yy", "xy")
+
+
+def apart(text: str) -> str:
+    """SQL of the expression ``text`` by way of a lambda, with the same value.
+
+    Spark leaves a projection with a lambda out of whole-stage code and splits its code into short methods.
+    The JVM compiles methods of up to 8,000 bytes; a fused projection of many columns is longer and interpreted.
+    """
+    return f"transform(array({text}), x -> x)[0]"

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import fixed
+from holdfast.operators.columns import apart
 from holdfast.operators.metrics import evaluate, roc_auc
 from holdfast.operators.modes import mode_by
 from holdfast.operators.ordered import medians, prefix, sql_literal
@@ -120,7 +121,7 @@ def input_stages(terms: Sequence[Term]) -> list:
     plain = [t for t in terms if t.kind != "wide"]
     wide = [t for t in terms if t.kind == "wide"]
     names = [f"_x{i}" for i in range(len(plain))]
-    columns = [f"{t.value} AS {n}" for t, n in zip(plain, names)]
+    columns = [f"{t.value if i else apart(t.value)} AS {n}" for i, (t, n) in enumerate(zip(plain, names))]
     columns += [f"{t.value} AS _w{i}_value" for i, t in enumerate(wide)]
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")]
     for i, t in enumerate(wide):
