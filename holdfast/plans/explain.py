@@ -8,6 +8,7 @@ array, so the strongest factors of every customer need no exchange at all.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from holdfast import fixed
 from holdfast.functions.wording import measured, plain_label, yes_no
 from holdfast.operators.ordered import medians, seeded_sample
 from holdfast.operators.profile import unpivot_row
-from holdfast.plans.model import LABEL, Term, sums_of
+from holdfast.plans.model import LABEL, TOGETHER, Term, sums_of
 
 
 def background_means(background: DataFrame, terms: Sequence[Term]) -> list[float]:
@@ -49,15 +50,20 @@ def global_importance(
     rows: DataFrame, terms: Sequence[Term], means: Sequence[float], top: int = 15
 ) -> DataFrame:
     """Mean absolute attribution of each input, the ``top`` strongest first, with its label."""
-    wide = rows.groupBy().agg(
-        *[F.avg(F.abs(attribution(t, m))).alias(f"a{i}") for i, (t, m) in enumerate(zip(terms, means))]
-    )
-    cells = {
-        t.name: {"plain_label": F.lit(plain_label(t.name)), "mean_abs_attribution": F.col(f"a{i}")}
-        for i, t in enumerate(terms)
-    }
+    pairs = [*zip(terms, means)]
+
+    def some(pairs: Sequence[tuple[Term, float]]) -> DataFrame:
+        wide = rows.groupBy().agg(*[F.avg(F.abs(attribution(t, m))).alias(f"a{i}") for i, (t, m) in enumerate(pairs)])
+        cells = {
+            t.name: {"plain_label": F.lit(plain_label(t.name)), "mean_abs_attribution": F.col(f"a{i}")}
+            for i, (t, _) in enumerate(pairs)
+        }
+        return unpivot_row(wide, [], cells, "feature")
+
+    # a few in one pass, as in ``sums_of``
+    parts = [some(pairs[i : i + TOGETHER]) for i in range(0, len(pairs), TOGETHER)]
     return (
-        unpivot_row(wide, [], cells, "feature")
+        reduce(DataFrame.unionByName, parts)
         .orderBy(F.col("mean_abs_attribution").desc(), "feature")
         .limit(top)
     )

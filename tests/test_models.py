@@ -170,3 +170,14 @@ def test_moments_are_taken_a_few_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(type(df), "agg", lambda self, *a: asked.append(len(a)) or agg(self, *a))
     found = model.sums_of(df, [F.sum(F.col("id") + i).alias(f"s{i}") for i in range(40)])
     assert found == {f"s{i}": 10 + 5 * i for i in range(40)} and max(asked) <= model.TOGETHER
+
+
+def test_importance_takes_a_few_inputs_in_a_pass(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i), i) for i in range(4)], "x DOUBLE, n INT")
+    terms = [model.Term(f"t{i:02d}", "x", "number", "x", float(i)) for i in range(40)]
+    grouped = type(df.groupBy())
+    asked, agg = [], grouped.agg
+    monkeypatch.setattr(grouped, "agg", lambda self, *a: asked.append(len(a)) or agg(self, *a))
+    top = explain.global_importance(df, terms, [1.5] * 40, 3).collect()
+    assert [(r["feature"], r["mean_abs_attribution"]) for r in top] == [("t39", 39.0), ("t38", 38.0), ("t37", 37.0)]
+    assert sum(asked) == 40 and max(asked) <= model.TOGETHER
