@@ -43,7 +43,9 @@ def attributions(
             for t, m in zip(terms, means)
         ]
     )
-    return rows.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.*")
+    # made in a projection with a lambda, which Spark leaves out of whole-stage code (see ``columns.apart``)
+    made = rows.select(*keys, F.transform(pairs, lambda p: p).alias("_pairs"))
+    return made.select(*keys, F.explode("_pairs").alias("_p")).select(*keys, "_p.*")
 
 
 def global_importance(

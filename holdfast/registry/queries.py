@@ -1070,11 +1070,13 @@ def _fitted_trees(spark, folder):
 
 
 def _fitted_explained(spark, folder):
-    """Modelling rows with the fitted score, its terms over all inputs, their background means and the log-odds there."""
+    """Modelling rows (inputs, label and split) with the fitted score, its terms over all inputs, their background means
+    and the log-odds there."""
     train, panel, fitted, terms = _fitted_logistic(spark, folder)
     means = explain.background_means(train, terms)
     usual = float(fitted.stages[-1].intercept) + sum(t.coefficient * m for t, m in zip(terms, means, strict=True))
-    return settle(model.score(fitted, panel)), terms, means, usual
+    columns = dict.fromkeys([*KEYS, "split", LABEL, *[t.column for t in terms]])
+    return model.score(fitted, panel.select(*columns)), terms, means, usual
 
 
 @query
@@ -1095,6 +1097,7 @@ def fitted_attributions(spark, folder):
 def fitted_importance(spark, folder):
     """The 15 strongest of all inputs of the fitted model: how many, and whether all are strong and named."""
     rows, terms, means, _ = _fitted_explained(spark, folder)
+    rows = settle(rows)
     best = explain.global_importance(rows.where(F.col("split") == "train"), terms, means, top=15)
     return best.agg(
         F.count(F.lit(1)).alias("n_inputs"),
@@ -1107,6 +1110,7 @@ def fitted_importance(spark, folder):
 def fitted_explanations(spark, folder):
     """Five factors in words for every row, from all inputs of the fitted model."""
     rows, terms, means, _ = _fitted_explained(spark, folder)
+    rows = settle(rows)
     came_back = explain.reference_medians(rows.where(F.col("split") == "train")).collect()
     usual = {r["feature"]: r["median"] for r in came_back}
     lines = explain.explanations(rows, terms, means, usual, [*KEYS, SCORE], top=5)

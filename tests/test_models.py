@@ -172,6 +172,19 @@ def test_moments_are_taken_a_few_at_a_time(spark, monkeypatch):
     assert found == {f"s{i}": 10 + 5 * i for i in range(40)} and max(asked) <= model.TOGETHER
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def test_preparation_and_attributions_are_not_fused(rows, fitted):
+    """A fused projection of many inputs is too long for the JVM to compile."""
+    pipeline, terms = fitted
+    means = [0.0] * len(terms)
+    for df in (model.score(pipeline, rows), explain.attributions(rows, terms, means, ["id"])):
+        made = [line for line in _plan(df) if "transform(" in line]
+        assert made and not any("*(" in line for line in made)
+
+
 def test_importance_takes_a_few_inputs_in_a_pass(spark, monkeypatch):
     df = spark.createDataFrame([(float(i), i) for i in range(4)], "x DOUBLE, n INT")
     terms = [model.Term(f"t{i:02d}", "x", "number", "x", float(i)) for i in range(40)]
