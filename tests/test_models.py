@@ -194,3 +194,9 @@ def test_importance_takes_a_few_inputs_in_a_pass(spark, monkeypatch):
     top = explain.global_importance(df, terms, [1.5] * 40, 3).collect()
     assert [(r["feature"], r["mean_abs_attribution"]) for r in top] == [("t39", 39.0), ("t38", 38.0), ("t37", 37.0)]
     assert sum(asked) == 40 and max(asked) <= model.TOGETHER
+
+
+def test_a_loaded_model_prepares_unfused_too(rows, fitted, tmp_path):
+    model.save(fitted[0], str(tmp_path / "m"))
+    made = [line for line in _plan(model.score(model.load(str(tmp_path / "m")), rows)) if "transform(" in line]
+    assert made and not any("*(" in line for line in made)
