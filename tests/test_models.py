@@ -200,3 +200,21 @@ def test_a_loaded_model_prepares_unfused_too(rows, fitted, tmp_path):
     model.save(fitted[0], str(tmp_path / "m"))
     made = [line for line in _plan(model.score(model.load(str(tmp_path / "m")), rows)) if "transform(" in line]
     assert made and not any("*(" in line for line in made)
+
+
+def test_roundtrip_compares_scores_in_the_row(rows, fitted, monkeypatch):
+    """No join deals the panel twice, and a model that comes back otherwise is told."""
+    from holdfast.registry import queries as named
+
+    pipeline, terms = fitted
+    panel = rows.withColumn("customer_unique_id", F.col("id")).withColumn("snapshot_date", F.lit("2017-07-01"))
+    monkeypatch.setattr(named, "_fitted_logistic", lambda s, f: (None, panel, pipeline, terms))
+    found = named.queries()["model_roundtrip"](rows.sparkSession, "")
+    assert found.columns == ["customer_unique_id", "snapshot_date", "same_score"]
+    assert not any("Join" in line for line in _plan(found))
+    assert sorted(tuple(r) for r in found.collect()) == [(i, "2017-07-01", True) for i in range(400)]
+    train = rows.where("split = 'train'")
+    other, _ = model.fit_logistic(train.withColumn("churned", 1 - F.col("churned")), terms)
+    monkeypatch.setattr(named.model, "load", lambda path: other)
+    assert found.columns == (changed := named.queries()["model_roundtrip"](rows.sparkSession, "")).columns
+    assert changed.where("same_score").count() < 400
