@@ -336,8 +336,9 @@ def _window_aggregates(parts: set[str], strict: bool) -> list[Column]:
     for part in sorted(parts):
         for window, names in _SUMS[part].items():
             for name in names:
-                # a sum that is never NULL is short code: what follows must stay below 8,000 bytes for the JVM to compile it
-                out.append(f"sum(IF({_WINDOWS[window]}{seen}, coalesce({name}, 0), 0)) AS {window}_{name}")
+                out.append(
+                    f"coalesce(sum({name}) FILTER (WHERE {_WINDOWS[window]}{seen}), 0) AS {window}_{name}"
+                )
         for how, window, name in _EXTREMES.get(part, []):
             out.append(f"{how}({name}) FILTER (WHERE {_WINDOWS[window]}) AS {window}_{name}")
     return [F.expr(text) for text in out]
