@@ -2,10 +2,12 @@
 
 Inputs are cut into bins once (up to ``BINS`` quantile bins of a number, one bin per value
 of a category) and stored in blocks of rows, input by input in as few bytes as the bins need.
+Executors keep the blocks, a share for each core, in memory or on disk while trees grow;
+what is lost is read again from the written table.
 A level of a tree takes one pass over the blocks: each task sums gradients and hessians of
-its rows by node, input and bin, the sums are added up by Spark, and the driver picks the
-best split of each node from them. What reaches the driver is bounded by the model (nodes x
-inputs x bins), not by the rows. Gradients are whole numbers of 2**-24, so the sums and hence
+its rows by node, input and bin, the sums are added up, by Spark first where there are many
+tasks, and the driver picks the best split of each node from them. What reaches the driver is
+bounded by the model (nodes x inputs x bins), not by the rows. Gradients are whole numbers of 2**-24, so the sums and hence
 the trees do not depend on the order of rows or tasks, and of two sibling nodes only the
 lighter one is summed: the other has what is left of their parent.
 
@@ -17,17 +19,23 @@ trees are applied on the fly. No round is ever fitted twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators.columns import apart
 from holdfast.session import settle, ship
 
 BINS, STORED = 256, 25
+#: sums of more tasks than that are added up by Spark before they reach the driver
+MANY = 64
+#: numbers whose bin edges are looked for in one pass
+TOGETHER = 16
 #: gradients count in whole units of 1 / UNIT, scores are told apart in STEPS steps
 UNIT, STEPS = 1 << 24, 1 << 16
 #: least gain of a split
@@ -151,16 +159,29 @@ def _narrow(inputs: Sequence[Input]) -> np.dtype:
     return np.min_scalar_type(max([i.bins for i in inputs], default=1) - 1)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], inputs: Sequence[Input], newest: Sequence[Tree]) -> Iterator[dict]:
-    """Blocks with arrays for bytes, ``codes`` with a column per input; margins take in the newest trees."""
-    for batch in batches:
-        for at in range(batch.num_rows):
-            block = {c: np.frombuffer(batch.column(c)[at].as_buffer(), kind) for c, kind in ROW.items()}
-            codes = np.frombuffer(batch.column("codes")[at].as_buffer(), _narrow(inputs))
-            block |= {"training": batch.column("training")[at].as_py(), "codes": codes.reshape(len(inputs), -1).T}
-            for t in newest:
-                block["margin"] = block["margin"] + t.margins(block["codes"])
-            yield block
+def _blocks(rows: Iterable[tuple], shape: tuple[int, np.dtype]) -> Iterator[dict]:
+    """Blocks with arrays for bytes, ``codes`` with a column per input.
+
+    ``shape`` is the number of inputs and the kind of their codes.
+    """
+    wide, kind = shape
+    for training, codes, *values in rows:
+        block = {c: np.frombuffer(v, k) for (c, k), v in zip(ROW.items(), values, strict=True)}
+        yield block | {"training": training, "codes": np.frombuffer(codes, kind).reshape(wide, -1).T}
+
+
+def _raised(margin: np.ndarray, codes: np.ndarray, newest: Sequence[Tree]) -> np.ndarray:
+    """Margins that take in the newest trees."""
+    for t in newest:
+        margin = margin + t.margins(codes)
+    return margin
+
+
+def _kept(rows: DataFrame) -> RDD:
+    """Blocks of a written table, dealt evenly and kept by the executors until they are unpersisted."""
+    ship(rows.sparkSession)
+    shares = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    return shares.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _batch(blocks: Sequence[dict]) -> pa.RecordBatch:
@@ -172,7 +193,7 @@ def _batch(blocks: Sequence[dict]) -> pa.RecordBatch:
 
 
 def _scan(
-    rows: DataFrame, inputs: Sequence[Input], newest: Sequence[Tree], tree: Tree, number: int, reach: float, s: Settings,
+    rows: RDD, inputs: Sequence[Input], newest: Sequence[Tree], tree: Tree, number: int, reach: float, s: Settings,
     nodes: Sequence[int], live: Sequence[int],
 ) -> tuple[dict[int, dict[int, np.ndarray]], np.ndarray | None]:
     """Sums by node, input and bin for the next level of ``tree``; validation rows by score step and class.
@@ -182,58 +203,58 @@ def _scan(
     """
     widths = [inputs[i].bins for i in live]
     offsets = len(nodes) * np.cumsum([0, *widths])
-    size, count = int(offsets[-1]), not tree.inputs
+    size, count, shape = int(offsets[-1]), not tree.inputs, (len(inputs), _narrow(inputs))
     # rows of other nodes fall behind the last place
     place = np.full(1 << len(tree.inputs), len(nodes), np.int64)
     place[list(nodes)] = np.arange(len(nodes))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g_sum, h_sum = np.zeros(size), np.zeros(size)
-        seen = np.zeros((STEPS + 1, 2), np.int64)
-        for block in _blocks(batches, inputs, newest):
+    def run(blocks: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        sums = np.zeros((2, size))
+        seen = np.zeros(2 * (STEPS + 1) if count else 0, np.int64)
+        wanted = blocks if count else (b for b in blocks if b[0])
+        for block in _blocks(wanted, shape):
             codes, label, margin = block["codes"], block["label"], block["margin"]
             if not block["training"]:
-                if count:
-                    step = np.floor((margin / (2 * reach) + 0.5) * STEPS).astype(np.int64) if reach else np.zeros(len(label), np.int64)
-                    both = 2 * np.clip(step, 0, STEPS) + label
-                    seen += np.bincount(both, minlength=seen.size).reshape(seen.shape)
+                margin = _raised(margin, codes, newest)
+                step = np.floor((margin / (2 * reach) + 0.5) * STEPS).astype(np.int64) if reach else np.zeros(len(label), np.int64)
+                seen += np.bincount(2 * np.clip(step, 0, STEPS) + label, minlength=len(seen))
                 continue
             at = place[tree.nodes(codes)]
             chosen = np.flatnonzero(sampled(block["key"], s.seed, number, s.rows) & (at < len(nodes)))
-            at, label, weight, margin = at[chosen], label[chosen], block["weight"][chosen], margin[chosen]
+            # the newest trees are only applied to rows that count
+            codes = codes.T[:, chosen].T
+            at, label, weight = at[chosen], label[chosen], block["weight"][chosen]
+            margin = _raised(margin[chosen], codes, newest)
             p = 1 / (1 + np.exp(-margin))
             g, h = np.rint(weight * (p - label) * UNIT), np.rint(weight * p * (1 - p) * UNIT)
+            ahead = {width: at * width for width in set(widths)}
             for i, width, start in zip(live, widths, offsets):
-                bin_of = at * width + codes[:, i][chosen]
+                bin_of = ahead[width] + codes[:, i]
                 here = slice(start, start + len(nodes) * width)
-                g_sum[here] += np.bincount(bin_of, g, len(nodes) * width)
-                h_sum[here] += np.bincount(bin_of, h, len(nodes) * width)
-        used = np.flatnonzero(h_sum)
-        steps, classes = np.nonzero(seen)
-        columns = [
-            np.concatenate([used, -1 - (2 * steps + classes)]),
-            np.concatenate([g_sum[used].astype(np.int64), seen[steps, classes]]),
-            np.concatenate([h_sum[used].astype(np.int64), np.zeros(len(steps), np.int64)]),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["at", "g", "h"])
-
-    ship(rows.sparkSession)
-    given = rows if count else rows.where("training")
-    found = given.mapInArrow(run, "at bigint, g bigint, h bigint").groupBy("at").agg(F.sum("g"), F.sum("h")).toArrow()
-    at, g, h = (c.to_numpy() for c in found.columns)
-    sums = np.zeros((2, size))
-    inside = at >= 0
-    sums[:, at[inside]] = np.stack([g[inside], h[inside]]) / UNIT
+                sums[0, here] += np.bincount(bin_of, g, len(nodes) * width)
+                sums[1, here] += np.bincount(bin_of, h, len(nodes) * width)
+        used = np.flatnonzero(seen)
+        yield sums.astype(np.int64), used, seen[used]
+
+    many = rows.getNumPartitions() > MANY
+    whole, used, times = rows.mapPartitions(run).treeReduce(_added, 2 if many else 1)
+    sums = whole / UNIT
     by_node = {
         n: {i: sums[:, start + j * width : start + (j + 1) * width] for i, width, start in zip(live, widths, offsets)}
         for j, n in enumerate(nodes)
     }
     if not count:
         return by_node, None
-    seen = np.zeros((STEPS + 1, 2), np.int64)
-    where = -1 - at[~inside]
-    seen[where // 2, where % 2] = g[~inside]
-    return by_node, seen
+    seen = np.zeros(2 * (STEPS + 1), np.int64)
+    seen[used] = times
+    return by_node, seen.reshape(-1, 2)
+
+
+def _added(a: tuple, b: tuple) -> tuple:
+    """Two tasks' sums and counts of scores as one task's."""
+    used, at = np.unique(np.concatenate([a[1], b[1]]), return_inverse=True)
+    times = np.bincount(at, np.concatenate([a[2], b[2]]), len(used)).astype(np.int64)
+    return a[0] + b[0], used, times
 
 
 def average_precision(seen: np.ndarray) -> float:
@@ -259,7 +280,7 @@ def _masks(inputs: Sequence[Input], number: int, s: Settings) -> dict[int, np.nd
     return out
 
 
-def grow(rows: DataFrame, inputs: Sequence[Input], newest, number: int, reach: float, s: Settings):
+def grow(rows: RDD, inputs: Sequence[Input], newest, number: int, reach: float, s: Settings):
     """One more tree, and the validation counts of the rounds before it."""
     tree, masks = Tree(), _masks(inputs, number, s)
     # an input without a split that this tree may use need not be summed
@@ -295,9 +316,12 @@ def grow(rows: DataFrame, inputs: Sequence[Input], newest, number: int, reach: f
 def _moved(rows: DataFrame, inputs: Sequence[Input], newest: Sequence[Tree]) -> DataFrame:
     """Blocks with the newest trees added to their margins, written anew."""
 
+    shape = len(inputs), _narrow(inputs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, inputs, newest):
-            yield _batch([block])
+        for batch in batches:
+            for block in _blocks(zip(*(c.to_pylist() for c in batch.columns)), shape):
+                yield _batch([block | {"margin": _raised(block["margin"], block["codes"], newest)}])
 
     return settle(rows.mapInArrow(run, rows.schema))
 
@@ -309,35 +333,44 @@ def boost(rows: DataFrame, inputs: Sequence[Input], s: Settings) -> tuple[list[T
     """
     trees: list[Tree] = []
     scores: list[float] = []
-    stored, reach = 0, 0.0
-    while True:
-        tree, seen = grow(rows, inputs, trees[stored:], len(trees), reach, s)
-        if trees:
-            scores.append(average_precision(seen))
-        best = int(np.argmax(scores)) + 1 if scores else 0
-        if len(trees) >= s.rounds or (scores and len(trees) - best >= s.patience):
-            return trees[:best], scores
-        trees.append(tree)
-        reach += max(map(abs, tree.leaves))
-        if not reach:  # nothing to split from the start
-            return [], scores
-        if len(trees) - stored >= STORED:
-            rows, stored = _moved(rows, inputs, trees[stored:]), len(trees)
+    stored, reach, blocks = 0, 0.0, _kept(rows)
+    try:
+        while True:
+            tree, seen = grow(blocks, inputs, trees[stored:], len(trees), reach, s)
+            if trees:
+                scores.append(average_precision(seen))
+            best = int(np.argmax(scores)) + 1 if scores else 0
+            if len(trees) >= s.rounds or (scores and len(trees) - best >= s.patience):
+                return trees[:best], scores
+            trees.append(tree)
+            reach += max(map(abs, tree.leaves))
+            if not reach:  # nothing to split from the start
+                return [], scores
+            if len(trees) - stored >= STORED:
+                rows, stored = _moved(rows, inputs, trees[stored:]), len(trees)
+                blocks.unpersist()
+                blocks = _kept(rows)
+    finally:
+        blocks.unpersist()
 
 
 def edges_of(train: DataFrame, numbers: dict[str, str]) -> dict[str, tuple[float, ...]]:
     """Bin edges of numbers given as SQL, from mergeable quantile sketches: values of the data."""
     if not numbers:
         return {}
-    shares = [i / BINS for i in range(1, BINS)]
-    found = train.agg(
-        *[F.percentile_approx(F.expr(e), shares, 20 * BINS).alias(f"q{i}") for i, e in enumerate(numbers.values())],
-        *[F.max(F.expr(e)).alias(f"m{i}") for i, e in enumerate(numbers.values())],
-    ).first()
-    # an edge at the greatest value would split nothing off
-    return {
-        n: tuple(sorted({v for v in found[f"q{i}"] or () if v < found[f"m{i}"]})) for i, n in enumerate(numbers)
-    }
+    shares, out = [i / BINS for i in range(1, BINS)], {}
+    for at in range(0, len(numbers), TOGETHER):
+        names = [*numbers][at : at + TOGETHER]
+        # values are made ahead of the sketches, which would else interpret the SQL row by row
+        values = train.select(*[F.expr(numbers[n]).alias(f"x{i}") for i, n in enumerate(names)])
+        found = values.agg(
+            *[F.percentile_approx(c, shares, 20 * BINS).alias(f"q{c}") for c in values.columns],
+            *[F.max(c).alias(f"m{c}") for c in values.columns],
+        ).first()
+        # an edge at the greatest value would split nothing off
+        for n, c in zip(names, values.columns, strict=True):
+            out[n] = tuple(sorted({v for v in found[f"q{c}"] or () if v < found[f"m{c}"]}))
+    return out
 
 
 def binned(
@@ -346,10 +379,13 @@ def binned(
 ) -> DataFrame:
     """The written table that ``boost`` reads, a row per block of rows of training or of
     validation; category codes come as columns, numbers as SQL."""
+    # the first one takes the projection out of whole-stage code, see ``apart``
+    texts = [numbers[i.name] for i in inputs if not i.values] + ["0D"]
+    texts[0] = apart(texts[0])
     raw = rows.select(
         key.alias("key"), F.col(label).cast("int").alias("label"), weight.cast("double").alias("weight"),
         training.alias("training"), F.lit(0.0).alias("margin"),
-        F.array(*[F.expr(numbers[i.name]) for i in inputs if not i.values], F.lit(0.0)).alias("numbers"),
+        F.array(*[F.expr(e) for e in texts]).alias("numbers"),
         F.array(*[codes[i.name] for i in inputs if i.values], F.lit(0)).cast("array<int>").alias("categories"),
     )
     plain = [n for n, i in enumerate(inputs) if not i.values]

@@ -203,3 +203,61 @@ def test_rows_lie_in_blocks_and_only_the_lighter_sibling_is_summed(shopping, mon
     trees = trained(shopping, 100, Settings(rounds=2, child_weight=2.0))[3][1]
     assert trees and tables[0] < 100  # blocks of 600 rows
     assert all(n <= max(1, 1 << level - 1) if level else n == 1 for level, n in asked)
+
+
+def test_a_pass_is_one_job_over_kept_blocks(spark, shopping, monkeypatch):
+    context, calls = spark.sparkContext, []
+    scan, kept = boosting._scan, lambda: len(context._jsc.getPersistentRDDs())
+
+    def watched(rows, *a):
+        context.setJobGroup(f"pass {len(calls)}", "")
+        found = scan(rows, *a)
+        calls.append((len(context.statusTracker().getJobIdsForGroup(f"pass {len(calls)}")), kept() - before))
+        context.setJobGroup("other", "")
+        return found
+
+    monkeypatch.setattr(boosting, "_scan", watched)
+    before = kept()
+    trees = trained(shopping, 100, Settings(rounds=2, child_weight=2.0))[3][1]
+    assert trees and len(calls) >= 4 and calls == [(1, 1)] * len(calls)
+    assert kept() == before
+
+
+def test_sums_of_many_tasks_meet_in_spark(shopping, monkeypatch):
+    plain = trained(shopping, 100, Settings(rounds=2))[3][1]
+    monkeypatch.setattr(boosting, "MANY", 1)
+    many = trained(shopping, 100, Settings(rounds=2))[3][1]
+    assert [(t.inputs, t.bins, t.leaves) for t in plain] == [(t.inputs, t.bins, t.leaves) for t in many]
+
+
+def test_sums_of_two_tasks_add_up():
+    a = np.array([[1, 2], [3, 4]]), np.array([0, 5]), np.array([2, 1])
+    b = np.array([[10, 0], [0, 10]]), np.array([3, 5]), np.array([1, 4])
+    sums, used, times = boosting._added(a, b)
+    assert sums.tolist() == [[11, 2], [3, 14]] and used.tolist() == [0, 3, 5] and times.tolist() == [2, 1, 5]
+    assert [x.tolist() for x in boosting._added(a, (b[0], b[1][:0], b[2][:0]))[1:]] == [[0, 5], [2, 1]]
+
+
+def test_edges_of_more_numbers_than_one_pass_takes(spark, monkeypatch):
+    rows = spark.range(500).selectExpr(*[f"IF(id % 7 = 0, NULL, CAST(id * {k} % 101 AS DOUBLE)) AS c{k}" for k in range(1, 6)])
+    numbers = {f"n{k}": f"coalesce(c{k}, {k}D) / 2" for k in range(1, 6)}
+    whole, jobs = boosting.edges_of(rows, numbers), []
+    first = type(rows).first
+    monkeypatch.setattr(boosting, "TOGETHER", 2)
+    monkeypatch.setattr(type(rows), "first", lambda df: jobs.append(df.columns) or first(df))
+    assert boosting.edges_of(rows, numbers) == whole and len(jobs) == 3
+    assert all(len(e) > 50 and e == tuple(sorted(set(e))) for e in whole.values()) and boosting.edges_of(rows, {}) == {}
+
+
+def test_bins_are_made_outside_whole_stage_code(shopping, monkeypatch, capsys):
+    monkeypatch.setattr(boosting, "settle", lambda df: df.explain() or df)
+    inputs, numbers = [Input("spend", (10.0, 20.0)), Input("flag", (0.0,))], {"spend": "coalesce(spend, 0D)", "flag": "CAST(flag AS DOUBLE)"}
+    table = boosting.binned(shopping, inputs, numbers, {}, F.xxhash64("id"), "churned", F.lit(1.0), F.col("id") >= 0)
+    made = [line for line in capsys.readouterr().out.splitlines() if "AS numbers" in line]
+    assert made and not any("*(" in line for line in made)
+    block = table.first()
+    codes = np.frombuffer(block["codes"], np.uint8).reshape(2, -1)
+    keys = dict(zip(np.frombuffer(block["key"], np.int64).tolist(), codes.T.tolist()))
+    for r in shopping.select(F.xxhash64("id").alias("k"), F.coalesce("spend", F.lit(0.0)).alias("spend"), "flag").collect():
+        assert r["k"] not in keys or keys[r["k"]] == [(r["spend"] > 10) + (r["spend"] > 20), r["flag"]]
+    assert keys
