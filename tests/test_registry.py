@@ -60,3 +60,18 @@ def test_trees_are_fitted_anew_in_each_query(monkeypatch):
     monkeypatch.setattr(named, "_modelling", lambda s, f: ({"train": 1, "validation": 2}, "panel"))
     monkeypatch.setattr(named.model, "fit_trees", lambda *rows: fits.append(rows) or len(fits))
     assert named._fitted_trees(spark, "f") == ("panel", 1) and named._fitted_trees(spark, "f") == ("panel", 2)
+
+
+def test_comparison_prepares_the_inputs_of_both_models_once(spark, monkeypatch):
+    from holdfast.registry import queries as named
+
+    panel = spark.range(40).selectExpr("id", "IF(id % 4 = 0, 'validation', 'train') AS split", "CAST(id % 2 AS INT) AS churned")
+    given, learned = [], []
+    rows = {s: panel.where(f"split = '{s}'") for s in ("train", "validation", "test")}
+    monkeypatch.setattr(named, "_modelling", lambda s, f: (rows, panel))
+    monkeypatch.setattr(named.model, "prepare", lambda train: learned.append(train) or ["terms"])
+    monkeypatch.setattr(named.model, "fit_trees", lambda train, seen, terms=None: given.append(terms or named.model.prepare(train)) or ("a", []))
+    monkeypatch.setattr(named.model, "fit_logistic", lambda train, terms=None: given.append(terms or named.model.prepare(train)) or ("b", []))
+    monkeypatch.setattr(named.model, "score", lambda m, df: df.selectExpr("*", f"id / 40D AS {named.SCORE}"))
+    assert named.queries()["model_comparison"](spark, "f").count() == 4
+    assert len(learned) == 1 and given == [["terms"], ["terms"]]
